@@ -22,6 +22,7 @@ SEARCH_DOTALL = "(?isUd)"
 
 def spark_pattern(pattern: str, flags: str = SEARCH) -> str:
     """Give a pattern written with plain ``\\s`` the Unicode blanks and flags used here."""
+    # A class inside a class is a union in Java, so \s may also stand in brackets.
     return flags + pattern.replace(r"\s", WS)
 
 
@@ -35,15 +36,6 @@ def squeeze(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?U){WS}+", " ")
 
 
-def group_or_null(c: Column, pattern: str, group: int) -> Column:
-    """Captured group of the leftmost match, null when nothing matches.
-
-    Only for groups that cannot match the empty string: ``regexp_extract`` yields ``''``
-    for "no match".
-    """
-    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
-
-
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it inside ``body``.
 
@@ -53,6 +45,20 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def first_match(c: Column, patterns: tuple[str, ...], group: int) -> Column:
+    """Captured group of the leftmost match of the first pattern that matches, else null.
+
+    Each pattern runs at most once. Only for groups that cannot match the empty string:
+    ``regexp_extract`` yields ``''`` for "no match".
+    """
+    if not patterns:
+        return F.lit(None).cast("string")
+    return bind(
+        F.regexp_extract(c, patterns[0], group),
+        lambda m: F.when(m != "", m).otherwise(first_match(c, patterns[1:], group)),
+    )
+
+
 def capitalize(c: Column) -> Column:
     """First character upper case, the rest lower case (unlike ``initcap``)."""
     return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 2147483647)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.functions.expr import WS, group_or_null, spark_pattern, squeeze, strip
+from docketry.functions.expr import SEARCH_DOTALL, first_match, spark_pattern, squeeze, strip
 
 
 def strategy_consensus(
@@ -55,9 +55,9 @@ def parse_validation(
     response = F.col(response_col)
     # Decoration around words, such as ** or [ ], is allowed.
     status = F.upper(
-        group_or_null(response, spark_pattern(r"Status:[\s*\[]*(INVALID|VALID)"), 1)
+        first_match(response, (spark_pattern(r"Status:[\s*\[]*(INVALID|VALID)"),), 1)
     )
-    issues = group_or_null(response, rf"(?isUd)Issues:[*]*{WS}*(.+)", 1)
+    issues = first_match(response, (spark_pattern(r"Issues:[*]*\s*(.+)", SEARCH_DOTALL),), 1)
     issues = F.nullif(squeeze(strip(issues)), F.lit(""))
     return df.withColumn("validation_status", status).withColumn(
         "issues", F.when(F.col("validation_status") == "INVALID", issues)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions.expr import (
-    SEARCH_DOTALL, bind, group_or_null, spark_pattern, squeeze, strip,
+    SEARCH_DOTALL, bind, first_match, spark_pattern, squeeze, strip,
 )
 from docketry.sources.taxonomy import labels_array
 
@@ -31,46 +31,112 @@ CONFIDENCE = 0.8
 STATUSES = ("ok", "empty_response", "no_match", "unknown_label", "error")
 
 
-def extract_label(response: Column) -> tuple[Column, Column]:
-    """R2: label and relevance word of the first pattern that matches, else nulls."""
-    patterns = [spark_pattern(p) for p in LABEL_PATTERNS]
-    label = F.coalesce(*[group_or_null(response, p, 1) for p in patterns])
-    # Both groups are non-empty in a match, so they come from the same pattern.
-    word = F.coalesce(*[group_or_null(response, p, 2) for p in patterns])
-    return strip(label), F.lower(word)
+def extract_label(response: Column) -> Column:
+    """R2: ``struct<label, word>`` of the first pattern that matches, null without a match.
+
+    The whole match is cut up afterwards: a label has no comma, the text before the first
+    colon is fixed (or, in the last pattern, the label), the word follows the last colon.
+    """
+    *structured, plain = [spark_pattern(p) for p in LABEL_PATTERNS]
+
+    def parts(label: Column, match: Column) -> Column:
+        word = F.lower(strip(F.substring_index(match, ":", -1)))
+        return F.struct(strip(label).alias("label"), word.alias("word"))
+
+    def from_structured(match: Column) -> Column:
+        behind = F.substring(match, F.locate(":", match) + 1, F.length(match))
+        return parts(F.substring_index(behind, ",", 1), match)
+
+    def from_plain(match: Column) -> Column:
+        return F.when(match.isNotNull(), parts(F.substring_index(match, ":", 1), match))
+
+    return bind(
+        first_match(response, tuple(structured), 0),
+        lambda match: F.when(match.isNotNull(), from_structured(match)).otherwise(
+            bind(first_match(response, (plain,), 0), from_plain)
+        ),
+    )
 
 
 def extract_reasoning(response: Column) -> Column:
     """The reasoning section, else a one-line reason, else an empty string."""
 
     def first(patterns: tuple[str, ...]) -> Column:
-        return F.coalesce(
-            *[group_or_null(response, spark_pattern(p, SEARCH_DOTALL), 1) for p in patterns]
+        return strip(
+            first_match(response, tuple(spark_pattern(p, SEARCH_DOTALL) for p in patterns), 1)
         )
 
-    section = squeeze(strip(first(REASONING_PATTERNS)))
-    plain = strip(first(PLAIN_REASONING_PATTERNS))
-    return F.coalesce(F.nullif(section, F.lit("")), plain, F.lit(""))
+    return bind(
+        squeeze(first(REASONING_PATTERNS)),
+        lambda section: F.when(section != "", section).otherwise(
+            F.coalesce(first(PLAIN_REASONING_PATTERNS), F.lit(""))
+        ),
+    )
 
 
 def canonical_label(label: Column, labels: Column) -> Column:
-    """The taxonomy's spelling of a label, null when there is none.
+    """The taxonomy entry a label means, null when there is none.
 
     Equality ignoring case comes first, then containment either way; the first entry in
     taxonomy order wins. ``labels`` comes from :func:`labels_array`.
     """
 
-    def look_up(given: Column) -> Column:
-        lowered = F.lower(given)
+    def look_up(lowered: Column) -> Column:
         same = F.filter(labels, lambda e: F.lower(e["event_type"]) == lowered)
         part = F.filter(
             labels,
             lambda e: F.contains(lowered, F.lower(e["event_type"]))
             | F.contains(F.lower(e["event_type"]), lowered),
         )
-        return F.coalesce(F.get(same, F.lit(0)), F.get(part, F.lit(0)))["event_type"]
+        return F.coalesce(F.get(same, F.lit(0)), F.get(part, F.lit(0)))
+
+    return F.when(label.isNotNull(), bind(F.lower(label), look_up))
+
+
+def parse_response(response: Column, labels: Column, failed: Column | None = None) -> Column:
+    """R1-R10 for one response, as one value that is computed once.
+
+    ``struct<parse_status, stated_relevant, taxonomy_relevant, blank_label, result>``;
+    ``labels`` is a column holding :func:`labels_array` with ``relevant``.
+    """
+
+    def judge(text: Column, label: Column, word: Column, entry: Column) -> Column:
+        status = (
+            F.when(F.lit(False) if failed is None else failed, "error")
+            .when(text.isNull() | (text == ""), "empty_response")
+            .when(label.isNull(), "no_match")
+            .when(entry.isNull(), "unknown_label")
+            .otherwise("ok")
+        )
+        stated = word.isin("true", "yes")
+        result = F.struct(
+            entry["event_type"].alias("event_type"),
+            stated.alias("relevant"),
+            F.lit(CONFIDENCE).cast("double").alias("confidence"),
+            extract_reasoning(text).alias("reasoning"),
+            text.alias("raw_response"),
+        )
+        return bind(
+            status,
+            lambda s: F.struct(
+                s.alias("parse_status"),
+                stated.alias("stated_relevant"),
+                entry["relevant"].alias("taxonomy_relevant"),
+                (label == "").alias("blank_label"),
+                F.when(s == "ok", result).alias("result"),
+            ),
+        )
+
+    def parse(text: Column) -> Column:
+        return bind(
+            extract_label(text),
+            lambda given: bind(
+                canonical_label(given["label"], labels),
+                lambda entry: judge(text, given["label"], given["word"], entry),
+            ),
+        )
 
-    return F.when(label.isNotNull(), bind(label, look_up))
+    return bind(response, parse)
 
 
 def normalize_labels(
@@ -79,7 +145,7 @@ def normalize_labels(
     """R4-R6 for a column of free labels; null where the taxonomy knows none."""
     return (
         df.withColumn("__labels", labels_array(taxonomy))
-        .withColumn(out, canonical_label(strip(F.col(column)), F.col("__labels")))
+        .withColumn(out, canonical_label(strip(F.col(column)), F.col("__labels"))["event_type"])
         .drop("__labels")
     )
 
@@ -95,35 +161,18 @@ def parse_responses(
     ``result`` is null unless the status is ``ok``; its ``relevant`` is the one the response
     states (see ``apply_relevance`` for the taxonomy's). ``error_col`` marks failed calls.
     """
-    response = F.col(response_col)
-    label, word = extract_label(response)
-    failed = F.col(error_col).isNotNull() if error_col else F.lit(False)
-    staged = (
-        df.withColumn("__labels", labels_array(taxonomy))
-        .withColumns({"__label": label, "__word": word})
-        .withColumn("__canonical", canonical_label(F.col("__label"), F.col("__labels")))
-    )
-    status = (
-        F.when(failed, "error")
-        .when(response.isNull() | (response == ""), "empty_response")
-        .when(F.col("__label").isNull(), "no_match")
-        .when(F.col("__canonical").isNull(), "unknown_label")
-        .otherwise("ok")
-    )
-    stated = F.col("__word").isin("true", "yes")
-    staged = staged.withColumns({"parse_status": status, "stated_relevant": stated})
-    result = F.when(
-        F.col("parse_status") == "ok",
-        F.struct(
-            F.col("__canonical").alias("event_type"),
-            F.col("stated_relevant").alias("relevant"),
-            F.lit(CONFIDENCE).cast("double").alias("confidence"),
-            extract_reasoning(response).alias("reasoning"),
-            response.alias("raw_response"),
-        ),
-    )
-    return staged.withColumns({"result": result, "blank_label": F.col("__label") == ""}).drop(
-        "__labels", "__label", "__word", "__canonical"
+    failed = F.col(error_col).isNotNull() if error_col else None
+    parsed = parse_response(F.col(response_col), F.col("__labels"), failed)
+    return (
+        df.withColumn("__labels", labels_array(taxonomy, "relevant"))
+        .withColumn("__parsed", parsed)
+        .withColumns(
+            {
+                name: F.col(f"__parsed.{name}")
+                for name in ("result", "stated_relevant", "parse_status", "blank_label")
+            }
+        )
+        .drop("__labels", "__parsed")
     )
 
 

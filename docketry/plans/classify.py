@@ -13,10 +13,10 @@ from docketry.operators.attempts import DEFAULT_MAX_RETRIES
 from docketry.operators.extraction import extract_text, is_blank
 from docketry.operators.filings import attach_content
 from docketry.operators.prompts import prompt_column
-from docketry.operators.relevance import apply_relevance
-from docketry.operators.responses import parse_responses
+from docketry.operators.responses import parse_response
 from docketry.operators.scoring import Generate, scorer
 from docketry.sources.schemas import RESULT
+from docketry.sources.taxonomy import labels_array
 
 
 def classify(
@@ -29,7 +29,7 @@ def classify(
     setup: Callable[[], Generate] | None = None,
     text_col: str = "text",
 ) -> DataFrame:
-    """C6 for a table with clean text: add ``result``, ``status``, ``attempts``, ``error``.
+    """C6 for a table with clean text: add ``result``, ``status``, ``attempts``, ``failure``.
 
     Every retry is a further column of the same row: the prompt of a row that is solved, or
     has no text, is null and is not sent. All attempts thus run in one stage, with no shuffle,
@@ -40,58 +40,59 @@ def classify(
     write its output before using it more than once.
     """
     call = scorer(generate, setup)
-    kept = df.columns
+    prompt = prompt_column(F.col(text_col), taxonomy, strategy, examples)
     rows = df.withColumns(
         {
+            "__labels": labels_array(taxonomy, "relevant"),
             "__blank": is_blank(text_col),
-            "result": F.lit(None).cast(RESULT),
-            "stated_relevant": F.lit(None).cast("boolean"),
+            "__failure": F.lit(None).cast("string"),
             "attempts": F.lit(0),
-            "failure": F.lit(None).cast("string"),
         }
-    )
-    rows = rows.withColumn(
-        "__prompt",
-        F.when(
-            ~F.col("__blank"), prompt_column(F.col(text_col), taxonomy, strategy, examples)
-        ),
-    )
+    ).withColumn("__prompt", F.when(~F.col("__blank"), prompt))
+    passes = []
     for attempt in range(1, max_retries + 2):
-        open_ = F.col("__prompt").isNotNull() & F.col("result").isNull()
-        rows = rows.withColumn("__outcome", call(F.when(open_, F.col("__prompt"))))
-        rows = rows.withColumnsRenamed(
-            {"result": "__result", "stated_relevant": "__stated"}
-        ).withColumns({"__response": F.col("__outcome.response"), "__error": F.col("__outcome.error")})
-        rows = parse_responses(rows, taxonomy, "__response", "__error")
-        tried = F.col("__prompt").isNotNull() & F.col("__result").isNull()
-        rows = rows.select(
-            *kept,
-            "__blank",
-            "__prompt",
-            F.coalesce("__result", "result").alias("result"),
-            F.coalesce("__stated", "stated_relevant").alias("stated_relevant"),
-            F.when(tried, F.lit(attempt)).otherwise(F.col("attempts")).alias("attempts"),
-            F.when(tried & F.col("result").isNotNull(), F.lit(None))
-            .when(tried & (F.col("parse_status") == "error"), F.col("__error"))
-            .when(tried, F.col("parse_status"))
-            .otherwise(F.col("failure"))
-            .alias("failure"),
+        # After a valid answer the prompt becomes null, so nothing more is sent.
+        rows = rows.withColumn("__outcome", call(F.col("__prompt")))
+        parsed = f"__parsed_{attempt}"
+        passes.append(parsed)
+        failed = F.col("__outcome.error").isNotNull()
+        rows = rows.withColumn(
+            parsed,
+            F.when(
+                F.col("__prompt").isNotNull(),
+                parse_response(F.col("__outcome.response"), F.col("__labels"), failed),
+            ),
         )
-    rows = apply_relevance(
-        rows.withColumn("__label", F.col("result.event_type")),
-        taxonomy, "__label", "stated_relevant", "__relevant_now",
+        status = F.col(f"{parsed}.parse_status")
+        rows = rows.withColumns(
+            {
+                "attempts": F.when(status.isNotNull(), F.lit(attempt)).otherwise(
+                    F.col("attempts")
+                ),
+                "__failure": F.when(status == "error", F.col("__outcome.error"))
+                .when(status != "ok", status)
+                .when(status.isNull(), F.col("__failure")),
+                "__prompt": F.when(status != "ok", F.col("__prompt")),
+            }
+        ).drop("__outcome")
+    valid = F.coalesce(*[F.when(F.col(f"{p}.parse_status") == "ok", F.col(p)) for p in passes])
+    rows = rows.withColumn("__valid", valid)
+    result = F.when(
+        F.col("__valid").isNotNull(),
+        F.col("__valid.result").withField("relevant", F.col("__valid.taxonomy_relevant")),
     )
     status = (
         F.when(F.col("__blank"), "empty_text")
-        .when(F.col("result").isNull(), "unclassified")
+        .when(F.col("__valid").isNull(), "unclassified")
         .otherwise("classified")
     )
-    result = F.when(
-        F.col("result").isNotNull(), F.col("result").withField("relevant", F.col("__relevant_now"))
-    )
     return rows.select(
-        *kept, result.alias("result"), "stated_relevant", status.alias("status"), "attempts",
-        "failure",
+        *df.columns,
+        result.alias("result"),
+        F.col("__valid.stated_relevant").alias("stated_relevant"),
+        status.alias("status"),
+        "attempts",
+        F.when(F.col("__valid").isNull(), F.col("__failure")).alias("failure"),
     )
 
 

@@ -438,11 +438,12 @@ ranked AS (SELECT user_id, v.event_type, votes, sum(votes) OVER (PARTITION BY us
 SELECT user_id, event_type, cast(total AS bigint) AS n_strategies, votes / total AS agreement
 FROM ranked WHERE place = 1"""
 
+VERDICT_WORD = f"nullif(regexp_extract(response, '(?i)Status:[*\\[{BLANKS}]*(INVALID|VALID)', 1), '')"
 ORACLES["validation_parse"] = f"""
 SELECT conv_id, turn, verdict AS validation_status,
        CASE WHEN verdict = 'INVALID'
             THEN nullif({squeeze(strip(search('response', r'Issues:[*]*\s*(.+)', 1, '(?is)')))}, '') END AS issues
-FROM (SELECT *, upper({search('response', r'Status:[*\[' + BLANKS + r']*(INVALID|VALID)', 1)}) AS verdict
+FROM (SELECT *, upper({VERDICT_WORD}) AS verdict
       FROM (SELECT conv_id, turn, {i.VERDICT} AS response FROM conversations))"""
 
 ORACLES["result_schema_check"] = f"""
