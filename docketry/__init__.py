@@ -29,7 +29,7 @@ from docketry.sinks.tables import (
 from docketry.sources.companies import companies_listing, popular_companies, read_companies
 from docketry.sources.files import (
     list_documents, read_documents, read_metadata_files, read_results, read_submissions,
-    with_accession, with_source_type,
+    spread, with_accession, with_source_type,
 )
 from docketry.sources.taxonomy import (
     default_taxonomy, load_taxonomy, read_taxonomy, taxonomy_from_dict,

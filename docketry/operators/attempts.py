@@ -24,12 +24,14 @@ def first_valid(
     Attempts count from 1. Keys without a valid attempt do not come out. Two rows with the same
     key and attempt are ordered by their response, so the choice never depends on partitioning.
     """
-    valid = df.filter((F.col("parse_status") == "ok") & (F.col(attempt) <= max_retries + 1))
     keys = [key] if isinstance(key, str) else key
-    best = F.min_by(
-        F.struct(F.col(attempt), F.col("result")), F.struct(F.col(attempt), F.col(response_col))
+    order = F.when(
+        F.col("parse_status") == "ok", F.struct(F.col(attempt), F.col(response_col))
     )
-    return valid.groupBy(*keys).agg(best.alias("__best")).select(
+    # min_by passes over rows without an order.
+    best = F.min_by(F.struct(F.col(attempt), F.col("result")), order)
+    grouped = df.filter(F.col(attempt) <= max_retries + 1).groupBy(*keys).agg(best.alias("__best"))
+    return grouped.filter(F.col("__best").isNotNull()).select(
         *keys, F.col(f"__best.{attempt}").alias(attempt), F.col("__best.result").alias("result")
     )
 

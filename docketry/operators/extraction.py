@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from docketry.functions.expr import compute_once, strip
 from docketry.functions.lines import (
     MIN_LINE_LENGTH, NOISE_PATTERNS, clean_lines, drop_reason, split_lines,
 )
@@ -30,12 +31,14 @@ def extract_text(
 
     Select the rows wanted before this step: it is the expensive one.
     """
-    return df.withColumn(text_col, clean_lines(raw_text(F.col(html_col)), patterns, min_length))
+    nodes = df.withColumn("__nodes", raw_text(F.col(html_col)))
+    text = clean_lines(F.col("__nodes"), patterns, min_length)
+    return compute_once(nodes, text_col, text).drop("__nodes")
 
 
 def is_blank(text_col: str = "text") -> Column:
     """No text to classify."""
-    return F.coalesce(~F.col(text_col).rlike(r"(?U)[^\s\x1c-\x1f]"), F.lit(True))
+    return F.coalesce(strip(F.col(text_col)) == "", F.lit(True))
 
 
 def line_drop_reasons(

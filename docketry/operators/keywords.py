@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.functions.expr import bind
+from docketry.functions.expr import bind, compute_once
 from docketry.sources.taxonomy import labels_array
 
 _MARK = "\x01"
@@ -54,11 +54,9 @@ def with_keyword_hits(
     df: DataFrame, taxonomy: DataFrame, text_col: str = "text", out: str = "keyword_hits"
 ) -> DataFrame:
     """X1 as one array per document, in taxonomy order; no join, no shuffle."""
-    return (
-        df.withColumn("__labels", _keyword_labels(taxonomy))
-        .withColumn(out, _hits(F.col(text_col), F.col("__labels")))
-        .drop("__labels")
-    )
+    labelled = df.withColumn("__labels", _keyword_labels(taxonomy))
+    hits = _hits(F.col(text_col), F.col("__labels"))
+    return compute_once(labelled, out, hits).drop("__labels")
 
 
 def keyword_hits(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions.expr import (
-    SEARCH_DOTALL, bind, first_match, spark_pattern, squeeze, strip,
+    SEARCH_DOTALL, bind, compute_once, first_match, spark_pattern, squeeze, strip,
 )
 from docketry.sources.taxonomy import labels_array
 
@@ -143,11 +143,9 @@ def normalize_labels(
     df: DataFrame, taxonomy: DataFrame, column: str, out: str = "label"
 ) -> DataFrame:
     """R4-R6 for a column of free labels; null where the taxonomy knows none."""
-    return (
-        df.withColumn("__labels", labels_array(taxonomy))
-        .withColumn(out, canonical_label(strip(F.col(column)), F.col("__labels"))["event_type"])
-        .drop("__labels")
-    )
+    labelled = df.withColumn("__labels", labels_array(taxonomy))
+    entry = canonical_label(strip(F.col(column)), F.col("__labels"))
+    return compute_once(labelled, out, entry["event_type"]).drop("__labels")
 
 
 def parse_responses(
@@ -162,10 +160,10 @@ def parse_responses(
     states (see ``apply_relevance`` for the taxonomy's). ``error_col`` marks failed calls.
     """
     failed = F.col(error_col).isNotNull() if error_col else None
+    labelled = df.withColumn("__labels", labels_array(taxonomy, "relevant"))
     parsed = parse_response(F.col(response_col), F.col("__labels"), failed)
     return (
-        df.withColumn("__labels", labels_array(taxonomy, "relevant"))
-        .withColumn("__parsed", parsed)
+        compute_once(labelled, "__parsed", parsed)
         .withColumns(
             {
                 name: F.col(f"__parsed.{name}")

@@ -7,11 +7,11 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.functions.expr import compute_once
 from docketry.functions.keys import source_type
 from docketry.functions.templates import DEFAULT_STRATEGY
 from docketry.operators.attempts import DEFAULT_MAX_RETRIES
 from docketry.operators.extraction import extract_text, is_blank
-from docketry.operators.filings import attach_content
 from docketry.operators.prompts import prompt_column
 from docketry.operators.responses import parse_response
 from docketry.operators.scoring import Generate, scorer
@@ -49,21 +49,17 @@ def classify(
             "attempts": F.lit(0),
         }
     ).withColumn("__prompt", F.when(~F.col("__blank"), prompt))
-    passes = []
-    for attempt in range(1, max_retries + 2):
+    parsed = F.when(
+        F.col("__prompt").isNotNull(),
+        parse_response(
+            F.col("__outcome.response"), F.col("__labels"), F.col("__outcome.error").isNotNull()
+        ),
+    )
+    passes = [f"__parsed_{attempt}" for attempt in range(1, max_retries + 2)]
+    for attempt, name in enumerate(passes, 1):
         # After a valid answer the prompt becomes null, so nothing more is sent.
-        rows = rows.withColumn("__outcome", call(F.col("__prompt")))
-        parsed = f"__parsed_{attempt}"
-        passes.append(parsed)
-        failed = F.col("__outcome.error").isNotNull()
-        rows = rows.withColumn(
-            parsed,
-            F.when(
-                F.col("__prompt").isNotNull(),
-                parse_response(F.col("__outcome.response"), F.col("__labels"), failed),
-            ),
-        )
-        status = F.col(f"{parsed}.parse_status")
+        rows = compute_once(rows.withColumn("__outcome", call(F.col("__prompt"))), name, parsed)
+        status = F.col(f"{name}.parse_status")
         rows = rows.withColumns(
             {
                 "attempts": F.when(status.isNotNull(), F.lit(attempt)).otherwise(
@@ -153,16 +149,26 @@ def process_filings(
                 "prompt_strategy": F.lit(None).cast("string"),
             }
         )
-    texts = extract_text(attach_content(filings, documents))
-    rows = classify(texts, taxonomy, generate, strategy, **options)
-    return rows.withColumns(
-        {
-            "status": F.when(F.coalesce("html", F.lit("")) == "", "no_content").otherwise(
-                F.col("status")
-            ),
-            "prompt_strategy": F.lit(strategy),
-        }
-    ).drop("html", "text")
+    # Only documents of these filings go through Python, and only small results are joined
+    # back; both joins have the same key, so shuffled documents stay where they are.
+    wanted = documents.select("accession_number", "html").join(
+        filings.select("accession_number"), "accession_number", "left_semi"
+    )
+    outcome = classify(
+        extract_text(wanted), taxonomy, generate, strategy, **options
+    ).withColumn(
+        "status", F.when(F.coalesce("html", F.lit("")) == "", "no_content").otherwise(F.col("status"))
+    )
+    return (
+        filings.join(outcome.drop("html", "text"), "accession_number", "left")
+        .withColumns(
+            {
+                "status": F.coalesce("status", F.lit("no_content")),
+                "attempts": F.coalesce("attempts", F.lit(0)),
+                "prompt_strategy": F.lit(strategy),
+            }
+        )
+    )
 
 
 def to_classifications(processed: DataFrame) -> DataFrame:

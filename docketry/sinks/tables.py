@@ -42,10 +42,11 @@ def upsert(df: DataFrame, root: str, schema: str, key: list[str], fmt: str = "js
     files and lets adaptive execution split a company that holds a large share of the rows.
     """
     spark = df.sparkSession
-    new = stage(_one_per_key(df.select(*columns(schema)), key), f"{root.rstrip('/')}__staged")
-    rows = new
+    rows = _one_per_key(df.select(*columns(schema)), key)
     stored = _existing(spark, root, schema, fmt)
     if stored is not None:
+        # Used three times below, so written down first: it may have cost model calls.
+        new = stage(rows, f"{root.rstrip('/')}__staged")
         touched = new.select(PARTITION).distinct()
         kept = stored.join(touched, PARTITION, "left_semi").join(
             new.select(*key), key, "left_anti"

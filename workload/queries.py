@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with costly columns, read by all cores even if it is one small file."""
+    return d.spread(table(spark, sf_dir, name))
+
+
 def prose_taxonomy(spark: SparkSession) -> DataFrame:
     return d.taxonomy_from_dict(spark, i.TAXONOMY)
 
@@ -256,7 +261,7 @@ def source_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def extract_text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1-T12."""
-    pages = d.extract_text(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = d.extract_text(texts(spark, sf_dir, "pages").select("page_id", "html"))
     return pages.select(
         "page_id",
         long_length("text").alias("text_length"),
@@ -268,7 +273,7 @@ def extract_text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def clean_lines_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T6-T11."""
-    cleaned = table(spark, sf_dir, "documents").select(
+    cleaned = texts(spark, sf_dir, "documents").select(
         "doc_id", clean_lines(F.col("text")).alias("text")
     )
     return cleaned.select(
@@ -279,7 +284,7 @@ def clean_lines_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def line_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T14."""
-    return d.line_drop_reasons(table(spark, sf_dir, "documents"))
+    return d.line_drop_reasons(texts(spark, sf_dir, "documents"))
 
 
 # --- prompts -----------------------------------------------------------------------------
@@ -311,7 +316,7 @@ def prompt_facts(df: DataFrame, *keys: str) -> DataFrame:
 
 def _prompt_query(strategy: str, **options) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        documents = table(spark, sf_dir, "documents")
+        documents = texts(spark, sf_dir, "documents")
         prompts = d.render_prompt(documents, prose_taxonomy(spark), strategy, **options)
         return prompt_facts(prompts, "doc_id")
 
@@ -349,7 +354,7 @@ def prompt_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def strategy_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four prompts per document, chosen by a column."""
-    fanned = d.fan_out_strategies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    fanned = d.fan_out_strategies(texts(spark, sf_dir, "documents").select("doc_id", "text"))
     prompts = d.render_prompt(fanned, prose_taxonomy(spark), F.col("strategy"))
     return prompt_facts(prompts, "doc_id", "strategy")
 
@@ -358,7 +363,7 @@ def strategy_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").withColumn("response", F.expr(i.RESPONSE))
+    return texts(spark, sf_dir, "events").withColumn("response", F.expr(i.RESPONSE))
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -479,14 +484,14 @@ def fake_model(prompt: str) -> str | None:
 @query
 def score_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1."""
-    prompts = d.render_prompt(table(spark, sf_dir, "documents"), prose_taxonomy(spark), "basic")
+    prompts = d.render_prompt(texts(spark, sf_dir, "documents"), prose_taxonomy(spark), "basic")
     return d.score(prompts, fake_model).select("doc_id", "response", "error")
 
 
 @query
 def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaning, prompts, up to three attempts, parsing, taxonomy relevance."""
-    documents = table(spark, sf_dir, "documents").select(
+    documents = texts(spark, sf_dir, "documents").select(
         "doc_id", F.expr("CASE WHEN doc_id % 9 = 0 THEN ' ' ELSE text END").alias("text")
     )
     classified = d.classify(documents, prose_taxonomy(spark), fake_model, "cot")
@@ -505,7 +510,7 @@ def process_filings_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = order_filings(table(spark, sf_dir, "orders")).withColumn(
         "accession_number", F.expr("cast(o_orderkey AS string)")
     )
-    pages = table(spark, sf_dir, "pages").select(
+    pages = texts(spark, sf_dir, "pages").select(
         F.expr("cast(page_id * 2 AS string)").alias("accession_number"), "html"
     )
     processed = d.process_filings(orders, pages, prose_taxonomy(spark), fake_model, "basic")
@@ -521,14 +526,14 @@ def process_filings_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1."""
-    hits = d.keyword_hits(table(spark, sf_dir, "documents"), prose_taxonomy(spark), "doc_id")
+    hits = d.keyword_hits(texts(spark, sf_dir, "documents"), prose_taxonomy(spark), "doc_id")
     return hits.withColumn("hits", F.col("hits").cast("bigint"))
 
 
 @query
 def keyword_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X2."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = texts(spark, sf_dir, "documents").select("doc_id", "text")
     return d.keyword_classify(documents, prose_taxonomy(spark)).select(
         "doc_id", "event_type", "relevant", F.col("hits").cast("bigint").alias("hits")
     )
@@ -537,8 +542,8 @@ def keyword_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def classify_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: pages to text to event type to counts."""
-    texts = d.extract_text(table(spark, sf_dir, "pages").select("page_id", "html"))
-    return d.event_counts(d.keyword_classify(texts.drop("html"), prose_taxonomy(spark)))
+    cleaned = d.extract_text(texts(spark, sf_dir, "pages").select("page_id", "html"))
+    return d.event_counts(d.keyword_classify(cleaned.drop("html"), prose_taxonomy(spark)))
 
 
 @query
