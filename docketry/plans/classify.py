@@ -37,7 +37,7 @@ def classify(
 
     ``status`` is ``classified``, ``empty_text`` or ``unclassified``; ``result.relevant`` is
     the taxonomy's flag, ``stated_relevant`` the one in the response. The plan calls a model:
-    write its output before using it more than once.
+    write its output before using it more than once (a sort counts twice, for it samples).
     """
     call = scorer(generate, setup)
     prompt = prompt_column(F.col(text_col), taxonomy, strategy, examples)

@@ -1,0 +1,110 @@
+"""P1-P9."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import docketry as d
+from docketry.functions import templates
+from docketry.operators.prompts import examples_text
+from helpers import plan, rows
+
+TAXONOMY = {
+    "Acquisition": {"relevant": True, "description": "Buys {x}", "keywords": ["deal", "merger"]},
+    "Other": {"relevant": False, "description": "", "keywords": []},
+}
+
+
+@pytest.fixture(scope="module")
+def taxonomy(spark):
+    return d.taxonomy_from_dict(spark, TAXONOMY)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.createDataFrame([(1, "Text with {braces} & $1.2 <b>é\n"), (2, None)], "n int, text string")
+
+
+def prompt(documents, taxonomy, strategy, **options):
+    return rows(d.render_prompt(documents, taxonomy, strategy, **options).select("prompt"), "n")[0][0]
+
+
+def test_strategies_differ_and_hold_their_slots(documents, taxonomy):
+    prompts = {s: prompt(documents, taxonomy, s) for s in templates.STRATEGIES}
+    assert len(set(prompts.values())) == 4
+    for name, text in prompts.items():
+        assert "Text with {braces} & $1.2 <b>é\n" in text
+        assert "REASONING:\n" in text and "CLASSIFICATION:\nEvent Type: [Category], Relevant: [true/false]" in text
+        assert text.rstrip() == text and text.endswith(":")
+        assert "{text}" not in text and "{labels}" not in text and "{label_lines}" not in text
+        if name == "detailed":
+            assert "- Acquisition: Buys {x} (Keywords: deal, merger)\n- Other: \n" in text
+        else:
+            assert "Acquisition, Other" in text
+    assert all(f"Step {n}" in prompts["cot"] for n in (1, 2, 3))
+
+
+def test_null_text_gives_null_prompt(documents, taxonomy):
+    got = rows(d.render_prompt(documents, taxonomy, "basic").select("n", F.col("prompt").isNull()), "n")
+    assert got == [(1, False), (2, True)]
+
+
+def test_few_shot_examples(spark, documents, taxonomy):
+    default = prompt(documents, taxonomy, "few_shot")
+    for n, example in enumerate(templates.DEFAULT_EXAMPLES, 1):
+        assert f"Example {n}:\nText: {example['text']}\nREASONING:\n{example['reasoning']}\nCLASSIFICATION:\n" in default
+    none = prompt(documents, taxonomy, "few_shot", examples=[])
+    assert "Example 1" not in none
+    own = prompt(documents, taxonomy, "few_shot", examples=[{"text": "t", "classification": "c"}])
+    assert f"Example 1:\nText: t\nREASONING:\n{templates.STOCK_REASONING}\nCLASSIFICATION:\nc\n" in own
+    column = F.array(F.struct(F.lit("t").alias("text"), F.lit(None).cast("string").alias("reasoning"), F.lit("c").alias("classification")))
+    listed = examples_text([{"text": "t", "classification": "c"}])
+    assert len(set(rows(spark.range(1).select(examples_text(column), listed))[0])) == 1
+
+
+def test_unknown_strategy(documents, taxonomy):
+    with pytest.raises(ValueError):
+        d.render_prompt(documents, taxonomy, "guess")
+    with pytest.raises(ValueError):
+        d.fan_out_strategies(documents, ["basic", "guess"])
+
+
+def test_default_strategy_and_wrappers(documents, taxonomy):
+    assert rows(d.render_prompt(documents, taxonomy), "n") == rows(d.detailed_prompt(documents, taxonomy), "n")
+    assert rows(d.basic_prompt(documents, taxonomy), "n") == rows(d.render_prompt(documents, taxonomy, "basic"), "n")
+    assert rows(d.cot_prompt(documents, taxonomy), "n") == rows(d.render_prompt(documents, taxonomy, "cot"), "n")
+    assert rows(d.few_shot_prompt(documents, taxonomy), "n") == rows(d.render_prompt(documents, taxonomy, "few_shot"), "n")
+
+
+def test_strategy_per_row(documents, taxonomy):
+    fanned = d.fan_out_strategies(documents.filter("n = 1"))
+    got = dict(rows(d.render_prompt(fanned, taxonomy, F.col("strategy")).select("strategy", "prompt")))
+    assert got == {s: prompt(documents, taxonomy, s) for s in templates.STRATEGIES}
+    odd = documents.withColumn("strategy", F.lit("guess"))
+    assert rows(d.render_prompt(odd, taxonomy, F.col("strategy")).select("prompt"))[0] == (None,)
+
+
+def test_validation_prompt(spark, taxonomy):
+    df = spark.createDataFrame([("body", "Event Type: Other, Relevant: true")], "text string, classification string")
+    text = d.render_validation_prompt(df, taxonomy).first()["prompt"]
+    for part in ("body", "Event Type: Other, Relevant: true", "Acquisition, Other", "Status: [VALID or INVALID]", "Issues:"):
+        assert part in text
+
+
+def test_taxonomy_text(taxonomy):
+    assert rows(d.taxonomy_text(taxonomy)) == [
+        ("Acquisition, Other", "- Acquisition: Buys {x} (Keywords: deal, merger)\n- Other: ")]
+
+
+def test_taxonomy_is_bounded(spark, monkeypatch):
+    from docketry.sources import taxonomy as module
+
+    monkeypatch.setattr(module, "MAX_LABELS", 1)
+    with pytest.raises(Exception, match="at most 1 labels"):
+        d.taxonomy_text(d.taxonomy_from_dict(spark, TAXONOMY)).collect()
+
+
+def test_no_join_or_shuffle_of_documents(spark, taxonomy, data):
+    documents = spark.read.parquet(f"{data}/documents.parquet")
+    text = plan(d.render_prompt(documents, taxonomy, "detailed").select("doc_id", "prompt"))
+    assert "Join" not in text and "EvalPython" not in text
+    assert "Exchange hash" not in text and "ReadSchema: struct<doc_id:bigint,text:string>" in text
