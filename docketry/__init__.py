@@ -6,7 +6,7 @@ from docketry.operators.checks import parse_validation, schema_violations, strat
 from docketry.operators.extraction import extract_text, line_drop_reasons
 from docketry.operators.filings import (
     attach_content, date_window, explode_filings, filing_key, filter_dates, filter_form,
-    last_days, preview, request_window, resolve_company, select_filings, split_dated,
+    last_days, merge_windows, one_document_each, preview, request_window, resolve_company, select_filings, split_dated,
     to_metadata, with_document_url,
 )
 from docketry.operators.keywords import keyword_classify, keyword_hits, with_keyword_hits

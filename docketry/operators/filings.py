@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.functions.keys import (
@@ -133,24 +133,53 @@ def request_window(requests: DataFrame, days: int = DEFAULT_DAYS, as_of=None) ->
     )
 
 
+def merge_windows(requests: DataFrame) -> DataFrame:
+    """Disjoint ``start_day, end_day`` ranges per cik that cover the same days.
+
+    The first grouping leaves at most one row per company and start day, so the window behind
+    it is small even for a company that most requests ask for.
+    """
+    longest = (
+        requests.filter(F.col("start_day") <= F.col("end_day"))
+        .groupBy("cik", "start_day")
+        .agg(F.max("end_day").alias("end_day"))
+    )
+    by_start = Window.partitionBy("cik").orderBy("start_day")
+    covered = F.max("end_day").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start_day") > F.date_add(covered, 1), F.lit(True))
+    return (
+        longest.withColumn("__opens", opens.cast("int"))
+        .withColumn("__run", F.sum("__opens").over(by_start))
+        .groupBy("cik", "__run")
+        .agg(F.min("start_day").alias("start_day"), F.max("end_day").alias("end_day"))
+        .drop("__run")
+    )
+
+
 def select_filings(filings: DataFrame, requests: DataFrame) -> DataFrame:
     """filings inside the date range of a request for their company.
 
     ``requests`` has ``cik, start_day, end_day``. A filing asked for twice comes out once: a
-    semi join, with the range test inside it, needs no deduplication.
+    semi join, with the range test inside it, needs no deduplication. Ranges are merged first,
+    so few of them are tried per filing.
     """
-    f, r = filings.alias("f"), requests.alias("r")
+    f, r = filings.alias("f"), merge_windows(requests).alias("r")
     wanted = (F.col("f.cik") == F.col("r.cik")) & F.col("f.filing_day").between(
         F.col("r.start_day"), F.col("r.end_day")
     )
     return f.join(r, wanted, "left_semi")
 
 
+def one_document_each(documents: DataFrame, key: str = "accession_number") -> DataFrame:
+    """One ``html`` per filing. Copies fall away map-side, however many there are of one."""
+    return documents.groupBy(key).agg(F.max("html").alias("html"))
+
+
 def attach_content(
     filings: DataFrame, documents: DataFrame, key: str = "accession_number"
 ) -> DataFrame:
     """filings with their document, null where it is missing."""
-    return filings.join(documents.select(key, "html"), key, "left")
+    return filings.join(one_document_each(documents, key), key, "left")
 
 
 def to_metadata(df: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ def render_report(df: DataFrame, out: str = "report") -> DataFrame:
         F.lit("\n   Confidence: "),
         percent(c["confidence"]),
         reasoning,
-        F.lit("\n\nRAW RESPONSE:\n   "),
+        F.lit("\n\nRAW LLM RESPONSE:\n   "),
         c["raw_response"],
         F.lit(f"\n\n{RULE}"),
     )

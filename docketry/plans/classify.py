@@ -12,6 +12,7 @@ from docketry.functions.keys import source_type
 from docketry.functions.templates import DEFAULT_STRATEGY
 from docketry.operators.attempts import DEFAULT_MAX_RETRIES
 from docketry.operators.extraction import extract_text, is_blank
+from docketry.operators.filings import one_document_each
 from docketry.operators.prompts import prompt_column
 from docketry.operators.responses import parse_response
 from docketry.operators.scoring import Generate, scorer
@@ -149,13 +150,13 @@ def process_filings(
                 "prompt_strategy": F.lit(None).cast("string"),
             }
         )
-    # Only documents of these filings go through Python, and only small results are joined
-    # back; both joins have the same key, so shuffled documents stay where they are.
+    # Only documents of these filings go through Python, one for each, spread by the hash of
+    # their key; only small results are joined back, on the same key.
     wanted = documents.select("accession_number", "html").join(
         filings.select("accession_number"), "accession_number", "left_semi"
     )
     outcome = classify(
-        extract_text(wanted), taxonomy, generate, strategy, **options
+        extract_text(one_document_each(wanted)), taxonomy, generate, strategy, **options
     ).withColumn(
         "status", F.when(F.coalesce("html", F.lit("")) == "", "no_content").otherwise(F.col("status"))
     )

@@ -24,6 +24,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.sql.debug.maxToStringFields", "1000")
         .getOrCreate()

@@ -170,3 +170,34 @@ def test_small_request_lists_are_broadcast(spark, tmp_path, filings):
         pad_cik(F.col("cik")).alias("cik"), F.lit("2024-01-01").alias("start"), F.lit(None).cast("string").alias("end")))
     text = plan(d.select_filings(spark.read.parquet(path), requests))
     assert "BroadcastHashJoin" in text and "LeftSemi" in text and "NestedLoop" not in text
+
+
+def test_windows_are_merged(spark):
+    df = spark.createDataFrame(
+        [("a", "2024-01-01", "2024-01-10"), ("a", "2024-01-01", "2024-01-03"), ("a", "2024-01-11", "2024-01-12"),
+         ("a", "2024-01-02", "2024-01-04"), ("a", "2024-02-01", "2024-02-01"), ("a", "2024-03-02", "2024-03-01"),
+         ("b", "2024-01-05", "2024-01-06")], "cik string, start_day string, end_day string")
+    days = df.select("cik", F.col("start_day").cast("date").alias("start_day"), F.col("end_day").cast("date").alias("end_day"))
+    assert [tuple(map(str, r)) for r in rows(d.merge_windows(days), "cik", "start_day")] == [
+        ("a", "2024-01-01", "2024-01-12"), ("a", "2024-02-01", "2024-02-01"), ("b", "2024-01-05", "2024-01-06")]
+
+
+def test_merged_windows_cover_the_same_days(spark):
+    days = spark.range(3000).select(
+        F.expr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', id % 7) END").alias("cik"),
+        F.expr("date_add(date'2024-01-01', cast(hash(id) % 200 AS int))").alias("start_day"),
+        F.expr("date_add(date'2024-01-01', cast(hash(id) % 200 + id % 5 - 1 AS int))").alias("end_day"))
+    wide = "explode(sequence(start_day, end_day)) AS day"
+    want = days.filter("start_day <= end_day").selectExpr("cik", wide).distinct()
+    got = d.merge_windows(days).selectExpr("cik", wide)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_copies_of_a_document_count_once(spark):
+    filings = spark.createDataFrame([("a",), ("b",)], "accession_number string")
+    copies = spark.range(9000).select(
+        F.expr("CASE WHEN id % 3 = 0 THEN 'a' ELSE concat('x', id) END").alias("accession_number"), F.lit("<p>same</p>").alias("html"))
+    joined = d.attach_content(filings, copies)
+    assert rows(joined, "accession_number") == [("a", "<p>same</p>"), ("b", None)]
+    text = plan(d.one_document_each(copies))
+    assert text.index("partial_max") > text.index("Exchange hashpartitioning(accession_number")

@@ -167,7 +167,7 @@ def test_report(spark):
         FROM VALUES ('because'), ('') AS t(r)""")
     with_reason, without = [r["report"] for r in d.render_report(df).collect()]
     for part in ("Source: a.html\n", "Text Length: 1,234,567 characters", "Relevant: No", "Confidence: 85.1%",
-                 "REASONING:\n   because\n", "RAW RESPONSE:\n   raw\n"):
+                 "REASONING:\n   because\n", "RAW LLM RESPONSE:\n   raw\n"):
         assert part in with_reason
     assert "REASONING" not in without
 

@@ -479,7 +479,7 @@ SELECT input_source, 'URL' AS source_type, length(text) AS text_length, md5(text
               '   Confidence: ', printf('%.1f%%', 80.0),
               CASE WHEN doc_id % 3 = 0 THEN ''
                    ELSE concat(chr(10), chr(10), 'REASONING:', chr(10), '   ', source) END,
-              chr(10), chr(10), 'RAW RESPONSE:', chr(10), '   raw ', lang, chr(10), chr(10), '{_RULE}') AS report
+              chr(10), chr(10), 'RAW LLM RESPONSE:', chr(10), '   raw ', lang, chr(10), chr(10), '{_RULE}') AS report
 FROM (SELECT *, concat('https://example.org/', source) AS input_source FROM documents)"""
 
 # --- stored and streamed ---------------------------------------------------------------------
