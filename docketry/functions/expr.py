@@ -47,20 +47,6 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def first_match(c: Column, patterns: tuple[str, ...], group: int) -> Column:
-    """Captured group of the leftmost match of the first pattern that matches, else null.
-
-    Each pattern runs at most once. Only for groups that cannot match the empty string:
-    ``regexp_extract`` yields ``''`` for "no match".
-    """
-    if not patterns:
-        return F.lit(None).cast("string")
-    return bind(
-        F.regexp_extract(c, patterns[0], group),
-        lambda m: F.when(m != "", m).otherwise(first_match(c, patterns[1:], group)),
-    )
-
-
 def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``withColumn`` for costly expressions: ``value`` is evaluated once per row.
 

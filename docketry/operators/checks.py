@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketry.functions.expr import SEARCH_DOTALL, first_match, spark_pattern, squeeze, strip
+from docketry.functions.expr import SEARCH_DOTALL, spark_pattern
+from docketry.functions.sqltext import first_match, squeeze, strip
 
 
 def strategy_consensus(
@@ -52,13 +53,12 @@ def parse_validation(
 
     Issues are read only for an invalid verdict; blanks are squeezed, an empty list is null.
     """
-    response = F.col(response_col)
+    response = f"`{response_col}`"
     # Decoration around words, such as ** or [ ], is allowed.
-    status = F.upper(
-        first_match(response, (spark_pattern(r"Status:[\s*\[]*(INVALID|VALID)"),), 1)
-    )
-    issues = first_match(response, (spark_pattern(r"Issues:[*]*\s*(.+)", SEARCH_DOTALL),), 1)
-    issues = F.nullif(squeeze(strip(issues)), F.lit(""))
+    verdict = (spark_pattern(r"Status:[\s*\[]*(INVALID|VALID)"),)
+    problems = (spark_pattern(r"Issues:[*]*\s*(.+)", SEARCH_DOTALL),)
+    status = F.upper(F.expr(first_match(response, verdict, 1)))
+    issues = F.nullif(F.expr(squeeze(strip(first_match(response, problems, 1)))), F.lit(""))
     return df.withColumn("validation_status", status).withColumn(
         "issues", F.when(F.col("validation_status") == "INVALID", issues)
     )

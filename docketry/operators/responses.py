@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.functions.expr import (
-    SEARCH_DOTALL, bind, compute_once, first_match, spark_pattern, squeeze, strip,
-)
+from docketry.functions.expr import SEARCH_DOTALL, compute_once, spark_pattern
+from docketry.functions.sqltext import first_match, let, squeeze, strip
 from docketry.sources.taxonomy import labels_array
 
 # The answer formats that are understood, in order of priority.
@@ -31,7 +30,7 @@ CONFIDENCE = 0.8
 STATUSES = ("ok", "empty_response", "no_match", "unknown_label", "error")
 
 
-def extract_label(response: Column) -> Column:
+def _label(text: str) -> str:
     """R2: ``struct<label, word>`` of the first pattern that matches, null without a match.
 
     The whole match is cut up afterwards: a label has no comma, the text before the first
@@ -39,104 +38,75 @@ def extract_label(response: Column) -> Column:
     """
     *structured, plain = [spark_pattern(p) for p in LABEL_PATTERNS]
 
-    def parts(label: Column, match: Column) -> Column:
-        word = F.lower(strip(F.substring_index(match, ":", -1)))
-        return F.struct(strip(label).alias("label"), word.alias("word"))
-
-    def from_structured(match: Column) -> Column:
-        behind = F.substring(match, F.locate(":", match) + 1, F.length(match))
-        return parts(F.substring_index(behind, ",", 1), match)
-
-    def from_plain(match: Column) -> Column:
-        return F.when(match.isNotNull(), parts(F.substring_index(match, ":", 1), match))
-
-    return bind(
-        first_match(response, tuple(structured), 0),
-        lambda match: F.when(match.isNotNull(), from_structured(match)).otherwise(
-            bind(first_match(response, (plain,), 0), from_plain)
-        ),
+    def parts(label: str, match: str) -> str:
+        word = f"lower({strip(f"substring_index({match}, ':', -1)")})"
+        return f"named_struct('label', {strip(label)}, 'word', {word})"
+
+    behind_colon = "substring(whole, locate(':', whole) + 1)"
+    from_structured = parts(f"substring_index({behind_colon}, ',', 1)", "whole")
+    from_plain = parts("substring_index(line, ':', 1)", "line")
+    return let(
+        "whole",
+        first_match(text, tuple(structured), 0),
+        f"if(whole IS NOT NULL, {from_structured}, "
+        + let("line", first_match(text, (plain,), 0), f"if(line IS NOT NULL, {from_plain}, NULL)")
+        + ")",
     )
 
 
-def extract_reasoning(response: Column) -> Column:
+def _reasoning(text: str) -> str:
     """The reasoning section, else a one-line reason, else an empty string."""
 
-    def first(patterns: tuple[str, ...]) -> Column:
+    def first(patterns: tuple[str, ...]) -> str:
         return strip(
-            first_match(response, tuple(spark_pattern(p, SEARCH_DOTALL) for p in patterns), 1)
+            first_match(text, tuple(spark_pattern(p, SEARCH_DOTALL) for p in patterns), 1)
         )
 
-    return bind(
+    return let(
+        "section",
         squeeze(first(REASONING_PATTERNS)),
-        lambda section: F.when(section != "", section).otherwise(
-            F.coalesce(first(PLAIN_REASONING_PATTERNS), F.lit(""))
-        ),
+        f"if(section != '', section, coalesce({first(PLAIN_REASONING_PATTERNS)}, ''))",
     )
 
 
-def canonical_label(label: Column, labels: Column) -> Column:
+def _entry(label: str, labels: str) -> str:
     """The taxonomy entry a label means, null when there is none.
 
     Equality ignoring case comes first, then containment either way; the first entry in
-    taxonomy order wins. ``labels`` comes from :func:`labels_array`.
+    taxonomy order wins.
     """
-
-    def look_up(lowered: Column) -> Column:
-        same = F.filter(labels, lambda e: F.lower(e["event_type"]) == lowered)
-        part = F.filter(
-            labels,
-            lambda e: F.contains(lowered, F.lower(e["event_type"]))
-            | F.contains(F.lower(e["event_type"]), lowered),
-        )
-        return F.coalesce(F.get(same, F.lit(0)), F.get(part, F.lit(0)))
-
-    return F.when(label.isNotNull(), bind(F.lower(label), look_up))
+    same = f"get(filter({labels}, e -> lower(e.event_type) = low), 0)"
+    part = (
+        f"get(filter({labels}, e -> contains(low, lower(e.event_type))"
+        " OR contains(lower(e.event_type), low)), 0)"
+    )
+    return let("low", f"lower({label})", f"coalesce({same}, {part})")
 
 
-def parse_response(response: Column, labels: Column, failed: Column | None = None) -> Column:
+def parse_response(response: str, labels: str, failed: str = "false") -> Column:
     """R1-R10 for one response, as one value that is computed once.
 
-    ``struct<parse_status, stated_relevant, taxonomy_relevant, blank_label, result>``;
-    ``labels`` is a column holding :func:`labels_array` with ``relevant``.
+    ``struct<parse_status, stated_relevant, taxonomy_relevant, blank_label, result>``. The
+    arguments are SQL: a response, an array from :func:`labels_array` with ``relevant``, and a
+    condition that marks failed calls.
     """
-
-    def judge(text: Column, label: Column, word: Column, entry: Column) -> Column:
-        status = (
-            F.when(F.lit(False) if failed is None else failed, "error")
-            .when(text.isNull() | (text == ""), "empty_response")
-            .when(label.isNull(), "no_match")
-            .when(entry.isNull(), "unknown_label")
-            .otherwise("ok")
-        )
-        stated = word.isin("true", "yes")
-        result = F.struct(
-            entry["event_type"].alias("event_type"),
-            stated.alias("relevant"),
-            F.lit(CONFIDENCE).cast("double").alias("confidence"),
-            extract_reasoning(text).alias("reasoning"),
-            text.alias("raw_response"),
-        )
-        return bind(
-            status,
-            lambda s: F.struct(
-                s.alias("parse_status"),
-                stated.alias("stated_relevant"),
-                entry["relevant"].alias("taxonomy_relevant"),
-                (label == "").alias("blank_label"),
-                F.when(s == "ok", result).alias("result"),
-            ),
-        )
-
-    def parse(text: Column) -> Column:
-        return bind(
-            extract_label(text),
-            lambda given: bind(
-                canonical_label(given["label"], labels),
-                lambda entry: judge(text, given["label"], given["word"], entry),
-            ),
-        )
-
-    return bind(response, parse)
+    status = f"""CASE WHEN {failed} THEN 'error'
+        WHEN text IS NULL OR text = '' THEN 'empty_response'
+        WHEN given IS NULL THEN 'no_match'
+        WHEN entry IS NULL THEN 'unknown_label' ELSE 'ok' END"""
+    stated = "given.word IN ('true', 'yes')"
+    result = f"""named_struct('event_type', entry.event_type, 'relevant', {stated},
+        'confidence', CAST({CONFIDENCE} AS double), 'reasoning', {_reasoning("text")},
+        'raw_response', text)"""
+    judged = let(
+        "status",
+        status,
+        f"""named_struct('parse_status', status, 'stated_relevant', {stated},
+            'taxonomy_relevant', entry.relevant, 'blank_label', given.label = '',
+            'result', if(status = 'ok', {result}, NULL))""",
+    )
+    with_entry = let("entry", f"if(given IS NULL, NULL, {_entry('given.label', labels)})", judged)
+    return F.expr(let("text", response, let("given", _label("text"), with_entry)))
 
 
 def normalize_labels(
@@ -144,7 +114,7 @@ def normalize_labels(
 ) -> DataFrame:
     """R4-R6 for a column of free labels; null where the taxonomy knows none."""
     labelled = df.withColumn("__labels", labels_array(taxonomy))
-    entry = canonical_label(strip(F.col(column)), F.col("__labels"))
+    entry = F.expr(_entry(strip(f"`{column}`"), "__labels"))
     return compute_once(labelled, out, entry["event_type"]).drop("__labels")
 
 
@@ -159,9 +129,9 @@ def parse_responses(
     ``result`` is null unless the status is ``ok``; its ``relevant`` is the one the response
     states (see ``apply_relevance`` for the taxonomy's). ``error_col`` marks failed calls.
     """
-    failed = F.col(error_col).isNotNull() if error_col else None
+    failed = f"`{error_col}` IS NOT NULL" if error_col else "false"
     labelled = df.withColumn("__labels", labels_array(taxonomy, "relevant"))
-    parsed = parse_response(F.col(response_col), F.col("__labels"), failed)
+    parsed = parse_response(f"`{response_col}`", "__labels", failed)
     return (
         compute_once(labelled, "__parsed", parsed)
         .withColumns(

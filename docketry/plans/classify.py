@@ -52,9 +52,7 @@ def classify(
     ).withColumn("__prompt", F.when(~F.col("__blank"), prompt))
     parsed = F.when(
         F.col("__prompt").isNotNull(),
-        parse_response(
-            F.col("__outcome.response"), F.col("__labels"), F.col("__outcome.error").isNotNull()
-        ),
+        parse_response("__outcome.response", "__labels", "__outcome.error IS NOT NULL"),
     )
     passes = [f"__parsed_{attempt}" for attempt in range(1, max_retries + 2)]
     for attempt, name in enumerate(passes, 1):
