@@ -152,8 +152,10 @@ def visible_text(html: str | None) -> str | None:
         return None
     scan = _Scan()
     at = 0
+    # Nothing behind the last ">" is a tag; looking there again and again would be quadratic.
+    last = html.rfind(">") + 1
     while True:
-        token = _TOKEN.search(html, at)
+        token = _TOKEN.search(html, at, last)
         if token is None:
             break
         scan.text(html[at:token.start()])
@@ -173,8 +175,10 @@ def visible_text(html: str | None) -> str | None:
             scan.push(name, rest if name == "div" else "")
         elif name := token["close"]:
             scan.close(name.lower())
+        elif token["comment"] is not None and not token[0].endswith(("-->", "--!>")):
+            at = len(html)  # never closed
         elif token["cdata"]:
             if not (scan.dropped or scan.silent):
                 scan.nodes.append((token["cdata"], scan.dropped_divs > 0))
-    scan.text(html[at:])
+    scan.text(html[at:].partition("<!--")[0])
     return scan.finish()

@@ -153,13 +153,17 @@ def process_filings(
     wanted = documents.select("accession_number", "html").join(
         filings.select("accession_number"), "accession_number", "left_semi"
     )
+    content = one_document_each(wanted).withColumn(
+        "__no_content", F.coalesce("html", F.lit("")) == ""
+    )
     outcome = classify(
-        extract_text(one_document_each(wanted)), taxonomy, generate, strategy, **options
-    ).withColumn(
-        "status", F.when(F.coalesce("html", F.lit("")) == "", "no_content").otherwise(F.col("status"))
+        extract_text(content).drop("html"), taxonomy, generate, strategy, **options
     )
+    outcome = outcome.withColumn(
+        "status", F.when(F.col("__no_content"), "no_content").otherwise(F.col("status"))
+    ).drop("text", "__no_content")
     return (
-        filings.join(outcome.drop("html", "text"), "accession_number", "left")
+        filings.join(outcome, "accession_number", "left")
         .withColumns(
             {
                 "status": F.coalesce("status", F.lit("no_content")),

@@ -51,6 +51,9 @@ def nodes(markup):
         ("<!DOCTYPE html><?pi x?><![CDATA[data]]>t", ["data", "t"]),
         ("<ruby>kan<rt>reading</rt></ruby><template>no</template>", ["kan"]),
         ("<!-- never closed", []),
+        ("a<!-- never <b>closed</b> x", ["a"]),
+        ("a <b c", ["a <b c"]),
+        ("x<p>y <b", ["x", "y <b"]),
         ("<p title=\"a > b\">x</p><p title=it's>y</p>", ["x", "y"]),
         ("", []),
     ],
@@ -63,6 +66,16 @@ def test_null_document():
     assert visible_text(None) is None
 
 
+def test_broken_markup_is_read_in_linear_time():
+    import time
+
+    for broken in ("<a " * 200_000, "<p>" + "<a x='" * 200_000, "<!--" * 200_000, "<div>" * 200_000,
+                   "<table>" * 50_000 + "x" + "</table>" * 50_000, "</p>" * 200_000, "a=\"<" * 200_000, "&" * 500_000):
+        start = time.perf_counter()
+        visible_text(broken)
+        assert time.perf_counter() - start < 5
+
+
 def test_random_markup_matches_a_plain_reading():
     """Balanced random trees against a recursive definition of the same rules."""
     rng = random.Random(7)
