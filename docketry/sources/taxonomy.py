@@ -117,12 +117,13 @@ def default_taxonomy(spark: SparkSession) -> DataFrame:
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
-    """Taxonomy from a JSON object file, in file order. A missing file is an error.
+    """Taxonomy from a JSON object file, in file order. A missing or broken file is an error.
 
     A label given twice keeps its first place and its last definition.
     """
     text = spark.read.text(path, wholetext=True)
-    entries = text.select(F.posexplode(F.from_json("value", TAXONOMY_FILE))).select(
+    parsed = F.from_json("value", TAXONOMY_FILE, {"mode": "FAILFAST"})
+    entries = text.select(F.posexplode(parsed)).select(
         F.col("pos"), F.col("key").alias("event_type"), "value.*"
     )
     return entries.groupBy("event_type").agg(

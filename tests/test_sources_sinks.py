@@ -55,6 +55,9 @@ def test_taxonomy_file(spark, tmp_path):
         ("B", False, "again", []), ("A", False, "d", ["k", "l"]), ("C", False, "", [])]
     with pytest.raises(AnalysisException):
         d.read_taxonomy(spark, str(tmp_path / "missing.json"))
+    with pytest.raises(Exception, match="MALFORMED"):
+        d.read_taxonomy(spark, put(tmp_path / "broken.json", "{'A': ")).collect()
+    assert d.read_taxonomy(spark, put(tmp_path / "empty.json", "{}")).count() == 0
 
 
 def test_taxonomy_mapping_and_default(spark, tmp_path):

@@ -92,3 +92,29 @@ VERDICT = """CASE turn % 4
                        substring(text, 1, 20), ' ')
     WHEN 2 THEN concat('**Status:** invalid', chr(10), '**Issues:** ', cast(conv_id AS string))
     ELSE text END"""
+
+# Documents with lines for every cleaning rule behind their own text.
+NOISY_TEXT = """concat(text, chr(10), CASE doc_id % 8
+    WHEN 0 THEN '  --==**.. __ '
+    WHEN 1 THEN '  123456789012345 '
+    WHEN 2 THEN concat('Attached to this form', chr(160), '  8-k of the year')
+    WHEN 3 THEN concat(chr(160), 'nine char', chr(10), 'ten chars!', chr(9))
+    WHEN 4 THEN concat('Washington, the capital, D.C.', chr(9), '20549 and more')
+    WHEN 5 THEN concat('xbrl instance of the document', chr(10), chr(10), 'the edgarton  and   other names')
+    WHEN 6 THEN concat('a', chr(9), chr(9), 'long  line', chr(9), 'with tabs', chr(10), '☑ ticked by the clerk')
+    ELSE concat('commission FILE number 001-2', chr(10), '1234567890 is not only digits') END)"""
+
+# Pages with pieces of a filing behind them, and the same pages without the pieces to be dropped.
+FILING_HTML = """concat(html, CASE page_id % 7
+    WHEN 0 THEN '<TABLE><tr><td>Filing <b>Detail</b></td><td>a long cell in a dropped table</td></TABLE>'
+    WHEN 1 THEN '<div class="x page-header y"><div>a long line in a dropped block</div>more of that</div>'
+    WHEN 2 THEN '<table><tr><td>a long cell in a kept table</td></tr></table>'
+    WHEN 3 THEN '<p>Washington, D.C. 20549</p><noscript>a long line without scripts</noscript>'
+    WHEN 4 THEN '<div id=main>a long line in a kept block<nav>a long way around</nav></div>'
+    WHEN 5 THEN '<table><tr><td><table><td>Document Format Files</td></table></td><td>a long outer cell</td></tr></table>'
+    ELSE '<TYPE>EX-99.1<DIV ID="mailer"><p>a long postal address line</p></DIV>the end of the page' END)"""
+SHOWN_HTML = """concat(html, CASE page_id % 7
+    WHEN 2 THEN '<table><tr><td>a long cell in a kept table</td></tr></table>'
+    WHEN 4 THEN '<div id=main>a long line in a kept block</div>'
+    WHEN 6 THEN '<TYPE>EX-99.1<p>the end of the page</p>'
+    ELSE '' END)"""

@@ -182,11 +182,13 @@ FROM (SELECT page_id,
 
 ORACLES["extract_text_pages"] = f"""
 SELECT page_id, length(text) AS text_length, substring(text, 1, 200) AS sample, md5(text) AS text_md5
-FROM (SELECT page_id, {page_text('html')} AS text FROM pages)"""
+FROM (SELECT page_id, {page_text('html')} AS text
+      FROM (SELECT page_id, {i.SHOWN_HTML} AS html FROM pages))"""
 
 ORACLES["clean_lines_documents"] = f"""
 SELECT doc_id, length(text) AS text_length, md5(text) AS text_md5
-FROM (SELECT doc_id, {clean('text')} AS text FROM documents)"""
+FROM (SELECT doc_id, {clean('text')} AS text
+      FROM (SELECT doc_id, {i.NOISY_TEXT} AS text FROM documents))"""
 
 ORACLES["line_drop_reasons"] = f"""
 SELECT CASE WHEN line = '' THEN 'empty'
@@ -195,7 +197,8 @@ SELECT CASE WHEN line = '' THEN 'empty'
             WHEN length(line) < 10 THEN 'short'
             WHEN regexp_matches(line, {NOISE}) THEN 'noise'
             ELSE 'kept' END AS reason, count(*) AS n_lines
-FROM (SELECT unnest({lines('text')}) AS line FROM documents) GROUP BY 1"""
+FROM (SELECT unnest({lines('text')}) AS line
+      FROM (SELECT {i.NOISY_TEXT} AS text FROM documents)) GROUP BY 1"""
 
 # --- prompts -----------------------------------------------------------------------------
 

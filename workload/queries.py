@@ -260,8 +260,9 @@ def source_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def extract_text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1-T12."""
-    pages = d.extract_text(texts(spark, sf_dir, "pages").select("page_id", "html"))
+    """T1-T12, with pieces of filings behind the pages."""
+    markup = texts(spark, sf_dir, "pages").select("page_id", F.expr(i.FILING_HTML).alias("html"))
+    pages = d.extract_text(markup)
     return pages.select(
         "page_id",
         long_length("text").alias("text_length"),
@@ -274,7 +275,7 @@ def extract_text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_lines_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T6-T11."""
     cleaned = texts(spark, sf_dir, "documents").select(
-        "doc_id", clean_lines(F.col("text")).alias("text")
+        "doc_id", clean_lines(F.expr(i.NOISY_TEXT)).alias("text")
     )
     return cleaned.select(
         "doc_id", long_length("text").alias("text_length"), F.md5("text").alias("text_md5")
@@ -284,7 +285,8 @@ def clean_lines_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def line_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T14."""
-    return d.line_drop_reasons(texts(spark, sf_dir, "documents"))
+    documents = texts(spark, sf_dir, "documents").select(F.expr(i.NOISY_TEXT).alias("text"))
+    return d.line_drop_reasons(documents)
 
 
 # --- prompts -----------------------------------------------------------------------------
