@@ -35,33 +35,45 @@ def _one_per_key(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("row")).select(*key, "row.*")
 
 
-def upsert(df: DataFrame, root: str, schema: str, key: list[str], fmt: str = "json") -> None:
-    """Replace rows of equal key in the company partitions that ``df`` touches.
-
-    Other partitions are neither read nor written. The rebalance hint gives each company few
-    files and lets adaptive execution split a company that holds a large share of the rows.
-    """
-    spark = df.sparkSession
-    rows = _one_per_key(df.select(*columns(schema)), key)
-    stored = _existing(spark, root, schema, fmt)
-    if stored is not None:
-        # Used three times below, so written down first: it may have cost model calls.
-        new = stage(rows, f"{root.rstrip('/')}__staged")
-        touched = new.select(PARTITION).distinct()
-        kept = stored.join(touched, PARTITION, "left_semi").join(
-            new.select(*key), key, "left_anti"
-        )
-        rows = new.unionByName(kept)
+def _write(rows: DataFrame, root: str, fmt: str, mode: str) -> None:
     (
         rows.hint("rebalance", PARTITION)
         .write.format(fmt)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
-        .mode("overwrite")
+        .mode(mode)
         .save(root)
     )
 
 
+def upsert(df: DataFrame, root: str, schema: str, key: list[str], fmt: str = "json") -> None:
+    """Add rows to a table partitioned by company; rows of equal key are replaced.
+
+    Only companies for which a stored key comes again are rewritten, the rows of all others
+    are appended, so a run costs as much as it brings. Run again after a failure, it finds
+    its own keys and replaces them. The rebalance hint gives each company few files and lets
+    adaptive execution split one that holds a large share of the rows.
+    """
+    rows = _one_per_key(df.select(*columns(schema)), key)
+    stored = _existing(df.sparkSession, root, schema, fmt)
+    if stored is None:
+        _write(rows, root, fmt, "append")
+        return
+    # Both are used several times and may have cost model calls, so they are written down.
+    staging = f"{root.rstrip('/')}__staged"
+    new = stage(rows, staging)
+    rewritten = stage(
+        new.join(stored.select(*key), key, "left_semi").select(PARTITION).distinct(), staging
+    )
+    if not rewritten.isEmpty():
+        kept = stored.join(rewritten, PARTITION, "left_semi").join(
+            new.select(*key), key, "left_anti"
+        )
+        replaced = new.join(rewritten, PARTITION, "left_semi").unionByName(kept)
+        _write(replaced, root, fmt, "overwrite")
+    _write(new.join(rewritten, PARTITION, "left_anti"), root, fmt, "append")
+
+
 def write_metadata(filings: DataFrame, root: str, fmt: str = "json") -> None:
     """K1: store metadata; the same filing written again replaces itself."""
     upsert(to_metadata(filings), root, METADATA, [PARTITION, "filename"], fmt)

@@ -102,6 +102,9 @@ def test_metadata_is_replaced_by_key(spark, tmp_path, fmt):
         ("0000000001", "A", "x-1", "2024-01-01_x1_8k"), ("0000000001", "A2", "x-2", "2024-01-02_x2_8k"),
         ("0000000002", "B", "y-1", "2024-01-01_y1_8k"), ("0000000003", "C", "z-1", "2024-01-01_z1_8k")]
     assert sorted(os.listdir(os.path.join(root, "cik=0000000002"))) == untouched
+    d.write_metadata(filings(spark, ("0000000002", "B", "2024-01-09", "y-2")), root, fmt)
+    assert set(untouched) < set(os.listdir(os.path.join(root, "cik=0000000002")))
+    assert d.read_metadata(spark, root, fmt).count() == 5
     pruned = plan(stored.filter("cik = '0000000002'"))
     assert "PartitionFilters: [isnotnull(cik" in pruned
 
