@@ -16,8 +16,15 @@ from docketry.operators.markup import visible_text
 
 @F.pandas_udf(StringType())
 def raw_text(html: pd.Series) -> pd.Series:
-    """Text nodes joined by line ends."""
-    return html.map(visible_text)
+    """Text nodes joined by line ends; null for a document that cannot be read."""
+
+    def read(document: str | None) -> str | None:
+        try:
+            return visible_text(document)
+        except Exception:  # one document must not stop the others
+            return None
+
+    return html.map(read)
 
 
 def extract_text(
@@ -31,7 +38,8 @@ def extract_text(
 
     Select the rows wanted before this step: it is the expensive one.
     """
-    nodes = df.withColumn("__nodes", raw_text(F.col(html_col)))
+    # Filings are not always UTF-8; bytes that are not become U+FFFD before Arrow sees them.
+    nodes = df.withColumn("__nodes", raw_text(F.make_valid_utf8(F.col(html_col))))
     text = clean_lines(F.col("__nodes"), patterns, min_length)
     return compute_once(nodes, text_col, text).drop("__nodes")
 

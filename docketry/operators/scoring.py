@@ -49,7 +49,7 @@ def score(
     prompt: str | Column = "prompt",
 ) -> DataFrame:
     """Add ``response`` and ``error``. Write the output down before using it twice."""
-    column = F.col(prompt) if isinstance(prompt, str) else prompt
+    column = F.make_valid_utf8(F.col(prompt) if isinstance(prompt, str) else prompt)
     scored = df.withColumn("__outcome", scorer(generate, setup)(column))
     return scored.withColumns(
         {"response": F.col("__outcome.response"), "error": F.col("__outcome.error")}

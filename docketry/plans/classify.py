@@ -49,7 +49,7 @@ def classify(
             "__failure": F.lit(None).cast("string"),
             "attempts": F.lit(0),
         }
-    ).withColumn("__prompt", F.when(~F.col("__blank"), prompt))
+    ).withColumn("__prompt", F.when(~F.col("__blank"), F.make_valid_utf8(prompt)))
     parsed = F.when(
         F.col("__prompt").isNotNull(),
         parse_response("__outcome.response", "__labels", "__outcome.error IS NOT NULL"),

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.sources.schemas import TAXONOMY, TAXONOMY_FILE
+from docketry.sources.schemas import TAXONOMY_FILE
 
 MAX_LABELS = 10_000
 
@@ -161,8 +161,3 @@ def labels_array(taxonomy: DataFrame, *fields: str) -> Column:
     packed = F.array_sort(F.collect_list(F.struct("ordinal", "event_type", *fields)))
     return one_row(taxonomy, packed).scalar()
 
-
-__all__ = [
-    "DEFAULT_TAXONOMY", "MAX_LABELS", "TAXONOMY", "default_taxonomy", "labels_array",
-    "load_taxonomy", "one_row", "read_taxonomy", "taxonomy_from_dict",
-]

@@ -4,6 +4,7 @@ import html
 import random
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,3 +217,23 @@ def test_filtering_on_text_runs_python_once(spark, data):
 def test_cleaning_needs_no_python(spark, data):
     documents = spark.read.parquet(f"{data}/documents.parquet")
     assert "EvalPython" not in plan(documents.select(clean_lines(F.col("text"))))
+
+
+def test_bytes_that_are_not_utf8(spark):
+    df = spark.sql("SELECT concat('<p>Soci', cast(unhex('E9') AS string), 't generale</p>') AS html")
+    assert rows(d.extract_text(df).select("text")) == [("Soci\ufffdt generale",)]
+    prompts = df.select(F.col("html").alias("prompt"))
+    assert d.score(prompts, lambda p: p[:8]).first()["response"] == "<p>Soci\ufffd"
+
+
+def test_one_unreadable_document_does_not_stop_the_rest(monkeypatch):
+    from docketry.operators import extraction
+
+    def fragile(document):
+        if "bad" in document:
+            raise ValueError("bad")
+        return document
+
+    monkeypatch.setattr(extraction, "visible_text", fragile)
+    batch = pd.Series(["bad one is here", "good one is here"])
+    assert list(extraction.raw_text.func(batch)) == [None, "good one is here"]

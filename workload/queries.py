@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import docketry as d
-from docketry.functions.keys import normalize_date, pad_cik, parse_day
+from docketry.functions.keys import normalize_date, pad_cik
 from docketry.functions.lines import clean_lines, text_sample
 from docketry.operators.responses import result_json
 from docketry.streaming.arrivals import first_arrivals, run_available
@@ -626,7 +626,7 @@ def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metadata_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: written, then partly written again with another form; read back."""
     root = scratch(spark, "metadata")
-    filings = order_filings(table(spark, sf_dir, "orders"))
+    filings = order_filings(texts(spark, sf_dir, "orders"))
     d.write_metadata(filings, root)
     again = filings.filter("o_custkey % 25 < 5 AND o_orderkey % 2 = 0")
     d.write_metadata(again.withColumn("form", F.lit("8-K/A")), root)
@@ -637,7 +637,7 @@ def metadata_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def classification_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: one classification per order, Parquet; the second run replaces part of them."""
     root = scratch(spark, "classifications")
-    filings = order_filings(table(spark, sf_dir, "orders")).select(
+    filings = order_filings(texts(spark, sf_dir, "orders")).select(
         "cik",
         "accession_number",
         F.col("form").alias("event_type"),
