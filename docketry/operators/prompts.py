@@ -70,10 +70,19 @@ def examples_text(examples: Sequence[Mapping[str, str]] | Column | None) -> Colu
 def prompt_column(
     text: Column,
     taxonomy: DataFrame,
-    strategy: str = templates.DEFAULT_STRATEGY,
+    strategy: str | Column = templates.DEFAULT_STRATEGY,
     examples: Sequence[Mapping[str, str]] | Column | None = None,
 ) -> Column:
-    """The prompt for one strategy; an unknown strategy is a ``ValueError``."""
+    """The prompt for a strategy, given by name or by a column with one name per row.
+
+    An unknown name is a ``ValueError``; in a column it gives a null prompt for its row.
+    """
+    if isinstance(strategy, Column):
+        prompt = F.lit(None).cast("string")
+        for name in templates.STRATEGIES:
+            rendered = prompt_column(text, taxonomy, name, examples)
+            prompt = F.when(strategy == name, rendered).otherwise(prompt)
+        return prompt
     if strategy not in templates.STRATEGIES:
         raise ValueError(f"unknown prompt strategy: {strategy!r}")
     slots = {"text": text}
@@ -94,19 +103,8 @@ def render_prompt(
     text_col: str = "text",
     out: str = "prompt",
 ) -> DataFrame:
-    """Add the prompt. ``strategy`` is a name, or a column with one name per row.
-
-    With a column, a row with an unknown strategy gets a null prompt. No shuffle, no join.
-    """
-    text = F.col(text_col)
-    if isinstance(strategy, str):
-        return df.withColumn(out, prompt_column(text, taxonomy, strategy, examples))
-    prompt = F.lit(None).cast("string")
-    for name in templates.STRATEGIES:
-        prompt = F.when(strategy == name, prompt_column(text, taxonomy, name, examples)).otherwise(
-            prompt
-        )
-    return df.withColumn(out, prompt)
+    """Add the prompt of each row (see :func:`prompt_column`); no shuffle, no join."""
+    return df.withColumn(out, prompt_column(F.col(text_col), taxonomy, strategy, examples))
 
 
 def render_validation_prompt(

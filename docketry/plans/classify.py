@@ -24,7 +24,7 @@ def classify(
     df: DataFrame,
     taxonomy: DataFrame,
     generate: Generate | None = None,
-    strategy: str = DEFAULT_STRATEGY,
+    strategy: str | Column = DEFAULT_STRATEGY,
     examples: Sequence[Mapping[str, str]] | Column | None = None,
     max_retries: int = DEFAULT_MAX_RETRIES,
     setup: Callable[[], Generate] | None = None,
@@ -35,6 +35,7 @@ def classify(
     Every retry is a further column of the same row: the prompt of a row that is solved, or
     has no text, is null and is not sent. All attempts thus run in one stage, with no shuffle,
     join or stored intermediate, and no response is generated twice for one task.
+    ``strategy`` may be a column, as made by ``fan_out_strategies``, to compare strategies.
 
     ``status`` is ``classified``, ``empty_text`` or ``unclassified``; ``result.relevant`` is
     the taxonomy's flag, ``stated_relevant`` the one in the response. The plan calls a model:

@@ -52,7 +52,7 @@ def first_arrivals(
 
 def store_batch(
     root: str,
-    documents: Callable[[SparkSession], DataFrame] | None = None,
+    documents: Callable[[SparkSession, DataFrame], DataFrame] | None = None,
     taxonomy: Callable[[SparkSession], DataFrame] | None = None,
     generate: Generate | None = None,
     strategy: str = DEFAULT_STRATEGY,
@@ -60,7 +60,9 @@ def store_batch(
 ) -> Callable[[DataFrame, int], None]:
     """A micro-batch handler that writes metadata and, given a model, classifications.
 
-    Both sinks replace by key, so a batch that is run again after a failure changes nothing.
+    ``documents`` is called with each batch, so that it can read just the folders or dates the
+    batch needs instead of everything that ever landed. Both sinks replace by key, so a batch
+    that is run again after a failure changes nothing.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -68,7 +70,7 @@ def store_batch(
         if generate is not None:
             spark = batch.sparkSession
             processed = process_filings(
-                batch, documents(spark), taxonomy(spark), generate, strategy
+                batch, documents(spark, batch), taxonomy(spark), generate, strategy
             )
             write_classifications(
                 to_classifications(processed), f"{root}/classifications", fmt

@@ -120,6 +120,21 @@ def test_strategies_end_to_end(spark, taxonomy):
     assert "Text Length: 25 characters" in report
 
 
+def test_strategies_are_compared(spark, taxonomy):
+    texts = spark.createDataFrame([(1, "a deal"), (2, "a date")], "n int, text string")
+
+    def model(prompt):
+        if "Solved examples" in prompt:
+            return "Other: no"
+        return "Acquisition: yes" if "a deal" in prompt or "Step 1" in prompt else "Other: no"
+
+    fanned = d.classify(d.fan_out_strategies(texts), taxonomy, model, F.col("strategy"))
+    votes = fanned.select("n", F.col("result.event_type").alias("event_type"))
+    assert rows(d.strategy_consensus(votes, taxonomy, "n"), "n") == [(1, "Acquisition", 4, 0.75), (2, "Other", 4, 0.75)]
+    odd = d.classify(texts.withColumn("strategy", F.lit("guess")), taxonomy, model, F.col("strategy"))
+    assert {r[:] for r in rows(odd.select("status", "attempts"))} == {("unclassified", 0)}
+
+
 def attempts(spark, *answers):
     return spark.createDataFrame([("k", n, a) for n, a in answers], "k string, attempt int, response string")
 

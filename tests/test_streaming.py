@@ -26,7 +26,7 @@ def test_incremental_runs_equal_one_batch(spark, tmp_path):
     spark.createDataFrame([(k, f"<p>the merger named {k} was closed</p>") for k in keys],
                           "accession_number string, html string").write.parquet(str(documents))
     handle = store_batch(
-        root, lambda s: s.read.parquet(str(documents)), d.default_taxonomy,
+        root, lambda s, batch: s.read.parquet(str(documents)), d.default_taxonomy,
         lambda prompt: "Acquisition: yes" if "a-" in prompt else "cannot tell", "basic")
 
     def run():
