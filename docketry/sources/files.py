@@ -9,9 +9,13 @@ from docketry.functions.keys import source_type
 from docketry.sources.schemas import CLASSIFICATION, METADATA, SUBMISSIONS
 
 
-def read_submissions(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON object per company. Only the recent-filings arrays are read."""
-    return spark.read.schema(SUBMISSIONS).option("multiLine", True).json(path)
+def read_submissions(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One JSON object per company. Only the recent-filings arrays are read.
+
+    The default is one file per company, as landed. With ``lines`` the files hold one object
+    per line; Spark can then split large files instead of opening very many small ones.
+    """
+    return spark.read.schema(SUBMISSIONS).option("multiLine", not lines).json(path)
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -109,6 +109,12 @@ WITH rows AS ({INDEX})
 SELECT cik, form, count(*) AS n_broken FROM rows
 WHERE accession_number IS NULL GROUP BY cik, form"""
 
+ORACLES["submissions_landed"] = f"""
+WITH rows AS ({INDEX})
+SELECT cik, company_name, form, count(*) AS n_filings, min(filing_date) AS first_date,
+       count(accession_number) AS n_keys
+FROM rows GROUP BY cik, company_name, form"""
+
 ORACLES["filings_last_days"] = f"""
 SELECT o_orderkey, {i.ORDER_DATE} AS filing_date FROM orders
 WHERE {i.ORDER_DAY} BETWEEN date '1997-08-01' - 45 AND date '1997-08-01'"""
@@ -211,6 +217,14 @@ SELECT string_agg(event_type, ', ' ORDER BY first) AS labels,
                   chr(10) ORDER BY first) AS label_lines
 FROM kinds"""
 
+ORACLES["taxonomy_file"] = """
+SELECT row_number() OVER (ORDER BY first) - 1 AS ordinal, event_type, relevant, description, keywords
+FROM (SELECT event_type, min(event_id) AS first, avg(value) > 20 AS relevant,
+             concat(count(*), ' events') AS description,
+             CASE WHEN event_type = 'view' THEN ''
+                  ELSE concat(lower(event_type), '|', upper(event_type)) END AS keywords
+      FROM events GROUP BY event_type)"""
+
 LABELS = text(", ".join(i.TAXONOMY))
 LABEL_LINES = text(
     "\n".join(

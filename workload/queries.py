@@ -100,6 +100,19 @@ def filings_explode_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def submissions_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The indexes written as JSON lines and read back, then counted per company and form."""
+    path = scratch(spark, "submissions")
+    submissions(texts(spark, sf_dir, "orders")).write.json(path)
+    filings = d.explode_filings(d.read_submissions(spark, path, lines=True))
+    return filings.groupBy("cik", "company_name", "form").agg(
+        F.count(F.lit(1)).alias("n_filings"),
+        F.min("filing_date").alias("first_date"),
+        F.count("accession_number").alias("n_keys"),
+    )
+
+
 @query
 def filings_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """index rows without a usable key, counted per company and form."""
@@ -292,13 +305,12 @@ def line_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- prompts -----------------------------------------------------------------------------
 
 
-@query
-def taxonomy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P6 for a taxonomy derived from the whole of `events`."""
+def event_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A taxonomy derived from the whole of `events`: one label per kind of event."""
     kinds = table(spark, sf_dir, "events").groupBy("event_type").agg(
         F.avg("value").alias("mean"), F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first")
     )
-    derived = kinds.select(
+    return kinds.select(
         F.col("first").cast("int").alias("ordinal"),
         "event_type",
         (F.col("mean") > 20).alias("relevant"),
@@ -307,7 +319,29 @@ def taxonomy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.array(F.lower("event_type"), F.upper("event_type")))
         .alias("keywords"),
     )
-    return d.taxonomy_text(derived)
+
+
+@query
+def taxonomy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6."""
+    return d.taxonomy_text(event_kinds(spark, sf_dir))
+
+
+@query
+def taxonomy_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """That taxonomy written as one JSON object, without its empty keyword lists."""
+    path = scratch(spark, "taxonomy")
+    label = F.struct(
+        "relevant", "description", F.when(F.size("keywords") > 0, F.col("keywords")).alias("keywords")
+    )
+    entries = F.array_sort(F.collect_list(F.struct("ordinal", "event_type", label.alias("entry"))))
+    named = F.transform(entries, lambda e: F.struct(e["event_type"], e["entry"]))
+    event_kinds(spark, sf_dir).agg(F.to_json(F.map_from_entries(named)).alias("value")).write.text(path)
+    read = d.read_taxonomy(spark, path)
+    return read.select(
+        F.col("ordinal").cast("bigint").alias("ordinal"), "event_type", "relevant", "description",
+        F.array_join("keywords", "|").alias("keywords"),
+    )
 
 
 def prompt_facts(df: DataFrame, *keys: str) -> DataFrame:
