@@ -7,7 +7,6 @@ finds the text nodes; all line work happens in Catalyst afterwards.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from html.entities import html5
 
 # Element kinds, table words and div marks whose content is left out.
@@ -25,6 +24,10 @@ VOID_ELEMENTS = frozenset(
      "param", "source", "spacer", "track", "wbr")
 )
 SILENT_ELEMENTS = frozenset(("rt", "rp", "template"))
+PREFORMATTED_ELEMENTS = frozenset(("pre", "textarea"))
+_TRACKED = (
+    DROPPED_ELEMENTS | SILENT_ELEMENTS | PREFORMATTED_ELEMENTS | frozenset(("table", "div"))
+)
 
 # One markup token. A quote only opens a value directly after "="; possessive repeats keep
 # the scan linear on broken markup.
@@ -86,7 +89,7 @@ class _Scan:
 
     def __init__(self) -> None:
         self.open: list[tuple[str, bool]] = []
-        self.open_count: Counter[str] = Counter()
+        self.open_count: dict[str, int] = {}
         self.dropped = 0
         self.dropped_divs = 0
         self.silent = 0
@@ -96,31 +99,38 @@ class _Scan:
         self.nodes: list[tuple[str, bool]] = []
 
     def push(self, name: str, attributes: str) -> None:
-        hidden_div = name == "div" and _is_dropped_div(attributes)
+        hidden_div = False
+        if name in _TRACKED:
+            hidden_div = name == "div" and _is_dropped_div(attributes)
+            if name == "table" and not self.dropped:
+                if not self.tables:
+                    self.table_start = len(self.nodes)
+                self.tables += 1
+            self.count(name, hidden_div, 1)
         self.open.append((name, hidden_div))
-        self.open_count[name] += 1
-        self.dropped += name in DROPPED_ELEMENTS
-        self.silent += name in SILENT_ELEMENTS
-        self.preformatted += name in ("pre", "textarea")
-        self.dropped_divs += hidden_div
-        if name == "table" and not self.dropped:
-            if not self.tables:
-                self.table_start = len(self.nodes)
-            self.tables += 1
+        self.open_count[name] = self.open_count.get(name, 0) + 1
 
     def pop(self) -> str:
         name, hidden_div = self.open.pop()
         self.open_count[name] -= 1
-        if name == "table" and not self.dropped:
-            self.tables -= 1
-            if not self.tables:
-                self.leave_table()
-        self.dropped -= name in DROPPED_ELEMENTS
-        self.silent -= name in SILENT_ELEMENTS
-        self.preformatted -= name in ("pre", "textarea")
-        self.dropped_divs -= hidden_div
+        if name in _TRACKED:
+            self.count(name, hidden_div, -1)
+            if name == "table" and not self.dropped:
+                self.tables -= 1
+                if not self.tables:
+                    self.leave_table()
         return name
 
+    def count(self, name: str, hidden_div: bool, step: int) -> None:
+        if name in DROPPED_ELEMENTS:
+            self.dropped += step
+        elif name in SILENT_ELEMENTS:
+            self.silent += step
+        elif name in PREFORMATTED_ELEMENTS:
+            self.preformatted += step
+        elif hidden_div:
+            self.dropped_divs += step
+
     def leave_table(self) -> None:
         # An inner table's text is part of the outer one's, so the outermost decides.
         text = "".join(node for node, _ in self.nodes[self.table_start:])
@@ -128,7 +138,7 @@ class _Scan:
             del self.nodes[self.table_start:]
 
     def close(self, name: str) -> None:
-        if self.open_count[name]:
+        if self.open_count.get(name):
             while self.pop() != name:
                 pass
 
@@ -136,7 +146,7 @@ class _Scan:
         if not raw or self.dropped or self.silent:
             return
         text = decode_references(raw)
-        if not self.preformatted and _ASCII_BLANK.match(text):
+        if not self.preformatted and text.isspace() and _ASCII_BLANK.match(text):
             text = "\n" if "\n" in text else " "
         self.nodes.append((text, self.dropped_divs > 0))
 
@@ -160,9 +170,9 @@ def visible_text(html: str | None) -> str | None:
             break
         scan.text(html[at:token.start()])
         at = token.end()
-        if name := token["open"]:
-            name = name.lower()
-            rest = token["rest"]
+        kind = token.lastgroup
+        if kind == "rest":
+            name, rest = token["open"].lower(), token["rest"]
             if name in VOID_ELEMENTS:
                 continue
             if rest.endswith("/") and not _BARE_VALUE_END.search(rest):
@@ -173,11 +183,11 @@ def visible_text(html: str | None) -> str | None:
                 at = closing.end() if closing else len(html)
                 continue
             scan.push(name, rest if name == "div" else "")
-        elif name := token["close"]:
-            scan.close(name.lower())
-        elif token["comment"] is not None and not token[0].endswith(("-->", "--!>")):
+        elif kind == "close":
+            scan.close(token["close"].lower())
+        elif kind == "comment" and not token[0].endswith(("-->", "--!>")):
             at = len(html)  # never closed
-        elif token["cdata"]:
+        elif kind == "cdata":
             if not (scan.dropped or scan.silent):
                 scan.nodes.append((token["cdata"], scan.dropped_divs > 0))
     scan.text(html[at:].partition("<!--")[0])

@@ -3,6 +3,7 @@
 import html
 import random
 import re
+from html.parser import HTMLParser
 
 import pandas as pd
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 import docketry as d
 from docketry.functions.lines import NOISE_PATTERNS, clean_lines, noise_regex, text_sample
-from docketry.operators.markup import visible_text
+from docketry.operators.markup import DROPPED_ELEMENTS, VOID_ELEMENTS, visible_text
 from helpers import fixture, plan, python_strip_lines, rows
 
 
@@ -237,3 +238,62 @@ def test_one_unreadable_document_does_not_stop_the_rest(monkeypatch):
     monkeypatch.setattr(extraction, "visible_text", fragile)
     batch = pd.Series(["bad one is here", "good one is here"])
     assert list(extraction.raw_text.func(batch)) == [None, "good one is here"]
+
+
+class Plain(HTMLParser):
+    """Text nodes by the standard library's tokenizer, without the table and div rules."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.open, self.parts, self.held = [], [], []
+
+    def cut(self):
+        node, self.held = "".join(self.held), []
+        if node and not any(name in DROPPED_ELEMENTS for name in self.open):
+            self.parts.append(node)
+
+    def handle_starttag(self, name, attributes):
+        self.cut()
+        if name not in VOID_ELEMENTS:
+            self.open.append(name)
+
+    def handle_startendtag(self, name, attributes):
+        self.cut()
+
+    def handle_endtag(self, name):
+        self.cut()
+        if name in self.open:
+            while self.open.pop() != name:
+                pass
+
+    def handle_data(self, data):
+        self.held.append(data)
+
+    def handle_entityref(self, name):
+        self.held.append(html.unescape(f"&{name};"))
+
+    def handle_charref(self, name):
+        self.held.append(html.unescape(f"&#{name};"))
+
+    def handle_comment(self, data):
+        self.cut()
+
+    handle_decl = handle_pi = handle_comment
+
+    def nodes(self, markup):
+        self.feed(markup + "<p>")
+        self.close()
+        self.cut()
+        return python_strip_lines("\n".join(self.parts))
+
+
+def test_tokens_agree_with_the_standard_library():
+    rng = random.Random(5)
+    tokens = ["<p>", "</p>", "<NAV>", "</nav>", "<br>", "<br/>", "<nav/>", "</br>", "<b class=\"x > y\">", "</b >",
+              "<i title='a' x = y>", "<i title=it's>", "</i>", "<a href=x/>", "</a>", "<!-- c > d -->", "<!DOCTYPE html>",
+              "<?pi?>", "<script>a<b</p>'</script>", "<style>x</style >", "<TYPE>8-K\n", "<ns:tag a:b='c'>", "</ns:tag>",
+              "<button disabled>", "</button>", "<img src=a alt='>'>", "text ", "more\n", " & ", "&amp;", "&amp ", "&#65;",
+              "&#x41;", "&eacute;x", " < 5 ", "a > b", "é", "\xa0", "<title>t</title>"]
+    for _ in range(5000):
+        markup = "".join(rng.choice(tokens) for _ in range(rng.randrange(1, 20)))
+        assert nodes(markup + "<p>") == Plain().nodes(markup), markup
