@@ -1,8 +1,9 @@
 """Keyword evidence and the model-free classifier built on it.
 
-A keyword counts when it occurs as a whole word: on both sides there is an end of the text or
-one character that is neither letter nor digit. Text and keywords get a mark around every such
-character, which turns the test into a plain substring search over the whole text.
+A keyword counts when it occurs as a whole word, ignoring case: on both sides there is an end
+of the text or one character that is neither letter nor digit. Most keywords are absent from
+most texts, so a plain substring search goes first and the edges are checked only for those
+that it finds.
 """
 
 from __future__ import annotations
@@ -13,41 +14,46 @@ from pyspark.sql import functions as F
 from docketry.functions.expr import bind, compute_once
 from docketry.sources.taxonomy import labels_array
 
-_MARK = "\x01"
 FALLBACK_LABEL = "Other"
 
+_BEFORE = r"(?:\A|[^\p{L}\p{N}])"
+_BEHIND = r"(?:\z|[^\p{L}\p{N}])"
 
-def marked(c: Column) -> Column:
-    """Lower-case text with every word edge marked."""
-    edges = F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", f"{_MARK}$0{_MARK}")
-    return F.concat(F.lit(_MARK), edges, F.lit(_MARK))
+
+def _prepared(keyword: Column) -> Column:
+    """A keyword in lower case with the pattern of its whole-word occurrences."""
+    word = F.lower(keyword)
+    quoted = F.regexp_replace(word, r"([^\p{L}\p{N}])", r"\\$1")
+    pattern = F.concat(F.lit(_BEFORE), quoted, F.lit(_BEHIND))
+    return F.struct(word.alias("word"), pattern.alias("pattern"))
 
 
 def _hits(text: Column, labels: Column) -> Column:
     """``array<struct<ordinal, event_type, relevant, hits>>`` for one text."""
 
-    def count(words: Column) -> Column:
+    def count(lowered: Column) -> Column:
+        def occurs(keyword: Column) -> Column:
+            return F.contains(lowered, keyword["word"]) & F.rlike(lowered, keyword["pattern"])
+
         return F.transform(
             labels,
             lambda e: F.struct(
                 e["ordinal"].alias("ordinal"),
                 e["event_type"].alias("event_type"),
                 e["relevant"].alias("relevant"),
-                F.size(F.filter(e["marked_keywords"], lambda k: F.contains(words, k))).alias(
-                    "hits"
-                ),
+                F.size(F.filter(e["prepared"], occurs)).alias("hits"),
             ),
         )
 
-    return F.when(text.isNotNull(), bind(marked(text), count))
+    return F.when(text.isNotNull(), bind(F.lower(text), count))
 
 
 def _keyword_labels(taxonomy: DataFrame) -> Column:
-    # Keywords are marked and made distinct once per query, not once per text.
+    # Keywords are made distinct and quoted once per query, not once per text.
     prepared = taxonomy.withColumn(
-        "marked_keywords", F.array_distinct(F.transform("keywords", marked))
+        "prepared", F.array_distinct(F.transform("keywords", _prepared))
     )
-    return labels_array(prepared, "relevant", "marked_keywords")
+    return labels_array(prepared, "relevant", "prepared")
 
 
 def with_keyword_hits(
