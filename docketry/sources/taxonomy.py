@@ -2,7 +2,8 @@
 
 A taxonomy is a DataFrame of one row per label, ordered by ``ordinal``. Operators need all of
 it for each row of data, so :func:`labels_array` packs it into one value that Spark computes
-once (a scalar subquery, no join). It is bounded: more than ``MAX_LABELS`` labels is an error.
+once (a scalar subquery, no join). It is bounded: more than ``MAX_LABELS`` labels, or more than
+``MAX_CHARACTERS`` of text in them, is an error.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from docketry.sources.schemas import TAXONOMY_FILE
 
 MAX_LABELS = 10_000
+MAX_CHARACTERS = 10_000_000
 
 # Labels, their order, their relevance and their keywords. The descriptions are
 # our own wording.
@@ -152,8 +154,14 @@ def load_taxonomy(
 def one_row(taxonomy: DataFrame, value: Column) -> DataFrame:
     """One row holding ``value`` over the whole taxonomy, or an error beyond the bound."""
     bounded = taxonomy.limit(MAX_LABELS + 1)
-    too_many = F.raise_error(F.lit(f"a taxonomy may have at most {MAX_LABELS} labels"))
-    return bounded.agg(F.when(F.count(F.lit(1)) <= MAX_LABELS, value).otherwise(too_many).alias("v"))
+    text = F.to_json(F.struct(*[F.col(name) for name in taxonomy.columns]))
+    fits = (F.count(F.lit(1)) <= MAX_LABELS) & (
+        F.coalesce(F.sum(F.length(text)), F.lit(0)) <= MAX_CHARACTERS
+    )
+    too_large = F.raise_error(
+        F.lit(f"a taxonomy may have at most {MAX_LABELS} labels and {MAX_CHARACTERS} characters")
+    )
+    return bounded.agg(F.when(fits, value).otherwise(too_large).alias("v"))
 
 
 def labels_array(taxonomy: DataFrame, *fields: str) -> Column:

@@ -101,6 +101,10 @@ def test_taxonomy_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(module, "MAX_LABELS", 1)
     with pytest.raises(Exception, match="at most 1 labels"):
         d.taxonomy_text(d.taxonomy_from_dict(spark, TAXONOMY)).collect()
+    monkeypatch.setattr(module, "MAX_LABELS", 10)
+    monkeypatch.setattr(module, "MAX_CHARACTERS", 20)
+    with pytest.raises(Exception, match="20 characters"):
+        d.taxonomy_text(d.taxonomy_from_dict(spark, TAXONOMY)).collect()
 
 
 def test_no_join_or_shuffle_of_documents(spark, taxonomy, data):
