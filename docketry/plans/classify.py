@@ -191,7 +191,9 @@ def to_classifications(processed: DataFrame) -> DataFrame:
 
 def filing_status(metadata: DataFrame, classifications: DataFrame) -> DataFrame:
     """All metadata, with the classification where there is one."""
-    joined = metadata.join(classifications, "accession_number", "left")
+    shared = [c for c in classifications.columns if c in metadata.columns]
+    shared.remove("accession_number")
+    joined = metadata.join(classifications.drop(*shared), "accession_number", "left")
     return joined.withColumn("classified", F.col("event_type").isNotNull())
 
 
