@@ -112,7 +112,7 @@ def test_strategies_end_to_end(spark, taxonomy):
         [("https://example.org/a.htm", "<p>Apple closed a deal today</p>"), ("local/b.html", "<p>short</p>")],
         "path string, html string")
     for strategy in ("basic", "detailed", "cot", "few_shot"):
-        out = d.classify_documents(page, taxonomy, lambda p: "Type: acquisition, Relevant: false", strategy)
+        out = d.classify_documents(page, taxonomy, lambda p: "Type: acquisition, Relevant: false", strategy, max_retries=0)
         got = rows(out.select("input_source", "source_type", "strategy", "text_length", "extracted_text", "classification.event_type"))
         assert got == [("https://example.org/a.htm", "URL", strategy, 25, "Apple closed a deal today", "Acquisition")]
     report = d.render_report(out).first()["report"]
@@ -128,10 +128,10 @@ def test_strategies_are_compared(spark, taxonomy):
             return "Other: no"
         return "Acquisition: yes" if "a deal" in prompt or "Step 1" in prompt else "Other: no"
 
-    fanned = d.classify(d.fan_out_strategies(texts), taxonomy, model, F.col("strategy"))
+    fanned = d.classify(d.fan_out_strategies(texts), taxonomy, model, F.col("strategy"), max_retries=0)
     votes = fanned.select("n", F.col("result.event_type").alias("event_type"))
     assert rows(d.strategy_consensus(votes, taxonomy, "n"), "n") == [(1, "Acquisition", 4, 0.75), (2, "Other", 4, 0.75)]
-    odd = d.classify(texts.withColumn("strategy", F.lit("guess")), taxonomy, model, F.col("strategy"))
+    odd = d.classify(texts.withColumn("strategy", F.lit("guess")), taxonomy, model, F.col("strategy"), max_retries=0)
     assert {r[:] for r in rows(odd.select("status", "attempts"))} == {("unclassified", 0)}
 
 
@@ -192,7 +192,7 @@ def test_process_filings(spark, taxonomy):
     documents = spark.createDataFrame(
         [("a", "<p>a long line about a deal</p>"), ("b", "<p>x</p>"), ("d", ""), ("zz", "<p>not asked for at all</p>")],
         "accession_number string, html string")
-    done = d.process_filings(filings, documents, taxonomy, lambda p: "REASONING: r CLASSIFICATION: Event Type: Acquisition, Relevant: false")
+    done = d.process_filings(filings, documents, taxonomy, lambda p: "REASONING: r CLASSIFICATION: Event Type: Acquisition, Relevant: false", max_retries=0)
     assert rows(done.select("accession_number", "status", "attempts"), "accession_number") == [
         ("a", "classified", 1), ("b", "empty_text", 0), ("c", "no_content", 0), ("d", "no_content", 0)]
     records = d.to_classifications(done)
