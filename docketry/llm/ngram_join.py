@@ -6,7 +6,8 @@ is exact and goes in two steps of the same kind.
 1. Signatures. Of a set of n hashed n-grams, the 2 * (n - ceil(s * n)) + 1 smallest hashes are its
    signature; two sets that link have a certain number k of them in common. A count of all signature
    tokens tells which occur in one set alone. Only documents with enough shared tokens go on (few of
-   them do, if their texts are their own); each is sent to the blocks of its rarest tokens, and a
+   them do, if their texts are their own); each is sent to the blocks of its rarest tokens
+   (tokens of the same documents make one block), and a
    T-occurrence search in each block finds which signatures have k tokens in common.
 2. Whole sets. The components of the first step are the blocks of the second, which gets each set
    once and searches for the overlap that the similarity asks for.
@@ -190,24 +191,31 @@ def search_block(
     return ids[linked], top[linked]
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows (key, id, n, tokens) with the block (i, j) of every two parts of their group.
+def _blocks(keys: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (key, i, j, part, id, n, tokens): every set of (id, n, tokens) in its blocks.
 
-    A group within the bounds is one block; a larger one has s parts by a hash of the id, and each
-    document goes to the s blocks of its part.
+    ``keys`` has (key, id). Keys with the same documents are one block, named by the least of them,
+    since rare tokens of near-copies mostly come together. A group within the bounds is one block; a
+    larger one has s parts by a hash of the id, and each document goes to the s blocks of its part.
+    Tokens are attached at the end, so that only ids are grouped.
     """
-    weight = F.sum(F.size("tokens"))
-    groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), weight.alias("weight")).where("docs > 1")
-    s = F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("weight") / BLOCK_TOKENS)).cast("int").alias("s")
+    keys = keys.join(sets.select("id", F.size("tokens").alias("weight")), "id")
+    groups = keys.groupBy("key").agg(
+        F.count(F.lit(1)).alias("docs"), F.sum("weight").alias("weight"), F.min("id").alias("first"),
+        F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("two"),
+    ).where("docs > 1")
+    s = F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("weight") / BLOCK_TOKENS)).cast("int")
+    once = groups.groupBy("docs", "first", "one", "two").agg(F.min("key").alias("key"), F.max(s).alias("s"))
     part = F.pmod(F.xxhash64("id"), F.col("s")).cast("int").alias("part")
-    return (
-        rows.join(groups.select("key", s), "key").select("*", part)
+    placed = (
+        keys.select("key", "id").join(once.select("key", "s"), "key").select("key", "id", "s", part)
         .select("*", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("k"))
-        .select("key", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "id", "n", "tokens")
+        .select("key", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "id")
     )
+    return placed.join(sets.select("id", "n", "tokens"), "id")
 
 
-def _search(rows: DataFrame, percent: int, whole: bool) -> DataFrame:
+def _search(keys: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
     """Links (a, b) of all blocks; on whole sets, or on signatures."""
 
     def least(n: int) -> int:
@@ -236,7 +244,7 @@ def _search(rows: DataFrame, percent: int, whole: bool) -> DataFrame:
             if len(a):
                 yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
-    sent = _blocks(rows).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    sent = _blocks(keys, sets).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return sent.mapInArrow(search, "a bigint, b bigint")
 
 
@@ -319,12 +327,13 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         F.col("doc_id").alias("id"), "n", F.col("ranked.h").alias("tokens"),
         F.expr("slice(ranked.h, 1, int(keys))").alias("keys"),
     ), "ranked")
-    near = _search(ranked.select(F.explode("keys").alias("key"), "id", "n", "tokens"), percent, False)
+    near = _search(ranked.select(F.explode("keys").alias("key"), "id"), ranked, percent, False)
     clusters = stage(components(near), "clusters")
 
     # Whole sets of the few documents that are left; Spark broadcasts their ids while they are small.
     keyed = given.join(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("key")), "doc_id")
-    links = _search(_sets(keyed.select("key", "doc_id", "text"), words, percent, True), percent, True)
+    wholes = stage(_sets(keyed.select("key", "doc_id", "text"), words, percent, True).dropDuplicates(["id"]), "wholes")
+    links = _search(wholes.select("key", "id"), wholes, percent, True)
     linked = components(links)
     found = (
         sets.select("doc_id", "n_shingles", "set_hash").distinct()
@@ -332,5 +341,5 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
     )
     found = stage(found, "linked")
-    drop_staged(sets, able, ranked, clusters)
+    drop_staged(sets, able, ranked, clusters, wholes)
     return found
