@@ -6,9 +6,10 @@ is exact and goes in two steps of the same kind.
 1. Signatures. Of a set of n hashed n-grams, the 2 * (n - ceil(s * n)) + 1 smallest hashes are its
    signature; two sets that link have a certain number k of them in common. A count of all signature
    tokens tells which occur in one set alone. Only documents with enough shared tokens go on (few of
-   them do, if their texts are their own); each is sent to the blocks of its rarest tokens
-   (tokens of the same documents make one block), and a
-   T-occurrence search in each block finds which signatures have k tokens in common.
+   them do, if their texts are their own); each is sent to the blocks of its rarest tokens (tokens of
+   the same documents make one block), and a T-occurrence search in each block finds which signatures
+   have k tokens in common. Two blocks for each document connect most of what belongs together; the
+   others are searched for documents with k tokens that other components have, too.
 2. Whole sets. The components of the first step are the blocks of the second, which gets each set
    once and searches for the overlap that the similarity asks for.
 
@@ -139,6 +140,14 @@ def search_block(
     ``least`` is the least overlap a document of that size needs, ``needed`` the overlap with
     documents of given sizes. With ``across``, only documents of different ``parts`` are compared.
     """
+    if len(ids) == 2:  # one list each: the merge is the whole search
+        n = int(sizes.max())
+        apart = across and parts[0] == parts[1]
+        if apart or sizes.min() < required(n, percent) or (
+            len(np.intersect1d(*tokens, assume_unique=True)) < needed(n, sizes.min(keepdims=True))[0]
+        ):
+            return ids[:0], ids[:0]
+        return ids.max(keepdims=True), ids.min(keepdims=True)
     order = np.lexsort((ids, sizes))
     ids, sizes, parts = ids[order], sizes[order], parts[order]
     tokens = [tokens[i] for i in order]
@@ -283,6 +292,28 @@ def _least_shared(n: Column, percent: int) -> Column:
     return small - F.ceil(small * percent / 100.0).cast("bigint") + 1
 
 
+def token_of(sets: DataFrame) -> Column:
+    """One row for each token of a set."""
+    return F.explode(sets["tokens"]).alias("h")
+
+
+def _ranked(able: DataFrame, percent: int) -> DataFrame:
+    """id, n, tokens (those that two sets of ``able`` have) and keys: the rarest n - k + 1 of them.
+
+    A linked document can't miss all keys. Tokens of one set alone would be keys without a partner.
+    """
+    counts = able.select(token_of(able)).groupBy("h").count().where("count > 1")
+    ranked = (
+        able.select("doc_id", "n", token_of(able)).join(counts, "h")
+        .groupBy("doc_id", "n").agg(F.sort_array(F.collect_set(F.struct("count", "h"))).alias("ranked"))
+        .withColumn("keys", F.size("ranked") - _least_shared(F.col("n"), percent) + 1).where("keys > 0")
+    )
+    return ranked.select(
+        F.col("doc_id").alias("id"), "n", F.col("ranked.h").alias("tokens"),
+        F.expr("slice(ranked.h, 1, int(keys))").alias("keys"),
+    )
+
+
 def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id: who is linked by sets of ``words`` words that reach
     ``percent`` per cent of Jaccard similarity.
@@ -316,19 +347,24 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     reps = classes.select(F.col("rep").alias("doc_id"))
     able = stage(able.join(reps, "doc_id", "left_semi"), "able")
 
-    # The rarest tokens first; n - k + 1 of them can't all be missed by a linked document.
-    counts = able.select(token).groupBy("h").count().where("count > 1")
-    ranked = (
-        able.select("doc_id", "n", token).join(counts, "h")
-        .groupBy("doc_id", "n").agg(F.sort_array(F.collect_set(F.struct("count", "h"))).alias("ranked"))
-        .withColumn("keys", F.size("ranked") - _least_shared(F.col("n"), percent) + 1).where("keys > 0")
+    # First the most inclusive of the keys alone: they connect most of what belongs together.
+    ranked = stage(_ranked(able, percent), "ranked")
+    some = ranked.select("id", F.explode(F.expr("slice(keys, greatest(1, size(keys) - 1), 2)")).alias("key"))
+    near = stage(_search(some, ranked, percent, False), "near")
+    labels = stage(components(near), "labels")
+    # A document can only have a partner elsewhere by k tokens that other components have, too.
+    labelled = (
+        ranked.select("id", "n", token_of(ranked)).join(labels, F.col("id") == F.col("node"), "left")
+        .select("id", "n", "h", F.coalesce("component", "id").alias("label"))
     )
-    ranked = stage(ranked.select(
-        F.col("doc_id").alias("id"), "n", F.col("ranked.h").alias("tokens"),
-        F.expr("slice(ranked.h, 1, int(keys))").alias("keys"),
-    ), "ranked")
-    near = _search(ranked.select(F.explode("keys").alias("key"), "id"), ranked, percent, False)
-    clusters = stage(components(near), "clusters")
+    mixed = labelled.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    rest = (
+        labelled.join(mixed.select("h"), "h").groupBy("id", "n").agg(F.collect_set("h").alias("tokens")).where(enough)
+        .withColumnRenamed("id", "doc_id")
+    )
+    again = stage(_ranked(rest, percent), "again")
+    more = _search(again.select("id", F.explode("keys").alias("key")), again, percent, False)
+    clusters = stage(components(near.union(more)), "clusters")
 
     # Whole sets of the few documents that are left; Spark broadcasts their ids while they are small.
     keyed = given.join(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("key")), "doc_id")
@@ -341,5 +377,5 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
     )
     found = stage(found, "linked")
-    drop_staged(sets, able, ranked, clusters, wholes)
+    drop_staged(sets, able, ranked, near, labels, again, clusters, wholes)
     return found
