@@ -7,6 +7,7 @@ from docketry.operators.extraction import extract_text, line_drop_reasons
 from docketry.operators.filings import (
     attach_content, date_window, explode_filings, filing_key, filter_dates, filter_form,
     last_days, merge_windows, one_document_each, preview, request_window, resolve_company, select_filings, split_dated,
+    split_windows,
     to_metadata, with_document_url,
 )
 from docketry.operators.keywords import keyword_classify, keyword_hits, with_keyword_hits
@@ -22,14 +23,14 @@ from docketry.plans.classify import (
     classify, classify_documents, filing_status, process_filings, to_classifications,
     to_document_result, unclassified,
 )
-from docketry.plans.selection import find_filings
+from docketry.plans.selection import Found, find_filings, find_filings_checked
 from docketry.sinks.tables import (
     read_classifications, read_metadata, write_classifications, write_metadata,
 )
 from docketry.sources.companies import companies_listing, popular_companies, read_companies
 from docketry.sources.files import (
     list_documents, read_documents, read_metadata_files, read_results, read_submissions,
-    spread, with_accession, with_source_type,
+    with_accession, with_source_type,
 )
 from docketry.sources.taxonomy import (
     default_taxonomy, load_taxonomy, read_taxonomy, taxonomy_from_dict,

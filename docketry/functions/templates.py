@@ -40,92 +40,66 @@ The categories are:
 )
 
 DETAILED = (
-    """You review company disclosures for an investment team. Sort this 8-K filing.
+    """An investment desk wants this 8-K filing filed under one heading.
 
-Text of the filing:
-{text}
-
-Categories:
+Headings, each with what belongs there:
 {label_lines}
 
-How to proceed:
-1. Go through the whole text.
-2. Decide which single event it mainly reports.
-3. Take the category that describes this event best.
-4. Judge whether the event matters to shareholders.
-
-It is relevant if it may clearly change one of these:
-- the share price
-- profit or cash flow
-- day-to-day operations
-- the standing against competitors
-- the long-term plan
-
-It is not relevant if it is one of these:
-- paperwork without news
-- a small adjustment in operations
-- something announced or expected long before
-- too small to affect the business
+Filing:
+{text}
+
+If several events are reported, the one that takes up most of the filing decides. Call it
+relevant when a shareholder who learned of it today would have reason to buy, sell or vote
+differently tomorrow; call it not relevant otherwise.
 
 """
-    + _ANSWER % "The event, the category and the reasons for it, the weight for shareholders"
+    + _ANSWER % "One paragraph: what is reported, which heading covers it, whether holders would act on it"
     + "Your answer:"
 )
 
 COT = (
-    """Work through this 8-K filing in three steps.
+    """Read this 8-K filing and think aloud before you sort it.
 
-Text of the filing:
 {text}
 
-Categories:
-{labels}
+Possible categories: {labels}
 
-Step 1, facts: name the event, those taking part, and the sums or operations concerned.
-Step 2, category: compare the categories and say which one fits better than the rest.
-Step 3, weight: say whether the event is routine or could move the business or its owners.
+Begin with one sentence in plain words on what happened. Rule out the categories that do not
+cover it, until one is left. Close with what this would change for someone who holds shares.
 
 """
-    + _ANSWER % "Steps 1 to 3, one after the other"
-    + "Your steps and answer:"
+    + _ANSWER % "Your thoughts in that order"
+    + "Your thoughts and answer:"
 )
 
 FEW_SHOT = (
-    """Sort 8-K filings into these categories:
-{labels}
-
-Solved examples:
+    """Other filings were sorted like this:
 
 {examples}
 
-The filing to sort now:
+Go on in the same manner. Categories: {labels}
 
-Text: {text}
+{text}
 
 """
     + _ANSWER % "Your reasons"
     + "Your answer:"
 )
 
-VALIDATION = """Check whether this filing was sorted correctly.
-
-Text of the filing:
-{text}
-
-Proposed answer: {classification}
-
-Allowed categories: {labels}
+# The status line and the issues line, which the verdict parser reads.
+VALIDATION = """Someone sorted a filing; a second opinion is wanted.
 
-Answer in exactly this form:
+Their answer: {classification}
+They could choose from: {labels}
 
-REASONING:
-[Is the category right? Is the relevance right? Do both fit together? Give your reasons]
+{text}
 
-VALIDATION:
+Say first, under the heading REASONING:, what you would have answered and why. Then end with
+two lines:
 Status: [VALID or INVALID]
-Issues: [What is wrong, if INVALID]
+Issues: [what you would change; leave out if VALID]
 
-Your check:"""
+Your opinion:"""
 
 STRATEGIES = {"basic": BASIC, "detailed": DETAILED, "cot": COT, "few_shot": FEW_SHOT}
 DEFAULT_STRATEGY = "detailed"

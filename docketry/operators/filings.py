@@ -18,8 +18,13 @@ def explode_filings(submissions: DataFrame, keep: tuple[str, ...] = ()) -> DataF
     ``filing_day`` is the date, null when the text is not one; see :func:`split_dated`.
     ``keep`` names further columns of the index to carry along.
     """
+    # A missing array counts as an empty one; zipping with a null would lose the whole index.
+    none = F.array().cast("array<string>")
     recent = F.arrays_zip(
-        "filings.recent.form", "filings.recent.filingDate", "filings.recent.accessionNumber"
+        *[
+            F.coalesce(F.col(f"filings.recent.{name}"), none).alias(name)
+            for name in ("form", "filingDate", "accessionNumber")
+        ]
     )
     rows = submissions.select(
         pad_cik(F.col("cik")).alias("cik"),
@@ -122,17 +127,33 @@ def resolve_company(requests: DataFrame, companies: DataFrame) -> tuple[DataFram
 
 
 def request_window(requests: DataFrame, days: int = DEFAULT_DAYS, as_of=None) -> DataFrame:
-    """F4 per request row: turn ``start``/``end`` strings into ``start_day``/``end_day``."""
+    """F4 per request row: turn ``start``/``end`` strings into ``start_day``/``end_day``.
+
+    A date that is given but cannot be read gives no window: both days are null, and the request
+    selects nothing. See :func:`split_windows`.
+    """
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    start, end = parse_day(F.col("start")), parse_day(F.col("end"))
+    days_of = {name: parse_day(F.col(name)) for name in ("start", "end")}
+    broken = [
+        (F.coalesce(F.col(name), F.lit("")) != "") & day.isNull() for name, day in days_of.items()
+    ]
+    start, end = days_of.values()
+    readable = ~(broken[0] | broken[1])
     return requests.withColumns(
         {
-            "start_day": F.coalesce(start, F.date_sub(today, days)),
-            "end_day": F.when(start.isNotNull(), F.coalesce(end, today)).otherwise(today),
+            "start_day": F.when(readable, F.coalesce(start, F.date_sub(today, days))),
+            "end_day": F.when(
+                readable, F.when(start.isNotNull(), F.coalesce(end, today)).otherwise(today)
+            ),
         }
     )
 
 
+def split_windows(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Requests with a window, and the quarantined ones whose dates could not be read."""
+    return requests.filter("start_day IS NOT NULL"), requests.filter("start_day IS NULL")
+
+
 def merge_windows(requests: DataFrame) -> DataFrame:
     """Disjoint ``start_day, end_day`` ranges per cik that cover the same days.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Widths and headings of the readable report.
+# The title and the marks of source, text length, label, flag and percentage.
 RULE = "=" * 60
 TITLE = "8-K FILING CLASSIFICATION RESULTS"
 
@@ -48,23 +48,23 @@ def render_report(df: DataFrame, out: str = "report") -> DataFrame:
     c = F.col("classification")
     reasoning = F.when(
         F.coalesce(c["reasoning"], F.lit("")) != "",
-        F.concat(F.lit("\n\nREASONING:\n   "), c["reasoning"]),
+        F.concat(F.lit("\n\nWhy:\n"), c["reasoning"]),
     ).otherwise("")
     report = F.concat(
         F.lit(f"{RULE}\n{TITLE}\n{RULE}\nSource: "),
         F.col("input_source"),
-        F.lit("\nStrategy: "),
+        F.lit("\nAsked by: "),
         F.col("strategy"),
         F.lit("\nText Length: "),
         F.format_number("text_length", 0),
-        F.lit(" characters\n\nCLASSIFICATION:\n   Event Type: "),
+        F.lit(" characters\nEvent Type: "),
         c["event_type"],
-        F.lit("\n   Relevant: "),
+        F.lit("\nRelevant: "),
         yes_no(c["relevant"]),
-        F.lit("\n   Confidence: "),
+        F.lit("\nConfidence: "),
         percent(c["confidence"]),
         reasoning,
-        F.lit("\n\nRAW LLM RESPONSE:\n   "),
+        F.lit("\n\nAnswer as given:\n"),
         c["raw_response"],
         F.lit(f"\n\n{RULE}"),
     )

@@ -150,7 +150,7 @@ def result_json(result: Column) -> Column:
 
 
 def split_valid(df: DataFrame, response_col: str = "response") -> tuple[DataFrame, DataFrame]:
-    """Parsed rows, and the quarantined rest with the start of each response."""
+    """Parsed rows, and the quarantined rest: the whole response, and its start beside it."""
     ok = F.col("parse_status") == "ok"
     rejected = df.filter(~ok).withColumn("response_start", F.substring(response_col, 1, 100))
-    return df.filter(ok), rejected.drop(response_col, "result")
+    return df.filter(ok), rejected.drop("result")

@@ -20,3 +20,12 @@ def stage(df: DataFrame, fallback: str) -> DataFrame:
     path = f"{shared_folder(df, fallback)}/docketry-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables once what was made of them is written."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

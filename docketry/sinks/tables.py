@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.operators.filings import to_metadata
-from docketry.sinks.staging import stage
+from docketry.operators.filings import filing_key, to_metadata, with_document_url
+from docketry.sinks.staging import stage, unstage
 from docketry.sources.schemas import CLASSIFICATION, METADATA, columns
 
 PARTITION = "cik"
@@ -30,9 +30,11 @@ def _existing(spark: SparkSession, root: str, schema: str, fmt: str) -> DataFram
         raise
 
 
-def _one_per_key(df: DataFrame, key: list[str]) -> DataFrame:
-    rest = [name for name in df.columns if name not in key]
-    return df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("row")).select(*key, "row.*")
+def _one_per_key(df: DataFrame, names: list[str], key: list[str], order: Column | None) -> DataFrame:
+    """The last row of each key by ``order``; of rows that tie, or without an order, the greatest."""
+    row = F.struct(*[name for name in names if name not in key])
+    last = F.max(row) if order is None else F.max_by(row, F.struct(order.alias("order"), row.alias("row")))
+    return df.groupBy(*key).agg(last.alias("row")).select(*key, "row.*").select(*names)
 
 
 def _write(rows: DataFrame, root: str, fmt: str, mode: str) -> None:
@@ -46,15 +48,18 @@ def _write(rows: DataFrame, root: str, fmt: str, mode: str) -> None:
     )
 
 
-def upsert(df: DataFrame, root: str, schema: str, key: list[str], fmt: str = "json") -> None:
+def upsert(
+    df: DataFrame, root: str, schema: str, key: list[str], fmt: str = "parquet",
+    order: Column | None = None,
+) -> None:
     """Add rows to a table partitioned by company; rows of equal key are replaced.
 
-    Only companies for which a stored key comes again are rewritten, the rows of all others
-    are appended, so a run costs as much as it brings. Run again after a failure, it finds
-    its own keys and replaces them. The rebalance hint gives each company few files and lets
+    Of rows with one key in ``df`` the last by ``order`` counts. Only companies for which a stored
+    key comes again are rewritten, the rows of all others are appended; the keys of stored rows
+    are read to find them. Run again after a failure, it finds its own keys and replaces them. The rebalance hint gives each company few files and lets
     adaptive execution split one that holds a large share of the rows.
     """
-    rows = _one_per_key(df.select(*columns(schema)), key)
+    rows = _one_per_key(df, columns(schema), key, order)
     stored = _existing(df.sparkSession, root, schema, fmt)
     if stored is None:
         _write(rows, root, fmt, "append")
@@ -72,24 +77,39 @@ def upsert(df: DataFrame, root: str, schema: str, key: list[str], fmt: str = "js
         replaced = new.join(rewritten, PARTITION, "left_semi").unionByName(kept)
         _write(replaced, root, fmt, "overwrite")
     _write(new.join(rewritten, PARTITION, "left_anti"), root, fmt, "append")
+    unstage(new, rewritten)
 
 
-def write_metadata(filings: DataFrame, root: str, fmt: str = "json") -> None:
-    """K1: store metadata; the same filing written again replaces itself."""
-    upsert(to_metadata(filings), root, METADATA, [PARTITION, "filename"], fmt)
+def write_metadata(
+    filings: DataFrame, root: str, fmt: str = "parquet", order: Column | None = None
+) -> None:
+    """K1: store metadata; the same filing written again replaces itself.
+
+    ``order`` (on the columns of ``filings``) tells which of several rows of one filing is the last.
+    """
+    if order is None:
+        upsert(to_metadata(filings), root, METADATA, [PARTITION, "filename"], fmt)
+        return
+    ordered = filings.withColumn("__order", order)
+    wanted = to_metadata(ordered).columns
+    rows = with_document_url(ordered) if "document_url" not in ordered.columns else ordered
+    rows = filing_key(rows) if "filename" not in rows.columns else rows
+    upsert(rows.select(*wanted, "__order"), root, METADATA, [PARTITION, "filename"], fmt, F.col("__order"))
 
 
-def write_classifications(classifications: DataFrame, root: str, fmt: str = "json") -> None:
+def write_classifications(
+    classifications: DataFrame, root: str, fmt: str = "parquet", order: Column | None = None
+) -> None:
     """K2: store classifications (with ``cik``); the same filing replaces itself."""
     key = [PARTITION, "classification_timestamp", "accession_number"]
-    upsert(classifications, root, _schema(CLASSIFICATION), key, fmt)
+    upsert(classifications, root, _schema(CLASSIFICATION), key, fmt, order)
 
 
-def read_metadata(spark: SparkSession, root: str, fmt: str = "json") -> DataFrame:
+def read_metadata(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
     """Read back a table of :func:`write_metadata`; filters on ``cik`` prune folders."""
     return _read(spark, root, METADATA, fmt).select(*columns(METADATA))
 
 
-def read_classifications(spark: SparkSession, root: str, fmt: str = "json") -> DataFrame:
+def read_classifications(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
     """Read back a table of :func:`write_classifications`."""
     return _read(spark, root, _schema(CLASSIFICATION), fmt)

@@ -18,17 +18,6 @@ def read_submissions(spark: SparkSession, path: str, lines: bool = False) -> Dat
     return spark.read.schema(SUBMISSIONS).option("multiLine", not lines).json(path)
 
 
-def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Rows of a freshly read table over at least ``partitions`` tasks (default: all cores).
-
-    Cleaning and parsing cost far more than a shuffle of their input, and a file with one row
-    group is read by one task. A table that already comes in enough partitions, as any large
-    one does, is returned as it is, without a shuffle.
-    """
-    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= partitions else df.repartition(partitions)
-
-
 def read_documents(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
     """Whole documents as UTF-8 text, with the path they came from."""
     return (

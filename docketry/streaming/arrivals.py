@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,37 +17,52 @@ from docketry.sources.schemas import SUBMISSIONS
 
 ARRIVED = "arrived_at"
 DEFAULT_DELAY = "30 days"
+KEY = ("cik", "accession_number")
 
 
 def stream_submissions(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Submission indexes as they land, with the landing time of their file."""
+    """Submission indexes as they land, with the time at which this run sees them.
+
+    That time never lies behind the watermark of :func:`first_arrivals`, whatever times the files
+    carry, so a back-fill or a copy that keeps file times loses nothing. ``landed_at`` is the
+    time of the file.
+    """
     return (
         spark.readStream.schema(SUBMISSIONS)
         .option("multiLine", True)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", "36500d")  # else files with old times are passed over
         .json(path)
-        .withColumn(ARRIVED, F.col("_metadata.file_modification_time"))
+        .withColumn("landed_at", F.col("_metadata.file_modification_time"))
+        .withColumn(ARRIVED, F.current_timestamp())
     )
 
 
 def arriving_filings(submissions: DataFrame, form: str | None = None) -> DataFrame:
-    """Exploded filings that keep the landing time of their index."""
+    """Exploded filings with the time their index was seen; see :func:`arriving_split`."""
+    return arriving_split(submissions, form)[0]
+
+
+def arriving_split(submissions: DataFrame, form: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Usable arriving filings, and the quarantined rows without a usable date or key."""
     rows = explode_filings(submissions, keep=(ARRIVED,))
-    return split_dated(filter_form(rows, form) if form else rows)[0]
+    return split_dated(filter_form(rows, form) if form else rows)
 
 
 def first_arrivals(
     stream: DataFrame,
-    key: str = "accession_number",
+    key: Sequence[str] = KEY,
     arrived: str = ARRIVED,
     delay: str = DEFAULT_DELAY,
 ) -> DataFrame:
-    """Each filing once. State is keyed by filing and bounded by the *landing* time.
+    """Each filing of each company once; co-registrants of one accession number all stay.
 
-    A filing may land long after its own date, so that date would be no safe bound. A copy
-    landing more than ``delay`` later passes again; the sinks replace by key, so it is harmless.
+    State is bounded by ``arrived``, which must be the time of processing, as
+    :func:`stream_submissions` sets it: rows behind the watermark would be lost, and that time
+    never is. A copy that comes more than ``delay`` later passes again; the sinks replace by key,
+    so it is harmless.
     """
-    return stream.withWatermark(arrived, delay).dropDuplicatesWithinWatermark([key])
+    return stream.withWatermark(arrived, delay).dropDuplicatesWithinWatermark(list(key))
 
 
 def store_batch(
@@ -56,7 +71,7 @@ def store_batch(
     taxonomy: Callable[[SparkSession], DataFrame] | None = None,
     generate: Generate | None = None,
     strategy: str = DEFAULT_STRATEGY,
-    fmt: str = "json",
+    fmt: str = "parquet",
 ) -> Callable[[DataFrame, int], None]:
     """A micro-batch handler that writes metadata and, given a model, classifications.
 

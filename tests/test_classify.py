@@ -124,9 +124,9 @@ def test_strategies_are_compared(spark, taxonomy):
     texts = spark.createDataFrame([(1, "a deal"), (2, "a date")], "n int, text string")
 
     def model(prompt):
-        if "Solved examples" in prompt:
+        if "sorted like this" in prompt:
             return "Other: no"
-        return "Acquisition: yes" if "a deal" in prompt or "Step 1" in prompt else "Other: no"
+        return "Acquisition: yes" if "a deal" in prompt or "think aloud" in prompt else "Other: no"
 
     fanned = d.classify(d.fan_out_strategies(texts), taxonomy, model, F.col("strategy"), max_retries=0)
     votes = fanned.select("n", F.col("result.event_type").alias("event_type"))

@@ -201,3 +201,14 @@ def test_copies_of_a_document_count_once(spark):
     assert rows(joined, "accession_number") == [("a", "<p>same</p>"), ("b", None)]
     text = plan(d.one_document_each(copies))
     assert text.index("partial_max") > text.index("Exchange hashpartitioning(accession_number")
+
+
+def test_missing_arrays_and_unreadable_requests_are_not_lost(spark):
+    subs = index(spark, ("Apple Inc.", "320193", ["8-K", "8-K"], ["2024-01-05", "2024-01-06"], None))
+    dated, broken = d.split_dated(d.explode_filings(subs))
+    assert (dated.count(), broken.count()) == (0, 2)
+    requests = spark.createDataFrame(
+        [("apple", None, "2024-13-01", None), ("apple", None, None, "soon"), ("nobody", None, None, None), ("apple", None, "", "")],
+        "name string, cik string, start string, end string")
+    found = d.find_filings_checked(subs, requests, d.popular_companies(spark), as_of="2024-01-10")
+    assert [f.count() for f in found] == [0, 1, 2, 2]

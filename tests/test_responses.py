@@ -123,7 +123,8 @@ def test_quarantine(spark, taxonomy):
     df = spark.createDataFrame([("Other: yes",), ("z" * 300,)], "response string")
     valid, rejected = d.split_valid(d.parse_responses(df, taxonomy))
     assert valid.count() == 1
-    assert rows(rejected.select("parse_status", "response_start")) == [("no_match", "z" * 100)]
+    assert [r[:2] for r in rows(rejected.select("parse_status", "response_start", "response"))] == [("no_match", "z" * 100)]
+    assert all(r["response"].startswith(r["response_start"]) and len(r["response"]) > 100 for r in rejected.collect())
 
 
 def test_confidence_and_json(spark, taxonomy):

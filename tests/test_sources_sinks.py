@@ -173,12 +173,17 @@ def test_report(spark):
         FROM VALUES ('because'), ('') AS t(r)""")
     with_reason, without = [r["report"] for r in d.render_report(df).collect()]
     for part in ("Source: a.html\n", "Text Length: 1,234,567 characters", "Relevant: No", "Confidence: 85.1%",
-                 "REASONING:\n   because\n", "RAW LLM RESPONSE:\n   raw\n"):
+                 "Why:\nbecause\n", "Answer as given:\nraw\n"):
         assert part in with_reason
-    assert "REASONING" not in without
-
-
-def test_spread_only_where_needed(spark, data):
-    table = spark.read.parquet(f"{data}/pages.parquet")
-    assert d.spread(table, 6).rdd.getNumPartitions() == 6
-    assert "RoundRobin" not in plan(d.spread(table, 1))
+    assert "Why" not in without
+
+
+def test_the_last_row_by_order_is_stored(spark, tmp_path):
+    root = str(tmp_path / "ordered")
+    both = filings(spark, ("0000000001", "A", "2024-01-01", "x-1")).selectExpr("*", "1 AS n").union(
+        filings(spark, ("0000000001", "9", "2024-01-01", "x-1")).selectExpr("*", "2 AS n"))
+    for rows_, name in ((both, "9"), (both.withColumn("n", -F.col("n")), "A")):
+        d.write_metadata(rows_, root, order=F.col("n"))
+        assert rows(d.read_metadata(spark, root).select("company_name")) == [(name,)]
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    assert not [f for f in os.listdir(shared) if f.startswith("docketry-")]

@@ -63,10 +63,29 @@ def test_a_copy_within_the_delay_is_dropped(spark, tmp_path):
     def run():
         stream = (spark.readStream.schema("accession_number string, arrived_at timestamp")
                   .option("recursiveFileLookup", True).parquet(str(source)))
-        run_available(first_arrivals(stream, delay="1 day"), handle, str(tmp_path / "checkpoint")).awaitTermination()
+        run_available(first_arrivals(stream, ["accession_number"], delay="1 day"), handle, str(tmp_path / "checkpoint")).awaitTermination()
 
     add("1", ("x", "2024-01-01 00:00:00"), ("x", "2024-01-01 05:00:00"), ("y", "2024-01-01 06:00:00"))
     run()
     add("2", ("x", "2024-01-01 12:00:00"), ("z", "2024-01-01 12:00:00"))
     run()
     assert sorted(rows(spark.read.parquet(str(out)).select("accession_number"))) == [("x",), ("y",), ("z",)]
+
+
+def test_late_files_and_co_registrants_come_out(spark, tmp_path):
+    import os
+
+    landed, out = tmp_path / "landed", tmp_path / "out"
+
+    def run():
+        stream = first_arrivals(arriving_filings(stream_submissions(spark, str(landed)), "8-K"))
+        run_available(stream, lambda batch, n: batch.write.mode("append").parquet(str(out)), str(tmp_path / "c")).awaitTermination()
+
+    land(landed, "1.json", "1", ("2024-01-01", "a-1"))
+    run()
+    land(landed, "2.json", "2", ("2024-01-01", "a-1"))
+    land(landed, "3.json", "3", ("2024-01-01", "old"))
+    os.utime(landed / "3.json", (0, 0))
+    run()
+    found = rows(spark.read.parquet(str(out)).select("cik", "accession_number"), "cik")
+    assert [(c.lstrip("0"), k) for c, k in found] == [("1", "a-1"), ("2", "a-1"), ("3", "old")]

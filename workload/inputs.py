@@ -89,7 +89,7 @@ CONFIDENCE = "CASE WHEN event_id % 23 = 0 THEN 1.5 ELSE 0.8 END"
 VERDICT = """CASE turn % 4
     WHEN 0 THEN concat('REASONING:', chr(10), 'fine', chr(10), 'Status: VALID', chr(10), 'Issues: none')
     WHEN 1 THEN concat('Status: [INVALID]', chr(10), 'Issues:  ', role, chr(10), '  says ',
-                       substring(text, 1, 20), ' ')
+                       text, ' ')
     WHEN 2 THEN concat('**Status:** invalid', chr(10), '**Issues:** ', cast(conv_id AS string))
     ELSE text END"""
 

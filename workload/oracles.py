@@ -332,8 +332,8 @@ SELECT event_id, parse_status, given = '' AS blank_label, stated_relevant, known
        CASE WHEN parse_status = 'ok' THEN response END AS raw_response
 FROM ({PARSED})"""
 ORACLES["response_quarantine"] = f"""
-SELECT parse_status, substring(response, 1, 100) AS response_start, count(*) AS n_rejected
-FROM ({PARSED}) WHERE parse_status <> 'ok' GROUP BY 1, 2"""
+SELECT parse_status, substring(response, 1, 100) AS response_start, md5(response) AS response_md5, count(*) AS n_rejected
+FROM ({PARSED}) WHERE parse_status <> 'ok' GROUP BY 1, 2, 3"""
 ORACLES["result_json_text"] = f"""
 SELECT event_id, cast(json_object('event_type', known, 'relevant', stated_relevant,
            'confidence', cast(0.8 AS double), 'reasoning', reasoning_text, 'raw_response', response)
@@ -489,14 +489,14 @@ _RULE = "=" * 60
 ORACLES["report_text"] = f"""
 SELECT input_source, 'URL' AS source_type, length(text) AS text_length, md5(text) AS text_md5,
        concat('{_RULE}', chr(10), '8-K FILING CLASSIFICATION RESULTS', chr(10), '{_RULE}', chr(10),
-              'Source: ', input_source, chr(10), 'Strategy: cot', chr(10),
-              'Text Length: ', format('{{:,}}', length(text)), ' characters', chr(10), chr(10),
-              'CLASSIFICATION:', chr(10), '   Event Type: ', lang, chr(10),
-              '   Relevant: ', CASE WHEN doc_id % 2 = 0 THEN 'Yes' ELSE 'No' END, chr(10),
-              '   Confidence: ', printf('%.1f%%', 80.0),
+              'Source: ', input_source, chr(10), 'Asked by: cot', chr(10),
+              'Text Length: ', format('{{:,}}', length(text)), ' characters', chr(10),
+              'Event Type: ', lang, chr(10),
+              'Relevant: ', CASE WHEN doc_id % 2 = 0 THEN 'Yes' ELSE 'No' END, chr(10),
+              'Confidence: ', printf('%.1f%%', 80.0),
               CASE WHEN doc_id % 3 = 0 THEN ''
-                   ELSE concat(chr(10), chr(10), 'REASONING:', chr(10), '   ', source) END,
-              chr(10), chr(10), 'RAW LLM RESPONSE:', chr(10), '   raw ', lang, chr(10), chr(10), '{_RULE}') AS report
+                   ELSE concat(chr(10), chr(10), 'Why:', chr(10), source) END,
+              chr(10), chr(10), 'Answer as given:', chr(10), 'raw ', lang, chr(10), chr(10), '{_RULE}') AS report
 FROM (SELECT *, concat('https://example.org/', source) AS input_source FROM documents)"""
 
 # --- stored and streamed ---------------------------------------------------------------------

@@ -30,8 +30,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table with costly columns, read by all cores even if it is one small file."""
-    return d.spread(table(spark, sf_dir, name))
+    """A table with costly columns; how its files are laid out decides on the tasks."""
+    return table(spark, sf_dir, name)
 
 
 def prose_taxonomy(spark: SparkSession) -> DataFrame:
@@ -43,8 +43,12 @@ def event_taxonomy(spark: SparkSession) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name in the shared folder of the session, if it has one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or mkdtemp(prefix="docketry-")
+    """A new folder name in the folder that all executors share; a local session may have none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = mkdtemp(prefix="docketry-")
     return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
 
 
@@ -425,7 +429,7 @@ def parse_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def response_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected responses by reason."""
     _, rejected = d.split_valid(parsed(spark, sf_dir))
-    return rejected.groupBy("parse_status", "response_start").agg(
+    return rejected.groupBy("parse_status", "response_start", F.md5("response").alias("response_md5")).agg(
         F.count(F.lit(1)).alias("n_rejected")
     )
 
@@ -695,7 +699,7 @@ def arrivals_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.readStream.schema(schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
-        .select(F.expr("event_id div 3").alias("accession_number"), F.col("ts").cast("timestamp").alias("arrived_at"))
+        .select(F.expr("event_id div 3").alias("accession_number"), F.lit("1").alias("cik"), F.col("ts").cast("timestamp").alias("arrived_at"))
     )
     root = scratch(spark, "arrivals")
 
