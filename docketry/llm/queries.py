@@ -115,7 +115,7 @@ def op1_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP1_SQL = rf"""
 WITH hashed AS (SELECT page_id, url, md5(html) AS digest, length(html) AS size FROM pages),
-records AS ({CAPTURES.replace("SELECT explode(array(0, 1, 2, 3)) AS k", "SELECT unnest([0, 1, 2, 3]) AS k")}),
+records AS ({CAPTURES.replace("LATERAL VIEW explode(array(0, 1, 2, 3)) kinds AS k", ", (SELECT unnest([0, 1, 2, 3]) AS k) AS kinds")}),
 bare AS (SELECT *, regexp_replace(regexp_replace(trim(target_uri), '#.*$', ''), '^[a-z][a-z0-9+.-]*://', '', 'i') AS b FROM records),
 pieces AS (SELECT *, list_sort(list_filter(string_split(regexp_extract(b, '\?(.*)$', 1), '&'),
     lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS q FROM bare),

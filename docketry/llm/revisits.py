@@ -139,4 +139,4 @@ SELECT page_id * 4 + k AS record_id,
             'Cache-Control: max-age=600', chr(10), 'Content-Length: 0', chr(10), 'Connection: close', chr(10), 'X-Seen: again')
         WHEN k = 2 THEN concat('last-modified:  day ', CAST(page_id % 300 + CASE WHEN page_id % 5 = 0 THEN 1 ELSE 0 END AS string), chr(10), 'Date: now')
         ELSE concat('Date: then', chr(10), 'Last-Modified: never') END AS headers
-FROM hashed CROSS JOIN (SELECT explode(array(0, 1, 2, 3)) AS k) AS kinds"""
+FROM hashed LATERAL VIEW explode(array(0, 1, 2, 3)) kinds AS k"""
