@@ -9,7 +9,8 @@ is exact and goes in two steps of the same kind.
    them do, if their texts are their own); each is sent to the blocks of its rarest tokens (tokens of
    the same documents make one block), and a T-occurrence search in each block finds which signatures
    have k tokens in common. Two blocks for each document connect most of what belongs together; the
-   others are searched for documents with k tokens that other components have, too.
+   others are searched for documents with k tokens that other components have, too, and there only
+   between components.
 2. Whole sets. The components of the first step are the blocks of the second, which gets each set
    once and searches for the overlap that the similarity asks for.
 
@@ -113,9 +114,9 @@ def least_shared(n: int, percent: int) -> int:
     return shared_tokens(required(n, percent), percent)
 
 
-def divide_skip(lists: list[np.ndarray], need: int, low: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Merges the short lists: members from ``low`` on that can reach ``need``, their counts so far,
-    and the long lists that are left to probe, the shortest first."""
+def divide_skip(lists: list[np.ndarray], need: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Merges the short lists: members that can reach ``need``, their counts so far, and the long
+    lists that are left to probe, the shortest first."""
     lists = sorted(lists, key=len)
     longest = len(lists[-1])
     aside = min(int(need / (SHORT * np.log2(longest + 1) + 1)), need - 1, len(lists) - 1)
@@ -127,50 +128,62 @@ def divide_skip(lists: list[np.ndarray], need: int, low: int) -> tuple[np.ndarra
         merged = np.sort(np.concatenate(short), kind="stable")
         first = np.flatnonzero(np.append(True, merged[1:] != merged[:-1]))
         members, counts = merged[first].astype(np.int64), np.diff(np.append(first, len(merged)))
-    able = (counts >= need - aside) & (members >= low)
+    able = counts >= need - aside
     return members[able], counts[able], long
 
 
 def search_block(
     ids: np.ndarray, sizes: np.ndarray, parts: np.ndarray, tokens: list[np.ndarray],
     least: Callable[[int], int], needed: Callable[[int, np.ndarray], np.ndarray], percent: int, across: bool,
+    labels: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """A forest over the links of a block, as (member, smallest member of its tree).
 
     ``least`` is the least overlap a document of that size needs, ``needed`` the overlap with
     documents of given sizes. With ``across``, only documents of different ``parts`` are compared.
+    Documents of one label are known to be connected: the most frequent label is only searched, never
+    a query, as every pair of different labels has a document of another one.
     """
+    labels = ids if labels is None else labels
     if len(ids) == 2:  # one list each: the merge is the whole search
         n = int(sizes.max())
-        apart = across and parts[0] == parts[1]
-        if apart or sizes.min() < required(n, percent) or (
+        known = labels[0] == labels[1] or (across and parts[0] == parts[1])
+        if known or sizes.min() < required(n, percent) or (
             len(np.intersect1d(*tokens, assume_unique=True)) < needed(n, sizes.min(keepdims=True))[0]
         ):
             return ids[:0], ids[:0]
         return ids.max(keepdims=True), ids.min(keepdims=True)
-    order = np.lexsort((ids, sizes))
-    ids, sizes, parts = ids[order], sizes[order], parts[order]
+    _, label, count = np.unique(labels, return_inverse=True, return_counts=True)
+    if len(count) == 1:
+        return ids[:0], ids[:0]
+    order = np.lexsort((ids, sizes, label != np.argmax(count)))
+    searched = int(count.max())
+    ids, sizes, parts, label = ids[order], sizes[order], parts[order], label[order]
     tokens = [tokens[i] for i in order]
     lengths = np.array([len(t) for t in tokens])
     _, token = np.unique(np.concatenate(tokens), return_inverse=True)
     owner = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
     posting = owner[np.argsort(token, kind="stable")]
     start = np.concatenate([[0], np.cumsum(np.bincount(token))])
-    filled = np.zeros(len(start) - 1, np.int64)  # entries of documents before the query
     ends = np.cumsum(lengths)
+    filled = np.bincount(token[: ends[searched - 1]], minlength=len(start) - 1)  # entries before the query
     forest = Forest(len(ids))
-    for x in range(len(ids)):
+    _, first = np.unique(label, return_index=True)
+    for x, y in enumerate(first[label].tolist()):
+        forest.join(x, y)
+    for x in range(searched, len(ids)):
         own = token[ends[x] - lengths[x]: ends[x]]
         live = own[filled[own] > 0]
         n = int(sizes[x])
         need = least(n)
         if len(live) >= need:
-            low = int(np.searchsorted(sizes, required(n, percent)))
             lists = [posting[start[t]: start[t] + filled[t]] for t in live.tolist()]
-            found, counts, long = divide_skip(lists, need, low)
-            if across and len(found):
-                other = parts[found] != parts[x]
-                found, counts = found[other], counts[other]
+            found, counts, long = divide_skip(lists, need)
+            if len(found):
+                near = (label[found] != label[x]) & (sizes[found] >= required(n, percent)) & (percent * sizes[found] <= 100 * n)
+                if across:
+                    near &= parts[found] != parts[x]
+                found, counts = found[near], counts[near]
             best = np.argsort(-counts, kind="stable")
             found, counts = found[best], counts[best]
             while len(found):
@@ -201,18 +214,19 @@ def search_block(
 
 
 def _blocks(keys: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows (key, i, j, part, id, n, tokens): every set of (id, n, tokens) in its blocks.
+    """Rows (key, i, j, part, id, label, n, tokens): every set of (id, label, n, tokens) in its blocks.
 
-    ``keys`` has (key, id). Keys with the same documents are one block, named by the least of them,
+    ``keys`` has (key, id). A block has sets of different labels; others have nothing left to connect. Keys with the same documents are one block, named by the least of them,
     since rare tokens of near-copies mostly come together. A group within the bounds is one block; a
     larger one has s parts by a hash of the id, and each document goes to the s blocks of its part.
     Tokens are attached at the end, so that only ids are grouped.
     """
-    keys = keys.join(sets.select("id", F.size("tokens").alias("weight")), "id")
+    keys = keys.join(sets.select("id", "label", F.size("tokens").alias("weight")), "id")
     groups = keys.groupBy("key").agg(
         F.count(F.lit(1)).alias("docs"), F.sum("weight").alias("weight"), F.min("id").alias("first"),
         F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("two"),
-    ).where("docs > 1")
+        F.min("label").alias("low"), F.max("label").alias("high"),
+    ).where("low != high")
     s = F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("weight") / BLOCK_TOKENS)).cast("int")
     once = groups.groupBy("docs", "first", "one", "two").agg(F.min("key").alias("key"), F.max(s).alias("s"))
     part = F.pmod(F.xxhash64("id"), F.col("s")).cast("int").alias("part")
@@ -221,11 +235,16 @@ def _blocks(keys: DataFrame, sets: DataFrame) -> DataFrame:
         .select("*", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("k"))
         .select("key", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "id")
     )
-    return placed.join(sets.select("id", "n", "tokens"), "id")
+    return placed.join(sets.select("id", "label", "n", "tokens"), "id")
 
 
 def _search(keys: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
-    """Links (a, b) of all blocks; on whole sets, or on signatures."""
+    """Links (a, b) of all blocks; on whole sets, or on signatures.
+
+    Sets of one ``label`` are known to be connected; without that column, none are.
+    """
+    if "label" not in sets.columns:
+        sets = sets.withColumn("label", F.col("id"))
 
     def least(n: int) -> int:
         return required(n, percent) if whole else least_shared(n, percent)
@@ -238,18 +257,18 @@ def _search(keys: DataFrame, sets: DataFrame, percent: int, whole: bool) -> Data
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, i, j), group in in_groups(batches, ["key", "i", "j"]):
-            columns: list[list] = [[], [], []]
+            columns: list[list] = [[], [], [], []]
             tokens: list[np.ndarray] = []
             for batch in group:
-                for held, name in zip(columns, ("id", "n", "part")):
+                for held, name in zip(columns, ("id", "n", "part", "label")):
                     held.append(np.asarray(batch.column(name)))
                 lists = batch.column("tokens")
                 flat = np.asarray(lists.flatten())
                 tokens += np.split(flat, np.cumsum(np.asarray(pa.compute.list_value_length(lists)))[:-1])
             if len(tokens) < 2:
                 continue
-            ids, sizes, parts = (np.concatenate(c).astype(np.int64) for c in columns)
-            a, b = search_block(ids, sizes, parts, tokens, least, needed, percent, i != j)
+            ids, sizes, parts, labels = (np.concatenate(c).astype(np.int64) for c in columns)
+            a, b = search_block(ids, sizes, parts, tokens, least, needed, percent, i != j, labels)
             if len(a):
                 yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
@@ -362,7 +381,9 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         labelled.join(mixed.select("h"), "h").groupBy("id", "n").agg(F.collect_set("h").alias("tokens")).where(enough)
         .withColumnRenamed("id", "doc_id")
     )
-    again = stage(_ranked(rest, percent), "again")
+    known = labels.select(F.col("node").alias("id"), "component")
+    again = _ranked(rest, percent).join(known, "id", "left").withColumn("label", F.coalesce("component", "id"))
+    again = stage(again.drop("component"), "again")
     more = _search(again.select("id", F.explode("keys").alias("key")), again, percent, False)
     clusters = stage(components(near.union(more)), "clusters")
 
