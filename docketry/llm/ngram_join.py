@@ -44,6 +44,7 @@ PERCENT = 80
 BLOCK_DOCS = 2_048  # documents of one part of a block
 BLOCK_TOKENS = 1 << 21
 PIECE_BYTES = 2 << 20
+PROBES = 128  # long lists that are probed in one call
 SHORT = 0.0085  # weighs probing against merging, as published for DivideSkip
 
 _SPACE = np.zeros(256, bool)
@@ -114,20 +115,26 @@ def least_shared(n: int, percent: int) -> int:
     return shared_tokens(required(n, percent), percent)
 
 
-def divide_skip(lists: list[np.ndarray], need: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Merges the short lists: members that can reach ``need``, their counts so far, and the long
-    lists that are left to probe, the shortest first."""
-    lists = sorted(lists, key=len)
-    longest = len(lists[-1])
-    aside = min(int(need / (SHORT * np.log2(longest + 1) + 1)), need - 1, len(lists) - 1)
-    short, long = lists[: len(lists) - aside], lists[len(lists) - aside:]
-    if sum(map(len, short)) <= 256:
-        runs = [(k, len(list(g))) for k, g in groupby(heapq.merge(*[x.tolist() for x in short]))]
+def divide_skip(
+    posting: np.ndarray, starts: np.ndarray, lengths: np.ndarray, need: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merges the short of the lists that begin in ``posting`` at ``starts``: members that can reach
+    ``need``, their counts so far, and which long lists are left to probe, the shortest first."""
+    order = np.argsort(lengths, kind="stable")
+    longest = int(lengths[order[-1]])
+    aside = min(int(need / (SHORT * np.log2(longest + 1) + 1)), need - 1, len(order) - 1)
+    short, long = order[: len(order) - aside], order[len(order) - aside:]
+    begins, sizes = starts[short], lengths[short]
+    total = int(sizes.sum())
+    if total <= 256:
+        lists = [posting[a: a + n].tolist() for a, n in zip(begins.tolist(), sizes.tolist())]
+        runs = [(k, len(list(g))) for k, g in groupby(heapq.merge(*lists))]
         members, counts = np.array([r[0] for r in runs], np.int64), np.array([r[1] for r in runs], np.int64)
     else:  # numpy's stable sort merges the sorted runs, as the heap does
-        merged = np.sort(np.concatenate(short), kind="stable")
+        within = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        merged = np.sort(posting[np.repeat(begins, sizes) + within], kind="stable")
         first = np.flatnonzero(np.append(True, merged[1:] != merged[:-1]))
-        members, counts = merged[first].astype(np.int64), np.diff(np.append(first, len(merged)))
+        members, counts = merged[first].astype(np.int64), np.diff(np.append(first, total))
     able = counts >= need - aside
     return members[able], counts[able], long
 
@@ -163,7 +170,9 @@ def search_block(
     lengths = np.array([len(t) for t in tokens])
     _, token = np.unique(np.concatenate(tokens), return_inverse=True)
     owner = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
-    posting = owner[np.argsort(token, kind="stable")]
+    by_token = np.argsort(token, kind="stable")
+    posting = owner[by_token]
+    entries = token[by_token].astype(np.int64) * len(ids) + posting  # all lists as one sorted one
     start = np.concatenate([[0], np.cumsum(np.bincount(token))])
     ends = np.cumsum(lengths)
     filled = np.bincount(token[: ends[searched - 1]], minlength=len(start) - 1)  # entries before the query
@@ -177,8 +186,8 @@ def search_block(
         n = int(sizes[x])
         need = least(n)
         if len(live) >= need:
-            lists = [posting[start[t]: start[t] + filled[t]] for t in live.tolist()]
-            found, counts, long = divide_skip(lists, need)
+            found, counts, long = divide_skip(posting, start[live], filled[live], need)
+            long = live[long].astype(np.int64)
             if len(found):
                 near = (label[found] != label[x]) & (sizes[found] >= required(n, percent)) & (percent * sizes[found] <= 100 * n)
                 if across:
@@ -190,14 +199,15 @@ def search_block(
                 batch, held = found[:64], counts[:64].copy()
                 found, counts = found[64:], counts[64:]
                 reach = needed(n, sizes[batch])
-                for left, entries in zip(range(len(long), 0, -1), long):
-                    able = held + left >= reach
+                for at in range(0, len(long), PROBES):
+                    able = held + len(long) - at >= reach
                     if not able.all():
                         batch, held, reach = batch[able], held[able], reach[able]
                     if not len(batch):
                         break
-                    at = np.minimum(np.searchsorted(entries, batch), len(entries) - 1)
-                    held += entries[at] == batch
+                    probes = long[at: at + PROBES, None] * len(ids) + batch
+                    place = np.minimum(np.searchsorted(entries, probes), len(entries) - 1)
+                    held += (entries[place] == probes).sum(axis=0)
                 for y in batch[held >= reach].tolist():
                     forest.join(x, y)
                 if len(found):
