@@ -49,6 +49,9 @@ PROBES = 128  # long lists that are probed in one call
 CENTRES = 48  # documents of a block that are compared with all of it before the search
 SHORT = 0.0085  # weighs probing against merging, as published for DivideSkip
 
+BUCKETS = 1_024  # bitmaps of 4,096 bytes in a filter, so that it never takes more than 4 MB
+BITS = 32_768
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -354,6 +357,22 @@ def _sets(docs: DataFrame, words: int, percent: int, whole: bool) -> DataFrame:
     return docs.mapInArrow(cut, out)
 
 
+def _likely(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``members`` (node), and a few others.
+
+    Texts of other documents then stay out of the shuffle of the join that follows. The filter is a
+    bitmap of hashed ids with a fixed size; where members fill it up, more rows pass.
+    """
+    def place(name: str) -> tuple[Column, Column]:
+        at = F.pmod(F.xxhash64(name), F.lit(BUCKETS * BITS))
+        return F.floor(at / BITS).alias("bucket"), (at % BITS).alias("bit")
+
+    bitmaps = members.select(*place("node")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    byte = F.conv(F.hex(F.expr("substring(bits, int(bit div 8) + 1, 1)")), 16, 10).cast("int")
+    set_ = F.when(byte.bitwiseAND(F.expr("shiftleft(1, int(bit % 8))")) != 0, True)
+    return docs.select("*", *place("doc_id")).join(F.broadcast(bitmaps), "bucket").where(set_).select(*docs.columns)
+
+
 def _least_shared(n: Column, percent: int) -> Column:
     small = F.ceil(n * percent / 100.0).cast("bigint")
     return small - F.ceil(small * percent / 100.0).cast("bigint") + 1
@@ -435,8 +454,8 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     more = _search(again.select("id", F.explode("keys").alias("key")), again, percent, False)
     clusters = stage(components(near.union(more)), "clusters")
 
-    # Whole sets of the few documents that are left; Spark broadcasts their ids while they are small.
-    keyed = given.join(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("key")), "doc_id")
+    # Whole sets of the few documents that are left.
+    keyed = _likely(given, clusters).join(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("key")), "doc_id")
     wholes = stage(_sets(keyed.select("key", "doc_id", "text"), words, percent, True).dropDuplicates(["id"]), "wholes")
     links = _search(wholes.select("key", "id"), wholes, percent, True)
     linked = components(links)
