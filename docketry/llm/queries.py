@@ -8,6 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketry.functions.expr import bind
 from docketry.llm.ann import nearest_neighbours
 from docketry.llm.bpe import encode_documents, public_tokenizer
 from docketry.llm.common import read_table, shared_folder
@@ -18,6 +19,7 @@ from docketry.llm.ngram_join import ngram_jaccard_join
 from docketry.llm.quality import fold, score_quality, train_quality
 from docketry.llm.revisits import CAPTURES, resolve_revisits
 from docketry.llm.rollups import Rollup, piece_tokens, word_tokens
+from docketry.llm.runs import collapse_runs
 from docketry.llm.tool_calls import link_tool_calls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,11 +175,39 @@ def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_tool_calls(calls, results, schemas)
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of every document; a tenth of them is first made periodic from some word on."""
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def periodic(words):
+        n = F.size(words).cast("bigint")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        return F.transform(
+            F.sequence(F.lit(0).cast("bigint"), n - 1),
+            lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")),
+        )
+
+    found = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    made = bind(found, lambda words: F.when(F.size(words) > 0, F.array_join(periodic(words), " ")).otherwise(""))
+    runs = collapse_runs(docs.withColumn("text", F.when(h % 10 == 0, made).otherwise(F.col("text"))))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    told = runs.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.array_join(lines, "").alias("lines"), "collapsed")
+    return told.select(
+        "doc_id", "n_runs", (-F.col("best.back")).alias("start"), "best.length", (-F.col("best.short")).alias("period"),
+        F.floor(F.lit(1000) * F.col("best.length") / -F.col("best.short")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_revisit_resolution, op2_quality_classifier, op3_embedding_dedup, op4_ngram_jaccard_join, op5_soft_mixing, op6_bpe_encoding,
-        op7_tool_calls, op8_language_id, op9_token_rollup, op10_nearest_neighbours,
+        op7_tool_calls, op8_language_id, op9_token_rollup, op10_nearest_neighbours, op13_periodic_runs,
     )
 }
 ORACLES: dict[str, str] = {"op1_revisit_resolution": OP1_SQL, "op9_token_rollup": OP9_SQL}
