@@ -17,6 +17,7 @@ from docketry.llm.langid import predict_languages, train_languages
 from docketry.llm.mixing import soft_mixing
 from docketry.llm.ngram_join import ngram_jaccard_join
 from docketry.llm.quality import fold, score_quality, train_quality
+from docketry.llm.resampling import importance_resample
 from docketry.llm.revisits import CAPTURES, resolve_revisits
 from docketry.llm.rollups import Rollup, piece_tokens, word_tokens
 from docketry.llm.runs import collapse_runs
@@ -175,6 +176,12 @@ def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_tool_calls(calls, results, schemas)
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A twentieth of the longer documents, drawn to look like the benchmark."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance_resample(docs, read_table(spark, sf_dir, "benchmark").select("text"), percent=5, least_words=20)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of words of every document; a tenth of them is first made periodic from some word on."""
     docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -207,7 +214,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_revisit_resolution, op2_quality_classifier, op3_embedding_dedup, op4_ngram_jaccard_join, op5_soft_mixing, op6_bpe_encoding,
-        op7_tool_calls, op8_language_id, op9_token_rollup, op10_nearest_neighbours, op13_periodic_runs,
+        op7_tool_calls, op8_language_id, op9_token_rollup, op10_nearest_neighbours,
+        op12_importance_resampling, op13_periodic_runs,
     )
 }
 ORACLES: dict[str, str] = {"op1_revisit_resolution": OP1_SQL, "op9_token_rollup": OP9_SQL}
