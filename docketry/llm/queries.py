@@ -14,6 +14,7 @@ from docketry.llm.bpe import encode_documents, public_tokenizer
 from docketry.llm.common import read_table, shared_folder
 from docketry.llm.embedding_dedup import near_duplicate_vectors
 from docketry.llm.langid import predict_languages, train_languages
+from docketry.llm.line_dedup import dedup_lines
 from docketry.llm.mixing import soft_mixing
 from docketry.llm.ngram_join import ngram_jaccard_join
 from docketry.llm.quality import fold, score_quality, train_quality
@@ -176,6 +177,24 @@ def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_tool_calls(calls, results, schemas)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that three of them or more have, but for the last that has them."""
+    kept = dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), least=3, least_chars=20)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP11_SQL = r"""
+WITH whole AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+placed AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS at, unnest(string_split(text, chr(10))) AS line FROM whole),
+keyed AS (SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM placed),
+counted AS (SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+judged AS (SELECT k.*, coalesce(k.doc_id < c.last_doc, false) AS dropped FROM keyed k LEFT JOIN counted c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A twentieth of the longer documents, drawn to look like the benchmark."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -215,7 +234,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_revisit_resolution, op2_quality_classifier, op3_embedding_dedup, op4_ngram_jaccard_join, op5_soft_mixing, op6_bpe_encoding,
         op7_tool_calls, op8_language_id, op9_token_rollup, op10_nearest_neighbours,
-        op12_importance_resampling, op13_periodic_runs,
+        op11_line_dedup, op12_importance_resampling, op13_periodic_runs,
     )
 }
-ORACLES: dict[str, str] = {"op1_revisit_resolution": OP1_SQL, "op9_token_rollup": OP9_SQL}
+ORACLES: dict[str, str] = {"op1_revisit_resolution": OP1_SQL, "op9_token_rollup": OP9_SQL, "op11_line_dedup": OP11_SQL}
