@@ -185,13 +185,13 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP11_SQL = r"""
 WITH whole AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-placed AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS at, unnest(string_split(text, chr(10))) AS line FROM whole),
+placed AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS place, unnest(string_split(text, chr(10))) AS line FROM whole),
 keyed AS (SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM placed),
 counted AS (SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
 judged AS (SELECT k.*, coalesce(k.doc_id < c.last_doc, false) AS dropped FROM keyed k LEFT JOIN counted c ON k.key = c.key)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
-    sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
 
 
