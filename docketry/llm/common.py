@@ -45,12 +45,12 @@ def drop_staged(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def text_pieces(column: pa.Array, max_bytes: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``max_bytes`` of text each; a longer text is a range of its own."""
+def text_pieces(column: pa.Array, max_bytes: int, max_rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of ``max_rows`` rows and about ``max_bytes`` of text at most; a longer text is one of its own."""
     sizes = np.asarray(pa.compute.binary_length(column).fill_null(0), np.int64)
     start, held = 0, 0
     for row, size in enumerate(sizes):
-        if row > start and held + size > max_bytes:
+        if row > start and (held + size > max_bytes or row - start == max_rows):
             yield start, row
             start, held = row, 0
         held += size

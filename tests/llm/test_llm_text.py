@@ -1,6 +1,7 @@
 """Quality, language, BPE and n-gram operators against brute force and on odd rows."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -9,10 +10,10 @@ import pyarrow as pa
 import pytest
 
 from docketry.llm.bpe import ChunkEncoder, cut_points, encode_documents, prepared, public_tokenizer
-from docketry.llm.common import components, text_buffer
+from docketry.llm.common import components, text_buffer, text_pieces
 from docketry.llm.langid import predict_languages, train_languages
 from docketry.llm.ngram_join import ngram_jaccard_join, search_block, shingle_hashes
-from docketry.llm.quality import fold, score_quality, train_quality
+from docketry.llm.quality import STEP, WIDTH, fit_network, fold, score_quality, score_texts, train_quality
 from docketry.llm.queries import QUERIES
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, tokens int"
@@ -230,3 +231,39 @@ def test_language_of_odd_rows(spark):
     nothing = train_languages(docs.where("doc_id < 0"))
     assert {r["lang_pred"] for r in predict_languages(docs, nothing).collect()} == {"und"}
     assert predict_languages(docs.where("doc_id < 0"), nothing, keep=True).columns == [*[c for c in docs.columns if c != "score"], "lang_pred", "score"]
+
+
+def plain_score(network, text):
+    """The network by its definition, position by position, for one text alone."""
+    data = (text or "").encode()
+    padded, positions = data + bytes(WIDTH), len(data) + 1
+    pooled = []
+    for start in range(0, positions, STEP):
+        responses = [
+            [sum(float(network.table[k, padded[p + k], f]) for k in range(WIDTH)) for f in range(len(network.bias))]
+            for p in range(start, min(start + STEP, positions))
+        ]
+        pooled.append([max(0.0, max(r[f] for r in responses) + float(network.bias[f])) for f in range(len(network.bias))])
+    mean = [sum(c[f] for c in pooled) / len(pooled) for f in range(len(network.bias))]
+    most = [max(c[f] for c in pooled) for f in range(len(network.bias))]
+    z = sum(w * x for w, x in zip(network.weights.tolist(), mean + most)) + network.offset
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_equal_the_network_on_the_text_alone():
+    rng = random.Random(8)
+    texts = [None, "", "a", "é", "x" * 249, "x" * 250, "x" * 251, "zzzzzzzz", "!!!!!!!!"]
+    texts += ["".join(rng.choice("ab cdé.\n") for _ in range(rng.choice([3, 90, 300, 700]))) for _ in range(25)]
+    network = fit_network([(t or "").encode() for t in texts], np.arange(len(texts)) % 2)
+    got = score_texts(network, pa.array(texts, pa.string()))
+    assert got == pytest.approx([plain_score(network, t) for t in texts], abs=1e-5)
+    for order in (texts[::-1], [t for t in texts for _ in (0, 1)]):
+        again = dict(zip(order, score_texts(network, pa.array(order, pa.string())).tolist()))
+        assert all(abs(again[t] - score) < 1e-9 for t, score in zip(texts, got.tolist()))
+    long = "many words of a text that takes several slices. " * 20_000
+    assert score_texts(network, pa.array([long, "b", long]))[[0, 2]] == pytest.approx(score_texts(network, pa.array([long])).repeat(2), abs=1e-9)
+
+
+def test_rows_are_bounded_where_results_are():
+    column = pa.array(["x"] * 10 + ["y" * 50] + [None] * 3)
+    assert list(text_pieces(column, 40, 4)) == [(0, 4), (4, 8), (8, 10), (10, 11), (11, 14)]
