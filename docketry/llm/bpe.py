@@ -26,8 +26,8 @@ from docketry.llm.common import U64, mix, text_buffer, text_pieces
 WINDOW = 8
 AVERAGE = 1024  # bytes between proposed cuts
 REACH = 256  # bytes within which a cut looks for white space
-MAX_CACHED = 128 << 20
-PIECE_BYTES = 2 << 20
+MAX_CACHED = 40 << 20
+PIECE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True

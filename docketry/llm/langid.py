@@ -29,6 +29,7 @@ SHARED = 16
 RIDGE = 1e-3
 SHARPNESS = 6.0  # of the score: how fast it nears 1 as the best language leads
 PIECE_BYTES = 1 << 20
+PRESENCE_BYTES = 8 << 20  # of the presence matrix of the texts scored at a time
 UNDETERMINED = "und"
 
 
@@ -222,8 +223,9 @@ def predict_languages(docs: DataFrame, model: LanguageModel, keep: bool = False)
     names = out.names
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = max(1, PRESENCE_BYTES // (4 * max(1, model.landmarks.shape[0])))
         for batch in batches:
-            for start, end in text_pieces(batch.column("text"), PIECE_BYTES):
+            for start, end in text_pieces(batch.column("text"), PIECE_BYTES, rows):
                 part = batch.slice(start, end - start)
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 values, lettered = model.scores(texts)
