@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docketry.llm.common import U64, mix, text_buffer, text_pieces
+from docketry.llm.common import U64, mix, text_buffer, text_pieces, tidy
 
 WINDOW = 8
 AVERAGE = 1024  # bytes between proposed cuts
@@ -310,7 +310,7 @@ def encode_documents(
                 yield pa.RecordBatch.from_pydict(columns)
 
     narrow = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return narrow.mapInArrow(encode, schema)
+    return narrow.mapInArrow(tidy(encode), schema)
 
 
 def public_tokenizer(name: str) -> Callable[[], object]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import text_pieces
+from docketry.llm.common import text_pieces, tidy
 
 ORDER = 3
 PER_LANGUAGE = 250  # sampled rows of a language, about
@@ -243,4 +243,4 @@ def predict_languages(docs: DataFrame, model: LanguageModel, keep: bool = False)
                 )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out)
-    return given.mapInArrow(predict, f"{schema}, lang_pred string, score double")
+    return given.mapInArrow(tidy(predict), f"{schema}, lang_pred string, score double")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import text_buffer, text_pieces
+from docketry.llm.common import text_buffer, text_pieces, tidy
 
 WIDTH = 6  # bytes under a filter
 FILTERS = 12
@@ -268,4 +268,4 @@ def score_quality(docs: DataFrame, network: Network, keep: bool = False) -> Data
                 yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(scores)], [*names, "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out)
-    return given.mapInArrow(score, f"{schema}, score double")
+    return given.mapInArrow(tidy(score), f"{schema}, score double")
