@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.common import (
-    U64, Forest, components, drop_staged, in_groups, mix, stage, text_buffer, text_pieces,
+    U64, Forest, components, drop_staged, in_groups, mix, stage, text_buffer, text_pieces, tidy,
 )
 
 WORDS = 5
@@ -324,7 +324,7 @@ def _search(keys: DataFrame, sets: DataFrame, percent: int, whole: bool) -> Data
                 yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
     sent = _blocks(keys, sets).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return sent.mapInArrow(search, "a bigint, b bigint")
+    return sent.mapInArrow(tidy(search), "a bigint, b bigint")
 
 
 def _sets(docs: DataFrame, words: int, percent: int, whole: bool) -> DataFrame:
@@ -332,9 +332,8 @@ def _sets(docs: DataFrame, words: int, percent: int, whole: bool) -> DataFrame:
 
     The 128-bit fingerprint of a set tells equal sets.
     """
-    out = "key bigint, id bigint, n bigint, tokens array<bigint>" if whole else (
-        "doc_id bigint, n_shingles bigint, set_hash binary, tokens array<bigint>"
-    )
+    front = ["key", "node"] if whole else ["doc_id"]
+    out = ", ".join(f"{name} bigint" for name in front) + ", n bigint, set_hash binary, tokens array<bigint>"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -342,23 +341,21 @@ def _sets(docs: DataFrame, words: int, percent: int, whole: bool) -> DataFrame:
                 part = batch.slice(start, end - start)
                 sets = shingle_hashes(*text_buffer(part.column("text")), words)
                 sizes = [len(s) for s in sets]
-                if whole:
-                    front = {"key": part.column("key"), "id": part.column("doc_id"), "n": pa.array(sizes, pa.int64())}
-                else:
-                    prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                    front = {"doc_id": part.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()), "set_hash": prints}
+                prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                if not whole:
                     # Hashes are signed here; any order that is the same everywhere does.
                     sets = [s[: 2 * (n - required(n, percent)) + 1] for s, n in zip(sets, sizes)]
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                yield pa.RecordBatch.from_pydict({**front, "tokens": lists})
+                known = {name: part.column(name) for name in front}
+                yield pa.RecordBatch.from_pydict({**known, "n": pa.array(sizes, pa.int64()), "set_hash": prints, "tokens": lists})
 
-    return docs.mapInArrow(cut, out)
+    return docs.mapInArrow(tidy(cut), out)
 
 
 def _likely(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``members`` (node), and a few others.
+    """The rows of ``docs`` whose doc_id is in ``members`` (rep), and a few others.
 
     Texts of other documents then stay out of the shuffle of the join that follows. The filter is a
     bitmap of hashed ids with a fixed size; where members fill it up, more rows pass.
@@ -367,7 +364,7 @@ def _likely(docs: DataFrame, members: DataFrame) -> DataFrame:
         at = F.pmod(F.xxhash64(name), F.lit(BUCKETS * BITS))
         return F.floor(at / BITS).alias("bucket"), (at % BITS).alias("bit")
 
-    bitmaps = members.select(*place("node")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    bitmaps = members.select(*place("rep")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
     byte = F.conv(F.hex(F.expr("substring(bits, int(bit div 8) + 1, 1)")), 16, 10).cast("int")
     set_ = F.when(byte.bitwiseAND(F.expr("shiftleft(1, int(bit % 8))")) != 0, True)
     return docs.select("*", *place("doc_id")).join(F.broadcast(bitmaps), "bucket").where(set_).select(*docs.columns)
@@ -390,12 +387,12 @@ def _ranked(able: DataFrame, percent: int) -> DataFrame:
     """
     counts = able.select(token_of(able)).groupBy("h").count().where("count > 1")
     ranked = (
-        able.select("doc_id", "n", token_of(able)).join(counts, "h")
-        .groupBy("doc_id", "n").agg(F.sort_array(F.collect_set(F.struct("count", "h"))).alias("ranked"))
+        able.select("id", "n", token_of(able)).join(counts, "h")
+        .groupBy("id", "n").agg(F.sort_array(F.collect_set(F.struct("count", "h"))).alias("ranked"))
         .withColumn("keys", F.size("ranked") - _least_shared(F.col("n"), percent) + 1).where("keys > 0")
     )
     return ranked.select(
-        F.col("doc_id").alias("id"), "n", F.col("ranked.h").alias("tokens"),
+        "id", "n", F.col("ranked.h").alias("tokens"),
         F.expr("slice(ranked.h, 1, int(keys))").alias("keys"),
     )
 
@@ -407,31 +404,31 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     Words are runs of bytes other than ASCII white space, with A-Z lower-cased; a text of fewer
     words is one n-gram; a null text or one without words has an empty set and links with nothing.
     component_id is the smallest doc_id that links reach. Rows without a doc_id are left out;
-    repeated rows give one row; rows that share a doc_id but not their set are one row each. Other
-    columns are not read. An empty table gives an empty table.
+    repeated rows give one row; rows that share a doc_id but not their set are one row each, which link
+    by their own sets. Other columns are not read. An empty table gives an empty table.
 
-    n-grams are compared by 64-bit hashes, sets by 128-bit ones. The result is exact but for
-    collisions of these.
+    Sets take part once, under an id made of their hash, however many documents have them; documents
+    come back at the end. n-grams are compared by 64-bit hashes, sets by 128-bit ones whose 64-bit
+    hashes are the ids. The result is exact but for collisions of these.
     """
     given = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
     given = given.where("doc_id is not null")
+    id_ = F.xxhash64("set_hash").alias("id")
     sets = stage(_sets(given, words, percent, False), "sets")
-    filled = sets.where("n_shingles > 0")
-    classes = filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
+    filled = sets.where("n > 0").select(id_, "doc_id", "n", "tokens")
+    classes = stage(filled.groupBy("id").agg(F.min("doc_id").alias("rep")), "classes")
 
     # Tokens of one class alone can't be shared with another.
-    token = F.explode("tokens").alias("h")
     shared = (
-        filled.select(token, F.xxhash64("set_hash").alias("c")).groupBy("h")
-        .agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("h")
+        filled.select(token_of(filled), "id").groupBy("h")
+        .agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("h")
     )
     enough = F.size("tokens") >= _least_shared(F.col("n"), percent)
-    able = (
-        filled.select("doc_id", F.col("n_shingles").alias("n"), token).join(shared, "h")
-        .groupBy("doc_id", "n").agg(F.collect_set("h").alias("tokens")).where(enough)
+    able = stage(
+        filled.select("id", "n", token_of(filled)).join(shared, "h")
+        .groupBy("id", "n").agg(F.collect_set("h").alias("tokens")).where(enough),
+        "able",
     )
-    reps = classes.select(F.col("rep").alias("doc_id"))
-    able = stage(able.join(reps, "doc_id", "left_semi"), "able")
 
     # First the most inclusive of the keys alone: they connect most of what belongs together.
     ranked = stage(_ranked(able, percent), "ranked")
@@ -446,7 +443,6 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     mixed = labelled.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
     rest = (
         labelled.join(mixed.select("h"), "h").groupBy("id", "n").agg(F.collect_set("h").alias("tokens")).where(enough)
-        .withColumnRenamed("id", "doc_id")
     )
     known = labels.select(F.col("node").alias("id"), "component")
     again = _ranked(rest, percent).join(known, "id", "left").withColumn("label", F.coalesce("component", "id"))
@@ -454,16 +450,22 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     more = _search(again.select("id", F.explode("keys").alias("key")), again, percent, False)
     clusters = stage(components(near.union(more)), "clusters")
 
-    # Whole sets of the few documents that are left.
-    keyed = _likely(given, clusters).join(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("key")), "doc_id")
-    wholes = stage(_sets(keyed.select("key", "doc_id", "text"), words, percent, True).dropDuplicates(["id"]), "wholes")
+    # Whole sets of the few classes that are left, each from one document. Where that has other texts,
+    # too, their sets have other ids.
+    wanted = clusters.join(classes, F.col("node") == F.col("id")).select("node", F.col("component").alias("key"), "rep")
+    keyed = _likely(given, wanted).join(wanted, F.col("doc_id") == F.col("rep")).select("key", "node", "text")
+    wholes = _sets(keyed, words, percent, True).select("key", "node", id_, "n", "tokens")
+    wholes = stage(wholes.where("id = node").drop("node").dropDuplicates(["id"]), "wholes")
     links = _search(wholes.select("key", "id"), wholes, percent, True)
-    linked = components(links)
+    linked = stage(components(links), "components")
+    of = linked.join(classes, F.col("node") == F.col("id"))
+    least = of.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = of.join(least, "component").select("id", "component_id")
     found = (
-        sets.select("doc_id", "n_shingles", "set_hash").distinct()
-        .join(classes, "set_hash", "left").join(linked, F.col("rep") == F.col("node"), "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+        sets.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, id_).alias("id")).distinct()
+        .join(classes, "id", "left").join(named, "id", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "rep", "doc_id").alias("component_id"))
     )
     found = stage(found, "linked")
-    drop_staged(sets, able, ranked, near, labels, again, clusters, wholes)
+    drop_staged(sets, classes, able, ranked, near, labels, again, clusters, wholes, linked)
     return found

@@ -84,6 +84,13 @@ def test_join_of_odd_rows(spark):
     assert ngram_jaccard_join(table(spark, []), 3, 90).collect() == []
 
 
+def test_documents_of_two_texts_link_by_both(spark):
+    a, b = "one two three four five", "six seven eight nine ten"
+    rows = [(5, a), (5, b), (1, a), (9, b), (7, b + " eleven"), (8, ""), (8, a)]
+    got = sorted(map(tuple, ngram_jaccard_join(table(spark, rows).repartition(4), 3, 60).collect()))
+    assert got == [(1, 3, 1), (5, 3, 1), (5, 3, 5), (7, 4, 5), (8, 0, 8), (8, 3, 1), (9, 3, 5)]
+
+
 def test_block_search_equals_brute_force():
     rng = np.random.default_rng(1)
     base = rng.choice(10_000, 200, replace=False)
