@@ -8,6 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import docketry as d
+from docketry.sinks import counts, tables
+from docketry.sinks.counts import maintained_counts
+from docketry.sinks.manifest import Manifest, Manifests
+from docketry.sinks.tables import bucket_of, stored_keys, vacuum
+from docketry.sources.schemas import METADATA
 from docketry.sources.taxonomy import DEFAULT_TAXONOMY
 from helpers import plan, rows
 
@@ -87,12 +92,16 @@ def filings(spark, *entries):
         "cik string, company_name string, form string, filing_date string, accession_number string")
 
 
+def files_below(folder):
+    return {os.path.relpath(os.path.join(d_, f), folder) for d_, _, names in os.walk(folder) for f in names if not f.startswith((".", "_"))}
+
+
 @pytest.mark.parametrize("fmt", ["json", "parquet"])
 def test_metadata_is_replaced_by_key(spark, tmp_path, fmt):
     root = str(tmp_path / "metadata")
     d.write_metadata(filings(spark, ("0000000001", "A", "2024-01-01", "x-1"), ("0000000001", "A", "2024-01-02", "x-2"),
                              ("0000000002", "B", "2024-01-01", "y-1")), root, fmt)
-    untouched = sorted(os.listdir(os.path.join(root, "cik=0000000002")))
+    first = Manifests(spark, root).latest()
     again = filings(spark, ("0000000001", "A2", "2024-01-02", "x-2"), ("0000000003", "C", "2024-01-01", "z-1"),
                     ("0000000003", "C", "2024-01-01", "z-1"))
     for _ in range(2):
@@ -101,12 +110,120 @@ def test_metadata_is_replaced_by_key(spark, tmp_path, fmt):
     assert rows(stored.select("cik", "company_name", "accession_number", "filename"), "accession_number") == [
         ("0000000001", "A", "x-1", "2024-01-01_x1_8k"), ("0000000001", "A2", "x-2", "2024-01-02_x2_8k"),
         ("0000000002", "B", "y-1", "2024-01-01_y1_8k"), ("0000000003", "C", "z-1", "2024-01-01_z1_8k")]
-    assert sorted(os.listdir(os.path.join(root, "cik=0000000002"))) == untouched
+    # The folder of the second company is the one of the first run; a new filing of it is added beside.
+    second = {b: runs for b, runs in Manifests(spark, root).latest().runs.items()}
+    same = [b for b, runs in first.runs.items() if second[b] == runs]
+    assert len(same) == 1
     d.write_metadata(filings(spark, ("0000000002", "B", "2024-01-09", "y-2")), root, fmt)
-    assert set(untouched) < set(os.listdir(os.path.join(root, "cik=0000000002")))
+    third = Manifests(spark, root).latest()
+    assert third.runs[same[0]][:-1] == first.runs[same[0]] and third.number == 4
+    assert d.read_metadata(spark, root, fmt).count() == 5
+    some = d.read_metadata(spark, root, fmt, companies=["0000000002", "none"])
+    assert rows(some.select("accession_number"), "accession_number") == [("y-1",), ("y-2",)]
+    assert {f.split("bucket=")[1].split("/")[0] for f in some.inputFiles()} == {str(same[0])}
+    # Folders of old versions go on demand, and all rows are still there.
+    before = files_below(root)
+    vacuum(spark, root, keep=1)
+    assert files_below(root) < before
     assert d.read_metadata(spark, root, fmt).count() == 5
-    pruned = plan(stored.filter("cik = '0000000002'"))
-    assert "PartitionFilters: [isnotnull(cik" in pruned
+    vacuum(spark, root, keep=1)
+    assert d.read_metadata(spark, root, fmt).count() == 5
+
+
+def test_a_run_reads_only_the_buckets_and_the_dates_of_its_keys(spark, tmp_path):
+    root = str(tmp_path / "metadata")
+    many = [(f"{n:010d}", "A", f"2024-01-{1 + n % 28:02d}", f"x-{n}") for n in range(300)]
+    d.write_metadata(filings(spark, *many), root)
+    manifest = Manifests(spark, root).latest()
+    assert len(manifest.runs) > 50
+    (bucket,) = spark.createDataFrame([("0000000007",)], "cik string").select(bucket_of(F.col("cik"), manifest.buckets)).first()
+    keys = stored_keys(spark, manifest, root, METADATA, ["cik", "filename"], "parquet", {bucket}, ("2024-01-08_x", "2024-01-09"))
+    assert {f.split("bucket=")[1].split("/")[0] for f in keys.inputFiles()} == {str(bucket)}
+    scan = plan(keys)
+    assert "GreaterThanOrEqual(filename,2024-01-08_x)" in scan and "LessThanOrEqual(filename,2024-01-09)" in scan
+    assert "company_name" not in scan.split("ReadSchema")[1]
+    d.write_metadata(filings(spark, ("0000000007", "B", "2024-01-08", "x-7")), root)
+    after = Manifests(spark, root).latest()
+    assert {b for b in after.runs if after.runs[b] != manifest.runs.get(b)} == {bucket}
+    assert rows(d.read_metadata(spark, root, companies=["0000000007"]).select("company_name")) == [("B",)]
+    assert d.read_metadata(spark, root).count() == 300
+
+
+def test_a_run_that_dies_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "metadata")
+    d.write_metadata(filings(spark, ("0000000001", "A", "2024-01-01", "x-1"), ("0000000002", "A", "2024-01-01", "y-1")), root)
+    old, seen = rows(d.read_metadata(spark, root), "cik"), files_below(root)
+    again = filings(spark, ("0000000001", "B", "2024-01-01", "x-1"), ("0000000003", "B", "2024-01-01", "z-1"))
+    open_before = d.read_metadata(spark, root)
+
+    def dies(self, manifest):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(Manifests, "commit", dies)
+    with pytest.raises(KeyboardInterrupt):
+        d.write_metadata(again, root)
+    monkeypatch.undo()
+    assert rows(d.read_metadata(spark, root), "cik") == old and files_below(root) == seen
+    # A manifest whose writer died half way counts for nothing, and its number is not used again.
+    with open(os.path.join(root, "_manifests", "000000002"), "w") as out:
+        out.write('{"buckets": 64}\n[1, ["run-x"]]\n')
+    assert rows(d.read_metadata(spark, root), "cik") == old
+    d.write_metadata(again, root)
+    assert rows(d.read_metadata(spark, root).select("cik", "company_name"), "cik") == [
+        ("0000000001", "B"), ("0000000002", "A"), ("0000000003", "B")]
+    assert rows(open_before, "cik") == old  # a reader keeps the version that it has opened
+    assert Manifests(spark, root).latest().number == 3
+    with pytest.raises(Exception, match="exist"):
+        Manifests(spark, root).commit(Manifest(3, 64, {}))
+    with pytest.raises(ValueError):
+        d.read_metadata(spark, str(tmp_path / "nothing"))
+
+
+def test_buckets_of_many_runs_are_written_anew(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MOST_RUNS", 3)
+    root = str(tmp_path / "metadata")
+    for day in range(1, 7):
+        d.write_metadata(filings(spark, ("0000000001", "A", f"2024-01-0{day}", f"x-{day}"), (None, "N", f"2024-01-0{day}", "n-1")), root)
+        assert all(len(runs) <= 3 for runs in Manifests(spark, root).latest().runs.values())
+    assert d.read_metadata(spark, root).count() == 12
+    d.write_metadata(filings(spark, (None, "N2", "2024-01-03", "n-1")), root)
+    d.write_metadata(filings(spark).limit(0), root)
+    assert rows(d.read_metadata(spark, root).filter("company_name = 'N2'").select("cik", "filing_date")) == [(None, "2024-01-03")]
+    assert d.read_metadata(spark, root).count() == 12
+
+
+def test_kept_counts_equal_a_recount(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(counts, "MOST_PARTS", 3)
+    root = str(tmp_path / "classifications")
+
+    def results(*given):
+        return spark.createDataFrame(
+            [(f"{c:010d}", f"x-{c}", label, label != "Other", "", 0.8, "cot", day) for c, label, day in given],
+            "cik string, accession_number string, event_type string, relevant boolean, reasoning string,"
+            " confidence double, prompt_strategy string, classification_timestamp string")
+
+    def check(by):
+        whole = d.with_month(d.read_classifications(spark, root), "classification_timestamp")
+        assert sorted(rows(maintained_counts(spark, root, by)), key=repr) == sorted(rows(d.event_counts(whole, by)), key=repr)
+
+    with pytest.raises(ValueError):
+        maintained_counts(spark, root)
+    labels = ("Other", "Acquisition", "Personnel Change")
+    for run in range(6):
+        d.write_classifications(results(*[(n, labels[(n + run) % 3], f"2024-0{1 + n % 2}-01") for n in range(run * 3, run * 3 + 9)]), root)
+        for by in ([], ["month"], ["cik", "month"]):
+            check(by)
+    place = [p for p in (tmp_path / "classifications" / "_counts").iterdir()]
+    assert len(place) == 3 and all(len(Manifests(spark, str(p)).latest().runs[0]) <= 3 for p in place)
+    before = files_below(place[0])
+    check([])
+    assert files_below(place[0]) == before  # nothing new, nothing written
+    d.write_classifications(results((1, "Other", "2024-02-01")), root)
+    monkeypatch.setattr(Manifests, "commit", lambda self, manifest: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        maintained_counts(spark, root)
+    monkeypatch.undo()
+    check([])
 
 
 def test_classifications(spark, tmp_path):
@@ -138,7 +255,8 @@ def test_model_runs_once_for_a_stored_table(spark, tmp_path):
     d.write_classifications(d.to_classifications(done), root)
     assert len(os.listdir(folder)) == 6
     d.write_classifications(d.to_classifications(done), root)
-    assert len(os.listdir(folder)) == 12 and d.read_classifications(spark, root).count() == 6
+    # What the passes have staged is not asked for again.
+    assert len(os.listdir(folder)) == 6 and d.read_classifications(spark, root).count() == 6
 
 
 def test_a_hot_company_is_written_by_many_tasks(spark, tmp_path):
@@ -154,7 +272,8 @@ def test_a_hot_company_is_written_by_many_tasks(spark, tmp_path):
     finally:
         for name in sizes:
             spark.conf.unset(name)
-    files = [f for f in os.listdir(tmp_path / "m" / "cik=0000000001") if f.endswith(".parquet")]
+    (bucket,) = spark.createDataFrame([("0000000001",)], "cik string").select(bucket_of(F.col("cik"), tables.BUCKETS)).first()
+    files = [f for f in files_below(tmp_path / "m") if f"bucket={bucket}/" in f and f.endswith(".parquet")]
     assert len(files) > 1
     assert d.read_metadata(spark, str(tmp_path / "m"), "parquet").count() == 30000
 
@@ -180,10 +299,11 @@ def test_report(spark):
 
 def test_the_last_row_by_order_is_stored(spark, tmp_path):
     root = str(tmp_path / "ordered")
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(shared))
     both = filings(spark, ("0000000001", "A", "2024-01-01", "x-1")).selectExpr("*", "1 AS n").union(
         filings(spark, ("0000000001", "9", "2024-01-01", "x-1")).selectExpr("*", "2 AS n"))
     for rows_, name in ((both, "9"), (both.withColumn("n", -F.col("n")), "A")):
         d.write_metadata(rows_, root, order=F.col("n"))
         assert rows(d.read_metadata(spark, root).select("company_name")) == [(name,)]
-    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
-    assert not [f for f in os.listdir(shared) if f.startswith("docketry-")]
+    assert set(os.listdir(shared)) == before
