@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from docketry.functions.expr import compute_once, strip
 from docketry.functions.lines import (
@@ -13,18 +15,33 @@ from docketry.functions.lines import (
 )
 from docketry.operators.markup import visible_text
 
+Reader = Callable[["str | None"], "str | None"]
+
+# Attachments that are no text come encoded, one letter for six bits, behind such a line.
+_ENCODED = re.compile(r"\s*(?:<PDF>\s*)?begin [0-7]{3} \S")
+
 
-@F.pandas_udf(StringType())
-def raw_text(html: pd.Series) -> pd.Series:
-    """Text nodes joined by line ends; null for a document that cannot be read."""
+def read_document(html: str | None) -> str | None:
+    """T1-T5 for one document: its text nodes; an encoded attachment is an error."""
+    if html is not None and _ENCODED.match(html):
+        raise ValueError("an encoded attachment, not text")
+    return visible_text(html)
 
-    def read(document: str | None) -> str | None:
+
+def raw_text(reader: Reader = read_document):
+    """An Arrow UDF from markup to ``struct<text, error>``: the text, or why it could not be read."""
+
+    def read(document: str | None) -> tuple[str | None, str | None]:
         try:
-            return visible_text(document)
-        except Exception:  # one document must not stop the others
-            return None
+            return reader(document), None
+        except Exception as problem:  # one document must not stop the others
+            return None, f"{type(problem).__name__}: {problem}"
+
+    def run(html: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([read(document) for document in html], columns=["text", "error"], dtype=object)
 
-    return html.map(read)
+    run.__annotations__ = {"html": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(run, "text string, error string")
 
 
 def extract_text(
@@ -33,15 +50,22 @@ def extract_text(
     text_col: str = "text",
     patterns: tuple[str, ...] = NOISE_PATTERNS,
     min_length: int = MIN_LINE_LENGTH,
+    error_col: str | None = None,
+    reader: Reader = read_document,
 ) -> DataFrame:
     """Add the clean text of an HTML column. Null HTML gives null text; no shuffle.
 
+    ``reader`` turns one document into its text nodes, one a line, for formats of your own. A document that cannot be read has null text, too; ``error_col`` names a column for the reason.
     Select the rows wanted before this step: it is the expensive one.
     """
     # Filings are not always UTF-8; bytes that are not become U+FFFD before Arrow sees them.
-    nodes = df.withColumn("__nodes", raw_text(F.make_valid_utf8(F.col(html_col))))
-    text = clean_lines(F.col("__nodes"), patterns, min_length)
-    return compute_once(nodes, text_col, text).drop("__nodes")
+    read = df.withColumn("__read", raw_text(reader)(F.make_valid_utf8(F.col(html_col))))
+    text = clean_lines(F.col("__read.text"), patterns, min_length)
+    if error_col is None:
+        return compute_once(read, text_col, text).drop("__read")
+    both = F.struct(text.alias("text"), F.col("__read.error").alias("error"))
+    cleaned = compute_once(read, "__read", both)
+    return cleaned.withColumns({text_col: F.col("__read.text"), error_col: F.col("__read.error")}).drop("__read")
 
 
 def is_blank(text_col: str = "text") -> Column:

@@ -191,16 +191,42 @@ def select_filings(filings: DataFrame, requests: DataFrame) -> DataFrame:
     return f.join(r, wanted, "left_semi")
 
 
+def chosen_copies(documents: DataFrame, key: str = "accession_number", path: str = "path") -> DataFrame:
+    """``key, path`` of the copy that counts for each filing; content is never read.
+
+    The longest copy if there is a column ``length``, as a listing has it; of those the first by path.
+    """
+    choice = F.min(path)
+    if "length" in documents.columns:
+        choice = F.min_by(path, F.struct((-F.col("length")).alias("length"), F.col(path).alias("path")))
+    return documents.filter(F.col(path).isNotNull()).groupBy(key).agg(choice.alias(path))
+
+
 def one_document_each(documents: DataFrame, key: str = "accession_number") -> DataFrame:
-    """One ``html`` per filing. Copies fall away map-side, however many there are of one."""
+    """One ``html`` per filing where copies have no path to tell them apart: the greatest string.
+
+    Copies fall away map-side, however many there are of one, but content is sorted and shuffled;
+    give documents a ``path``, as ``read_documents`` does, to avoid that.
+    """
     return documents.groupBy(key).agg(F.max("html").alias("html"))
 
 
 def attach_content(
-    filings: DataFrame, documents: DataFrame, key: str = "accession_number"
+    filings: DataFrame, documents: DataFrame, key: str = "accession_number", path: str = "path"
 ) -> DataFrame:
-    """filings with their document, null where it is missing."""
-    return filings.join(one_document_each(documents, key), key, "left")
+    """filings with their document, null where it is missing.
+
+    With a ``path``, which must be different for every row of ``documents``, the copy is chosen on
+    keys and paths alone. Content is then shuffled once, on key and path; nothing sorts or aggregates
+    it, since the filings are the side that is hashed.
+    """
+    if path not in documents.columns:
+        return filings.join(one_document_each(documents, key), key, "left")
+    wanted = filings.join(chosen_copies(documents, key, path).withColumnRenamed(path, "__path"), key, "left")
+    content = documents.select(F.col(key).alias("__key"), F.col(path).alias("__copy"), "html")
+    same = (F.col(key) == F.col("__key")) & (F.col("__path") == F.col("__copy"))
+    joined = wanted.hint("shuffle_hash").join(content, same, "left")
+    return joined.select(*[c for c in filings.columns if c != "html"], "html")
 
 
 def to_metadata(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # The title and the marks of source, text length, label, flag and percentage.
@@ -10,17 +10,42 @@ RULE = "=" * 60
 TITLE = "8-K FILING CLASSIFICATION RESULTS"
 
 
+_SUMMARY = ("found", "processed", "classified", "failed")
+
+
+def _summary(status_col: str) -> list[Column]:
+    status = F.coalesce(F.col(status_col), F.lit(""))
+    failed = status == "unreadable"
+    counts = (F.count(F.lit(1)), F.count_if(~failed), F.count_if(status == "classified"), F.count_if(failed))
+    return [count.alias(name) for name, count in zip(_SUMMARY, counts)]
+
+
 def batch_summary(
     df: DataFrame, strategy: str | None = None, status_col: str = "status"
 ) -> DataFrame:
-    """K3: one row with found, processed, classified and failed counts."""
-    status = F.col(status_col)
-    return df.agg(
-        F.count(F.lit(1)).alias("found"),
-        F.count_if(status != "failed").alias("processed"),
-        F.count_if(status == "classified").alias("classified"),
-        F.count_if(status == "failed").alias("failed"),
-    ).withColumn("strategy", F.lit(strategy).cast("string"))
+    """K3: one row with found, processed, classified and failed counts of ``process_filings``.
+
+    Failed are filings whose document could not be read; all others are processed, if only as metadata.
+    """
+    return df.agg(*_summary(status_col)).withColumn("strategy", F.lit(strategy).cast("string"))
+
+
+def observe_summary(df: DataFrame, status_col: str = "status") -> tuple[DataFrame, Observation]:
+    """K3 without a second pass: write the first, then give the second to :func:`observed_summary`.
+
+    The counts are taken as the rows go by, so the model is not called again to count them.
+    """
+    observation = Observation()
+    return df.observe(observation, *_summary(status_col)), observation
+
+
+def observed_summary(spark: SparkSession, observation: Observation, strategy: str | None = None) -> DataFrame:
+    """The row of :func:`batch_summary` from what a write has observed; waits for that write."""
+    counts = observation.get
+    row = tuple(int(counts.get(name, 0)) for name in _SUMMARY)
+    return spark.createDataFrame(
+        [(*row, strategy)], ", ".join(f"{name} bigint" for name in _SUMMARY) + ", strategy string"
+    )
 
 
 def event_counts(df: DataFrame, by: list[str] | None = None, totals: bool = False) -> DataFrame:

@@ -2,39 +2,84 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Generate = Callable[[str], str | None]
+GenerateMany = Callable[[list[str]], Sequence[str | None]]
 
 OUTCOME = "response string, error string"
 
+_Outcome = tuple[str | None, str | None]
 
-def scorer(generate: Generate | None = None, setup: Callable[[], Generate] | None = None):
+
+def _failed(problem: Exception) -> _Outcome:
+    return None, f"{type(problem).__name__}: {problem}"
+
+
+def answer_many(call: GenerateMany, prompts: list[str]) -> list[_Outcome]:
+    """Outcomes of one call for several prompts.
+
+    A call that fails, or that gives not one answer for each prompt, is made again for either half,
+    down to single prompts: only the prompts that cause the failure get an error.
+    """
+    try:
+        answers = list(call(prompts))
+        if len(answers) != len(prompts):
+            raise ValueError(f"{len(answers)} answers for {len(prompts)} prompts")
+        return [(answer, None) for answer in answers]
+    except Exception as problem:  # any failure of the backend is data
+        if len(prompts) == 1:
+            return [_failed(problem)]
+    half = len(prompts) // 2
+    return answer_many(call, prompts[:half]) + answer_many(call, prompts[half:])
+
+
+def answer_each(call: Generate, prompts: list[str]) -> list[_Outcome]:
+    """Outcomes of one call for each prompt."""
+    outcomes: list[_Outcome] = []
+    for prompt in prompts:
+        try:
+            outcomes.append((call(prompt), None))
+        except Exception as problem:  # any failure of the backend is data
+            outcomes.append(_failed(problem))
+    return outcomes
+
+
+def scorer(
+    generate: Generate | GenerateMany | None = None,
+    setup: Callable[[], Generate | GenerateMany] | None = None,
+    batch_size: int | None = None,
+):
     """An Arrow UDF that maps prompts to ``struct<response, error>``.
 
-    Give either ``generate``, called with one prompt, or ``setup``, called once per task to
-    make it (open a client, load a model). A null prompt is not sent; an exception becomes the
-    ``error`` of its row.
+    Give either ``generate`` or ``setup``, called once per task to make it (open a client, load a
+    model). Without ``batch_size`` the function takes one prompt and returns one answer; with it, the
+    function takes a list of at most so many prompts and returns their answers in order. A null
+    prompt is not sent; an exception becomes the ``error`` of the row that causes it.
     """
     if (generate is None) == (setup is None):
         raise ValueError("give exactly one of generate and setup")
+    if batch_size is not None and batch_size < 1:
+        raise ValueError("batch_size must be 1 or more")
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         call = generate or setup()
         for prompts in batches:
-            rows = []
-            for prompt in prompts:
-                if prompt is None:
-                    rows.append((None, None))
-                    continue
-                try:
-                    rows.append((call(prompt), None))
-                except Exception as problem:  # any failure of the backend is data
-                    rows.append((None, f"{type(problem).__name__}: {problem}"))
+            sent = [n for n, prompt in enumerate(prompts) if prompt is not None]
+            asked = [prompts.iat[n] for n in sent]
+            if batch_size is None:
+                outcomes = answer_each(call, asked)
+            else:
+                outcomes = []
+                for start in range(0, len(asked), batch_size):
+                    outcomes += answer_many(call, asked[start: start + batch_size])
+            rows: list[_Outcome] = [(None, None)] * len(prompts)
+            for n, outcome in zip(sent, outcomes):
+                rows[n] = outcome
             yield pd.DataFrame(rows, columns=["response", "error"], dtype=object)
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
@@ -44,13 +89,14 @@ def scorer(generate: Generate | None = None, setup: Callable[[], Generate] | Non
 
 def score(
     df: DataFrame,
-    generate: Generate | None = None,
-    setup: Callable[[], Generate] | None = None,
+    generate: Generate | GenerateMany | None = None,
+    setup: Callable[[], Generate | GenerateMany] | None = None,
     prompt: str | Column = "prompt",
+    batch_size: int | None = None,
 ) -> DataFrame:
     """Add ``response`` and ``error``. Write the output down before using it twice."""
     column = F.make_valid_utf8(F.col(prompt) if isinstance(prompt, str) else prompt)
-    scored = df.withColumn("__outcome", scorer(generate, setup)(column))
+    scored = df.withColumn("__outcome", scorer(generate, setup, batch_size)(column))
     return scored.withColumns(
         {"response": F.col("__outcome.response"), "error": F.col("__outcome.error")}
     ).drop("__outcome")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,84 +14,97 @@ from docketry.functions.keys import source_type
 from docketry.functions.templates import DEFAULT_STRATEGY
 from docketry.operators.attempts import DEFAULT_MAX_RETRIES
 from docketry.operators.extraction import extract_text, is_blank
-from docketry.operators.filings import one_document_each
+from docketry.operators.filings import chosen_copies, one_document_each
 from docketry.operators.prompts import prompt_column
-from docketry.operators.responses import parse_response
-from docketry.operators.scoring import Generate, scorer
+from docketry.operators.responses import answer_labels, parse_response
+from docketry.operators.scoring import Generate, GenerateMany, scorer
+from docketry.sinks.staging import stage
 from docketry.sources.schemas import RESULT
-from docketry.sources.taxonomy import labels_array
+
+BROADCAST_ROWS = 1_000_000  # filings whose keys are broadcast, at most
+
+def _for_attempt(setup: Callable | None, attempt: int) -> Callable | None:
+    """``setup`` for one attempt; one that takes an argument is told its number."""
+    if setup is None or not inspect.signature(setup).parameters:
+        return setup
+    return partial(setup, attempt)
+
+
+def _asked(rows: DataFrame, taxonomy: DataFrame, prompt: Column, call, text_col: str) -> DataFrame:
+    """One attempt: rows with ``__blank``, ``__parsed`` (null if nothing was sent) and ``__error``."""
+    sent = F.when(~F.col("__blank"), F.make_valid_utf8(prompt))
+    asked = rows.withColumn("__blank", is_blank(text_col)).withColumn("__prompt", sent)
+    asked = asked.withColumn("__outcome", call(F.col("__prompt")))
+    # The labels join the rows behind the call, so they do not pass through Python.
+    labelled = asked.withColumn("__labels", answer_labels(taxonomy, "relevant"))
+    parsed = F.when(
+        F.col("__prompt").isNotNull(),
+        parse_response("__outcome.response", "__labels", "__outcome.error IS NOT NULL"),
+    )
+    return (
+        compute_once(labelled, "__parsed", parsed)
+        .withColumn("__error", F.col("__outcome.error"))
+        .drop("__prompt", "__outcome", "__labels")
+    )
+
+
+def _judged(rows: DataFrame, columns: list[str], attempt: int) -> DataFrame:
+    """Rows that are done after an attempt, with the columns of :func:`classify`."""
+    parse_status = F.col("__parsed.parse_status")
+    ok = F.coalesce(parse_status == "ok", F.lit(False))
+    result = F.col("__parsed.result").withField("relevant", F.col("__parsed.taxonomy_relevant"))
+    return rows.select(
+        *columns,
+        F.when(ok, result).alias("result"),
+        F.when(ok, F.col("__parsed.stated_relevant")).alias("stated_relevant"),
+        F.when(F.col("__blank"), "empty_text").when(ok, "classified").otherwise("unclassified").alias("status"),
+        F.when(parse_status.isNotNull(), F.lit(attempt)).otherwise(F.lit(0)).alias("attempts"),
+        F.when(parse_status == "error", F.col("__error")).when(~ok, parse_status).alias("failure"),
+    )
 
 
 def classify(
     df: DataFrame,
     taxonomy: DataFrame,
-    generate: Generate | None = None,
+    generate: Generate | GenerateMany | None = None,
     strategy: str | Column = DEFAULT_STRATEGY,
     examples: Sequence[Mapping[str, str]] | Column | None = None,
     max_retries: int = DEFAULT_MAX_RETRIES,
-    setup: Callable[[], Generate] | None = None,
+    setup: Callable | None = None,
     text_col: str = "text",
+    batch_size: int | None = None,
 ) -> DataFrame:
     """C6 for a table with clean text: add ``result``, ``status``, ``attempts``, ``failure``.
 
-    Every retry is a further column of the same row: the prompt of a row that is solved, or
-    has no text, is null and is not sent. All attempts thus run in one stage, with no shuffle,
-    join or stored intermediate, and no response is generated twice for one task.
-    ``strategy`` may be a column, as made by ``fan_out_strategies``, to compare strategies.
-
-    ``status`` is ``classified``, ``empty_text`` or ``unclassified``; ``result.relevant`` is
-    the taxonomy's flag, ``stated_relevant`` the one in the response. The plan calls a model:
-    write its output before using it more than once (a sort counts twice, for it samples).
+    Attempts are passes over what is left: a pass scores its rows with one Python step and is written
+    to the shared folder; the rows that got no valid answer are read again by the next one, if there
+    are any. So no answer is generated twice, ``setup`` is called once for each task and pass, and a
+    lost executor loses one task. Neither joins nor shuffles are needed, as a row carries its outcome.
+    The last pass that is allowed runs when the output is used: write that down before using it twice.
+
+    ``setup`` may take the number of the attempt, to ask otherwise the second time. ``batch_size`` and
+    the functions are those of ``score``. ``strategy`` may be a column, as made by
+    ``fan_out_strategies``, to compare strategies. ``status`` is ``classified``, ``empty_text`` or
+    ``unclassified``; ``result.relevant`` is the taxonomy's flag, ``stated_relevant`` the one in the
+    response.
     """
-    call = scorer(generate, setup)
     prompt = prompt_column(F.col(text_col), taxonomy, strategy, examples)
-    rows = df.withColumns(
-        {
-            "__labels": labels_array(taxonomy, "relevant"),
-            "__blank": is_blank(text_col),
-            "__failure": F.lit(None).cast("string"),
-            "attempts": F.lit(0),
-        }
-    ).withColumn("__prompt", F.when(~F.col("__blank"), F.make_valid_utf8(prompt)))
-    parsed = F.when(
-        F.col("__prompt").isNotNull(),
-        parse_response("__outcome.response", "__labels", "__outcome.error IS NOT NULL"),
-    )
-    passes = [f"__parsed_{attempt}" for attempt in range(1, max_retries + 2)]
-    for attempt, name in enumerate(passes, 1):
-        # After a valid answer the prompt becomes null, so nothing more is sent.
-        rows = compute_once(rows.withColumn("__outcome", call(F.col("__prompt"))), name, parsed)
-        status = F.col(f"{name}.parse_status")
-        rows = rows.withColumns(
-            {
-                "attempts": F.when(status.isNotNull(), F.lit(attempt)).otherwise(
-                    F.col("attempts")
-                ),
-                "__failure": F.when(status == "error", F.col("__outcome.error"))
-                .when(status != "ok", status)
-                .when(status.isNull(), F.col("__failure")),
-                "__prompt": F.when(status != "ok", F.col("__prompt")),
-            }
-        ).drop("__outcome")
-    valid = F.coalesce(*[F.when(F.col(f"{p}.parse_status") == "ok", F.col(p)) for p in passes])
-    rows = rows.withColumn("__valid", valid)
-    result = F.when(
-        F.col("__valid").isNotNull(),
-        F.col("__valid.result").withField("relevant", F.col("__valid.taxonomy_relevant")),
-    )
-    status = (
-        F.when(F.col("__blank"), "empty_text")
-        .when(F.col("__valid").isNull(), "unclassified")
-        .otherwise("classified")
-    )
-    return rows.select(
-        *df.columns,
-        result.alias("result"),
-        F.col("__valid.stated_relevant").alias("stated_relevant"),
-        status.alias("status"),
-        "attempts",
-        F.when(F.col("__valid").isNull(), F.col("__failure")).alias("failure"),
-    )
+    rows, done = df, None
+    for attempt in range(1, max_retries + 2):
+        call = scorer(generate, _for_attempt(setup, attempt), batch_size)
+        asked = _asked(rows, taxonomy, prompt, call, text_col)
+        last = attempt > max_retries
+        if not last:
+            asked = stage(asked)
+            left = asked.filter("__parsed.parse_status != 'ok'")
+            last = left.isEmpty()
+        judged = asked if last else asked.filter("coalesce(__parsed.parse_status, 'ok') = 'ok'")
+        judged = _judged(judged, df.columns, attempt)
+        done = judged if done is None else done.unionByName(judged)
+        if last:
+            return done
+        rows = left.select(*df.columns)
+    raise ValueError("max_retries must be 0 or more")
 
 
 def to_document_result(
@@ -135,8 +150,9 @@ def process_filings(
     """Every filing with metadata, and a result where one could be had.
 
     Without ``generate`` (or ``setup``) nothing is classified and no document is read; status
-    is then ``metadata_only``. A missing document gives ``no_content``. Trouble with one filing
-    is a value in its row.
+    is then ``metadata_only``. A missing document gives ``no_content``, one that cannot be read
+    ``unreadable`` with the reason as ``failure``. Trouble with one filing is a value in its row.
+    See :func:`filing_texts` on how documents are chosen, :func:`classify` on when the model runs.
     """
     if generate is None and options.get("setup") is None:
         return filings.withColumns(
@@ -149,20 +165,16 @@ def process_filings(
                 "prompt_strategy": F.lit(None).cast("string"),
             }
         )
-    # Only documents of these filings go through Python, one for each, spread by the hash of
-    # their key; only small results are joined back, on the same key.
-    wanted = documents.select("accession_number", "html").join(
-        filings.select("accession_number"), "accession_number", "left_semi"
-    )
-    content = one_document_each(wanted).withColumn(
-        "__no_content", F.coalesce("html", F.lit("")) == ""
-    )
-    outcome = classify(
-        extract_text(content).drop("html"), taxonomy, generate, strategy, **options
+    texts = filing_texts(filings, documents)
+    outcome = classify(texts, taxonomy, generate, strategy, **options)
+    status = (
+        F.when(F.col("__no_content"), "no_content")
+        .when(F.col("__read_error").isNotNull(), "unreadable")
+        .otherwise(F.col("status"))
     )
-    outcome = outcome.withColumn(
-        "status", F.when(F.col("__no_content"), "no_content").otherwise(F.col("status"))
-    ).drop("text", "__no_content")
+    outcome = outcome.withColumns(
+        {"status": status, "failure": F.coalesce("__read_error", "failure")}
+    ).drop("text", "__no_content", "__read_error")
     return (
         filings.join(outcome, "accession_number", "left")
         .withColumns(
@@ -175,6 +187,32 @@ def process_filings(
     )
 
 
+def filing_texts(
+    filings: DataFrame, documents: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """``accession_number, text, __no_content, __read_error``: the chosen document of each filing.
+
+    Text is extracted where a document is read, before any shuffle, so markup is neither shuffled,
+    sorted nor aggregated (see ``attach_content`` on ``path``). If there are at most
+    ``broadcast_rows`` filings, counted first, their keys are broadcast and other documents are not
+    even extracted; beyond that, the text of all is, and the join drops what is not wanted.
+    """
+    key, empty = "accession_number", (F.coalesce("html", F.lit("")) == "").alias("__no_content")
+    keys = filings.select(key)
+    few = keys.limit(broadcast_rows + 1).count() <= broadcast_rows
+    if "path" not in documents.columns:
+        wanted = documents.select(key, "html").join(F.broadcast(keys) if few else keys, key, "left_semi")
+        content = one_document_each(wanted).select(key, "html", empty)
+        return extract_text(content, error_col="__read_error").drop("html")
+    if few:
+        documents = documents.join(F.broadcast(keys.distinct()), key, "left_semi")
+    narrow = [c for c in (key, "path", "length") if c in documents.columns]
+    chosen = chosen_copies(documents.select(*narrow).join(keys, key, "left_semi"))
+    content = documents.select(key, "path", "html", empty)
+    texts = extract_text(content, error_col="__read_error").drop("html")
+    return texts.join(chosen, [key, "path"]).drop("path")
+
+
 def to_classifications(processed: DataFrame) -> DataFrame:
     """K2 records of classified filings, with their ``cik``; the timestamp is the filing date."""
     return processed.filter(F.col("result").isNotNull()).select(

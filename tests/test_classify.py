@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import docketry as d
+from docketry.operators.scoring import answer_many
+from docketry.plans.classify import filing_texts
 from helpers import optimized, plan, rows
 
 TAXONOMY = {
@@ -100,11 +102,79 @@ def test_setup_runs_once_per_task(spark, taxonomy, tmp_path):
         d.score(df)
 
 
-def test_classify_stays_in_one_stage(spark, taxonomy, data):
+def test_a_pass_is_one_stage_with_one_model(spark, taxonomy, data):
     documents = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
-    text = plan(d.classify(documents, taxonomy, lambda p: None).filter("status = 'classified'"))
-    assert text.count("ArrowEvalPython") == 3
+    text = plan(d.classify(documents, taxonomy, lambda p: None, max_retries=0).filter("status = 'classified'"))
+    assert text.count("ArrowEvalPython") == 1
     assert "Join" not in text and "Exchange hash" not in text
+    retried = plan(d.classify(documents, taxonomy, lambda p: "Other: yes" if len(p) % 2 else "bad"))
+    assert retried.count("ArrowEvalPython") == 1 and "Join" not in retried and "Exchange hash" not in retried
+
+
+def test_each_pass_sets_up_once_and_sees_only_what_is_left(spark, taxonomy, tmp_path):
+    folder = str(tmp_path)
+
+    def setup(attempt):
+        import uuid
+
+        open(os.path.join(folder, f"setup-{attempt}-{uuid.uuid4().hex}"), "w").close()
+
+        def generate(prompt):
+            open(os.path.join(folder, f"call-{attempt}-{uuid.uuid4().hex}"), "w").close()
+            return "Other: yes" if f"word{attempt}" in prompt else "bad"
+
+        return generate
+
+    texts = ["word1"] * 5 + ["word2"] * 3 + ["word3"] * 2 + ["none", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string").coalesce(1)
+    out = d.classify(df, taxonomy, setup=setup, strategy="basic")
+    got = sorted(rows(out.select("n", "status", "attempts", "failure")))
+    assert [r[1:] for r in got] == [("classified", 1, None)] * 5 + [("classified", 2, None)] * 3 + [("classified", 3, None)] * 2 + [
+        ("unclassified", 3, "no_match"), ("empty_text", 0, None), ("empty_text", 0, None)]
+    made = [f.rsplit("-", 1)[0] for f in os.listdir(folder)]
+    assert {m: made.count(m) for m in set(made)} == {
+        "setup-1": 1, "setup-2": 1, "setup-3": 1, "call-1": 11, "call-2": 6, "call-3": 3}
+
+
+def test_no_pass_without_rows_left(spark, taxonomy, tmp_path):
+    got, calls = run(spark, taxonomy, tmp_path, ["a", "b"], lambda p, f: "Other: yes", max_retries=9)
+    assert {r[1:3] for r in got} == {("classified", 1)} and calls == 2
+
+
+@pytest.mark.parametrize("size", [1, 3, 8, 100])
+def test_a_failing_prompt_is_found_in_its_batch(size):
+    calls = []
+
+    def many(prompts):
+        calls.append(len(prompts))
+        if any(p.startswith("bad") for p in prompts):
+            raise RuntimeError("boom")
+        return [p.upper() for p in prompts][: 2 if "short" in prompts and len(prompts) > 1 else None]
+
+    prompts = ["a", "b", "bad1", "c", "short", "d", "bad2", "e", "f"]
+    outcomes = [o for n in range(0, len(prompts), size) for o in answer_many(many, prompts[n: n + size])]
+    assert outcomes == [(None, "RuntimeError: boom") if p.startswith("bad") else (p.upper(), None) for p in prompts]
+    assert len(calls) <= 2 * len(prompts) - 1 and max(calls) <= size
+
+
+def test_batches_of_prompts(spark, taxonomy, tmp_path):
+    folder = str(tmp_path)
+
+    def many(prompts):
+        import uuid
+
+        open(os.path.join(folder, f"{len(prompts)}-{uuid.uuid4().hex}"), "w").close()
+        return [None if "7" in p else f"Other: yes {p}" for p in prompts]
+
+    df = spark.range(50).select(F.expr("CASE WHEN id % 10 != 3 THEN concat('prompt ', id) END").alias("prompt")).coalesce(1)
+    found = rows(d.score(df, many, batch_size=20).select("prompt", "response", "error"))
+    assert all(r[1] == (f"Other: yes {r[0]}" if r[0] and "7" not in r[0] else None) and r[2] is None for r in found)
+    assert sorted(f.split("-")[0] for f in os.listdir(folder)) == ["20", "20", "5"]
+    with pytest.raises(ValueError):
+        d.score(df, many, batch_size=0)
+    texts = spark.createDataFrame([(1, "a text"), (2, "")], "n int, text string")
+    got = d.classify(texts, taxonomy, lambda prompts: ["Other: yes"] * len(prompts), batch_size=4)
+    assert sorted(rows(got.select("n", "status"))) == [(1, "classified"), (2, "empty_text")]
 
 
 def test_strategies_end_to_end(spark, taxonomy):
@@ -135,6 +205,29 @@ def test_strategies_are_compared(spark, taxonomy):
     assert {r[:] for r in rows(odd.select("status", "attempts"))} == {("unclassified", 0)}
 
 
+def test_a_label_that_the_taxonomy_has_twice(spark):
+    twice = spark.createDataFrame(
+        [(0, "Acquisition", True), (1, "Other", False), (2, "Acquisition", False)], "ordinal int, event_type string, relevant boolean")
+    df = spark.createDataFrame([("k", "Acquisition", False, 0.5), ("k", "Other", True, 0.5)],
+                               "accession_number string, event_type string, stated_relevant boolean, confidence double")
+    rated = d.apply_relevance(df, twice)
+    assert rows(rated.select("event_type", "relevant"), "event_type") == [("Acquisition", True), ("Other", False)]
+    assert rows(d.strategy_consensus(df, twice, "accession_number")) == [("k", "Acquisition", 2, 0.5)]
+    assert d.schema_violations(rated, twice).count() == 0
+    odd = df.withColumn("event_type", F.lit("Nope")).withColumn("relevant", F.lit(True))
+    assert d.schema_violations(odd, twice).count() == 2
+
+
+def test_report_of_attempts_takes_one_shuffle(spark):
+    df = spark.createDataFrame([("k", 2, "no_match"), ("k", 2, "error"), ("k", 3, "no_match"), ("k", 0, "ok"), ("j", 1, "ok")],
+                               "k string, attempt int, parse_status string")
+    report = d.attempt_report(df, "k")
+    assert rows(report, "k") == [("j", True, 1, None), ("k", False, 2, "no_match")]
+    assert plan(report).count("Exchange") == 1
+    with pytest.raises(ValueError):
+        d.attempt_report(df, "k", max_retries=63)
+
+
 def attempts(spark, *answers):
     return spark.createDataFrame([("k", n, a) for n, a in answers], "k string, attempt int, response string")
 
@@ -182,7 +275,10 @@ def test_relevance(spark, taxonomy):
 def test_relevance_is_a_broadcast_join(spark, taxonomy, data):
     events = spark.read.parquet(f"{data}/events.parquet").withColumn("stated_relevant", F.lit(True))
     text = plan(d.apply_relevance(events, taxonomy))
-    assert "BroadcastHashJoin" in text and "Exchange hash" not in text
+    assert "BroadcastHashJoin" in text
+    # The only shuffle is that of the taxonomy, whose labels are made single.
+    shuffles = [line for line in text.splitlines() if "Exchange hash" in line]
+    assert len(shuffles) == 1 and "event_id" not in shuffles[0] and text.index("event_id") < text.index("BroadcastExchange")
 
 
 def test_process_filings(spark, taxonomy):
@@ -207,6 +303,54 @@ def test_process_filings(spark, taxonomy):
     assert rows(d.batch_summary(done, "detailed")) == [(4, 4, 1, 0, "detailed")]
 
 
+def test_copies_of_documents_and_those_that_cannot_be_read(spark, taxonomy):
+    filings = spark.createDataFrame(
+        [("1", "A", "8-K", "2024-01-01", key) for key in ("a", "b", "c", "d", "e")],
+        "cik string, company_name string, form string, filing_date string, accession_number string")
+    documents = spark.createDataFrame(
+        [("a", "f/2", "<p>the second copy of this one</p>"), ("a", "f/1", "<p>the first copy of this one</p>"),
+         ("b", "f/3", "begin 644 picture.jpg\nM1234567890"), ("c", "f/4", "<p>the same text in both copies</p>"),
+         ("c", "f/5", "<p>the same text in both copies</p>"), ("d", "f/6", ""), ("zz", "f/7", "<p>not asked for at all</p>"),
+         ("e", None, "<p>a document without a path</p>")],
+        "accession_number string, path string, html string")
+
+    def model(prompt):
+        return "Acquisition: yes" if "first" in prompt else "Other: yes"
+
+    for limit in (100, 2):  # few filings are broadcast; more are joined behind the extraction
+        texts = filing_texts(filings, documents, limit)
+        assert rows(texts.select("accession_number", "text", "__no_content", "__read_error"), "accession_number") == [
+            ("a", "the first copy of this one", False, None), ("b", None, False, "ValueError: an encoded attachment, not text"),
+            ("c", "the same text in both copies", False, None), ("d", "", True, None)]
+        text = plan(texts)
+        for line in text.splitlines():
+            if any(node in line for node in ("Sort ", "Exchange hash", "Aggregate(")):
+                assert "html" not in line
+    done = d.process_filings(filings, documents, taxonomy, model)
+    assert rows(done.select("accession_number", "status", "failure", "result.event_type"), "accession_number") == [
+        ("a", "classified", None, "Acquisition"), ("b", "unreadable", "ValueError: an encoded attachment, not text", None),
+        ("c", "classified", None, "Other"), ("d", "no_content", None, None), ("e", "no_content", None, None)]
+    assert rows(d.batch_summary(done, "detailed")) == [(5, 4, 2, 1, "detailed")]
+    watched, summary = d.observe_summary(done)
+    watched.write.format("noop").mode("overwrite").save()
+    assert rows(d.observed_summary(spark, summary, "detailed")) == [(5, 4, 2, 1, "detailed")]
+
+
+def test_content_is_shuffled_once_and_never_sorted(spark):
+    filings = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3), (None, 4)], "accession_number string, n int")
+    documents = spark.createDataFrame(
+        [("a", "p2", 1, "two"), ("a", "p1", 9, "one"), ("a", "p0", 9, "zero"), ("x", "p3", 9, "other")],
+        "accession_number string, path string, length int, html string")
+    for given, want in ((documents, "zero"), (documents.drop("length"), "zero"), (documents.withColumn("length", -F.col("length")), "two")):
+        out = d.attach_content(filings, given)
+        assert out.columns == ["accession_number", "n", "html"]
+        assert rows(out, "n") == [("a", 1, want), ("b", 2, None), ("a", 3, want), (None, 4, None)]
+    text = plan(out)
+    carried = [line for line in text.splitlines() if "html" in line]
+    assert not [line for line in carried if "Sort" in line or "Aggregate" in line]
+    assert "ShuffledHashJoin" in text
+
+
 def test_document_partitions_do_not_matter(spark, taxonomy, data):
     documents = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
 

@@ -5,7 +5,6 @@ import random
 import re
 from html.parser import HTMLParser
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,17 +226,17 @@ def test_bytes_that_are_not_utf8(spark):
     assert d.score(prompts, lambda p: p[:8]).first()["response"] == "<p>Soci\ufffd"
 
 
-def test_one_unreadable_document_does_not_stop_the_rest(monkeypatch):
-    from docketry.operators import extraction
-
+def test_one_unreadable_document_does_not_stop_the_rest(spark):
     def fragile(document):
         if "bad" in document:
-            raise ValueError("bad")
+            raise ValueError("no text in it")
         return document
 
-    monkeypatch.setattr(extraction, "visible_text", fragile)
-    batch = pd.Series(["bad one is here", "good one is here"])
-    assert list(extraction.raw_text.func(batch)) == [None, "good one is here"]
+    df = spark.createDataFrame([(1, "bad one is here"), (2, "good one is here")], "n int, html string")
+    read = d.extract_text(df, error_col="why", reader=fragile)
+    assert rows(read.select("n", "text", "why"), "n") == [(1, None, "ValueError: no text in it"), (2, "good one is here", None)]
+    plain = d.extract_text(df.filter("n = 1").withColumn("html", F.lit("begin 644 a.jpg\nM123")), error_col="why")
+    assert rows(plain.select("text", "why")) == [(None, "ValueError: an encoded attachment, not text")]
 
 
 class Plain(HTMLParser):
@@ -297,3 +296,44 @@ def test_tokens_agree_with_the_standard_library():
     for _ in range(5000):
         markup = "".join(rng.choice(tokens) for _ in range(rng.randrange(1, 20)))
         assert nodes(markup + "<p>") == Plain().nodes(markup), markup
+
+
+def test_full_submissions(spark):
+    whole = """<SEC-HEADER>a long line in the header</SEC-HEADER>
+<DOCUMENT>
+<TYPE>8-K
+<SEQUENCE>1
+<FILENAME>a.htm
+<DESCRIPTION>The report
+<TEXT>
+<p>the first document of the filing</p>
+</TEXT>
+</DOCUMENT>
+a long line between documents
+<document>
+<type>EX-99.1
+<sequence>x2
+<text><p>the second document of the filing</p></text>
+</document>
+<DOCUMENT>
+<TYPE>GRAPHIC
+<TEXT>
+begin 644 a.jpg
+M12
+</TEXT>
+<DOCUMENT>
+<p>cut off, without a header</p>"""
+    given = [("w", whole), ("p", "<p>a page and no submission</p>"), ("e", ""), ("n", None), ("r", whole.replace("\n", "\r\n"))]
+    df = spark.createDataFrame(given, "k string, html string")
+    split = d.split_submission(df)
+    assert split.columns == ["k", "position", "doc_type", "sequence", "filename", "description", "html"]
+    read = d.extract_text(split, error_col="why").select("k", "position", "doc_type", "sequence", "filename", "description", "text", "why")
+    got = [r for r in rows(read, "k", "position")]
+    image = "ValueError: an encoded attachment, not text"
+    four = [(1, "8-K", 1, "a.htm", "The report", "the first document of the filing", None),
+            (2, "EX-99.1", None, None, None, "the second document of the filing", None),
+            (3, "GRAPHIC", None, None, None, None, image), (4, None, None, None, None, "cut off, without a header", None)]
+    assert got == [("e", 0, None, None, None, None, "", None), ("p", 0, None, None, None, None, "a page and no submission", None),
+                   *[("r", *r) for r in four], *[("w", *r) for r in four]]
+    text = plan(split)
+    assert "Exchange" not in text and "Python" not in text
