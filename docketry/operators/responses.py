@@ -26,6 +26,7 @@ PLAIN_REASONING_PATTERNS = (
     r"explanation:\s*(.+?)(?:\n|$)",
 )
 CONFIDENCE = 0.8
+MOST_IN_ROW = 1_000  # labels that rows are matched with one by one; more are joined
 
 STATUSES = ("ok", "empty_response", "no_match", "unknown_label", "error")
 
@@ -69,17 +70,20 @@ def _reasoning(text: str) -> str:
     )
 
 
+def answer_labels(taxonomy: DataFrame, *fields: str) -> Column:
+    """The labels that answers are matched with, lowered once: an array from :func:`labels_array`."""
+    lowered = taxonomy.withColumn("low", F.lower("event_type"))
+    return labels_array(lowered, "low", *fields)
+
+
 def _entry(label: str, labels: str) -> str:
     """The taxonomy entry a label means, null when there is none.
 
     Equality ignoring case comes first, then containment either way; the first entry in
     taxonomy order wins.
     """
-    same = f"get(filter({labels}, e -> lower(e.event_type) = low), 0)"
-    part = (
-        f"get(filter({labels}, e -> contains(low, lower(e.event_type))"
-        " OR contains(lower(e.event_type), low)), 0)"
-    )
+    same = f"get(filter({labels}, e -> e.low = low), 0)"
+    part = f"get(filter({labels}, e -> contains(low, e.low) OR contains(e.low, low)), 0)"
     return let("low", f"lower({label})", f"coalesce({same}, {part})")
 
 
@@ -87,7 +91,7 @@ def parse_response(response: str, labels: str, failed: str = "false") -> Column:
     """R1-R10 for one response, as one value that is computed once.
 
     ``struct<parse_status, stated_relevant, taxonomy_relevant, blank_label, result>``. The
-    arguments are SQL: a response, an array from :func:`labels_array` with ``relevant``, and a
+    arguments are SQL: a response, an array from :func:`answer_labels` with ``relevant``, and a
     condition that marks failed calls.
     """
     status = f"""CASE WHEN {failed} THEN 'error'
@@ -109,13 +113,61 @@ def parse_response(response: str, labels: str, failed: str = "false") -> Column:
     return F.expr(let("text", response, let("given", _label("text"), with_entry)))
 
 
+def _first(ordinal: str = "ordinal") -> Column:
+    return F.min(F.struct(ordinal, "event_type"))
+
+
+def resolved_labels(given: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """R4, R5 by equi-joins alone: ``low`` and the ``event_type`` it means, for distinct ``low``.
+
+    Equal labels come first. For the rest, a label that contains ``low`` is a row of an index of all
+    substrings of labels, and a label within ``low`` equals one of the substrings of ``low`` that are
+    as long as some label; each substring has one row, that of the first label, so no join multiplies.
+    """
+    labels = taxonomy.select(F.lower("event_type").alias("low"), "ordinal", "event_type")
+    names = labels.groupBy("low").agg(_first().alias("entry"))
+    equal = given.join(names, "low", "left")
+    rest = equal.filter("entry IS NULL").select("low")
+    sizes = labels.agg(F.coalesce(F.collect_set(F.length("low")), F.array().cast("array<int>")).alias("sizes")).scalar()
+
+    def substrings(text: Column, lengths: Column) -> Column:
+        def of_length(n: Column) -> Column:
+            starts = F.sequence(F.lit(1), F.length(text) - n + 1)
+            return F.transform(starts, lambda i: F.substring(text, i, n))
+
+        return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
+
+    short = rest.withColumn("sizes", sizes).withColumn("sizes", F.filter("sizes", lambda n: n <= F.length("low")))
+    inside = short.select("low", F.explode(substrings(F.col("low"), F.col("sizes"))).alias("part"))
+    inside = inside.join(names.withColumnRenamed("low", "part"), "part").groupBy("low").agg(F.min("entry").alias("entry"))
+    every = F.when(F.length("low") > 0, F.sequence(F.lit(0), F.length("low"))).otherwise(F.array(F.lit(0)))
+    index = labels.select("ordinal", "event_type", F.explode(substrings(F.col("low"), every)).alias("part"))
+    around = rest.join(index.groupBy("part").agg(_first().alias("entry")), F.col("low") == F.col("part")).select("low", "entry")
+    part = inside.unionByName(around).groupBy("low").agg(F.min("entry").alias("entry"))
+    found = equal.filter("entry IS NOT NULL").unionByName(part)
+    return found.select("low", F.col("entry.event_type").alias("event_type"))
+
+
 def normalize_labels(
-    df: DataFrame, taxonomy: DataFrame, column: str, out: str = "label"
+    df: DataFrame, taxonomy: DataFrame, column: str, out: str = "label", most_in_row: int = MOST_IN_ROW
 ) -> DataFrame:
-    """R4-R6 for a column of free labels; null where the taxonomy knows none."""
-    labelled = df.withColumn("__labels", labels_array(taxonomy))
-    entry = F.expr(_entry(strip(f"`{column}`"), "__labels"))
-    return compute_once(labelled, out, entry["event_type"]).drop("__labels")
+    """R4-R6 for a column of free labels; null where the taxonomy knows none.
+
+    A taxonomy of at most ``most_in_row`` labels, counted first, is a value that each row is matched
+    with: no join. A larger one meets the distinct labels of ``df`` in joins (see
+    :func:`resolved_labels`), and the outcome is joined back, so ``df`` is used twice: write it down
+    first if it calls a model. There is no limit to its size.
+    """
+    if taxonomy.limit(most_in_row + 1).count() <= most_in_row:
+        labelled = df.withColumn("__labels", answer_labels(taxonomy))
+        entry = F.expr(_entry(strip(f"`{column}`"), "__labels"))
+        return compute_once(labelled, out, entry["event_type"]).drop("__labels")
+    low = F.expr(f"lower({strip(f'`{column}`')})")
+    given = df.select(low.alias("low")).filter("low IS NOT NULL").distinct()
+    resolved = resolved_labels(given, taxonomy).select(F.col("low").alias("__low"), F.col("event_type").alias("__found"))
+    joined = df.join(resolved, low == F.col("__low"), "left")
+    others = [F.col(f"`{c}`") for c in df.columns if c != out]
+    return joined.select(*others, F.col("__found").alias(out))
 
 
 def parse_responses(
@@ -130,7 +182,7 @@ def parse_responses(
     states (see ``apply_relevance`` for the taxonomy's). ``error_col`` marks failed calls.
     """
     failed = f"`{error_col}` IS NOT NULL" if error_col else "false"
-    labelled = df.withColumn("__labels", labels_array(taxonomy, "relevant"))
+    labelled = df.withColumn("__labels", answer_labels(taxonomy, "relevant"))
     parsed = parse_response(f"`{response_col}`", "__labels", failed)
     return (
         compute_once(labelled, "__parsed", parsed)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import docketry as d
-from helpers import plan, rows
+from docketry.operators import keywords
+from helpers import optimized, plan, rows
 
 TAXONOMY = {
     "First": {"relevant": True, "keywords": ["deal", "spin-off", "Deal", "credit agreement"]},
@@ -51,6 +52,32 @@ def test_classify(texts, taxonomy):
     assert got[TEXTS.index("")] == ("Other", False, 0)
 
 
+def test_large_taxonomies_are_joined_with_equal_results(spark, texts, taxonomy, monkeypatch):
+    small_hits = sorted(rows(d.keyword_hits(texts, taxonomy, "n")))
+    small = sorted(rows(d.keyword_classify(texts, taxonomy)))
+    monkeypatch.setattr(keywords, "MOST_CONSTANTS", 3)
+    joined = d.keyword_hits(texts, taxonomy, "n")
+    assert sorted(rows(joined)) == small_hits
+    assert sorted(rows(d.keyword_classify(texts, taxonomy, key="n"))) == small
+    text = plan(joined)
+    assert "HashJoin" in text or "SortMergeJoin" in text
+    assert "Cartesian" not in text and "NestedLoop" not in text
+    with pytest.raises(ValueError):
+        d.keyword_classify(texts, taxonomy)
+    monkeypatch.undo()
+    many = d.taxonomy_from_dict(spark, {f"Label {n}": {"keywords": [f"word{n}", f"two words{n}"]} for n in range(2_000)} | {"Other": {}})
+    df = spark.createDataFrame([(1, "some word7, and TWO words7; word8"), (2, "sword7 word"), (3, None)], "n int, text string")
+    assert rows(d.keyword_hits(df, many, "n"), "event_type") == [(1, "Label 7", 2), (1, "Label 8", 1)]
+    assert rows(d.keyword_classify(df, many, key="n").select("n", "event_type", "hits"), "n") == [(1, "Label 7", 2), (2, "Other", 0), (3, None, None)]
+
+
+def test_no_pattern_comes_from_a_row(spark, texts, taxonomy):
+    text = optimized(d.keyword_hits(texts, taxonomy, "n"))
+    assert "lambda" not in text.split("RLIKE")[0] or "RLIKE(__lowered" in text
+    for found in re.findall(r"RLIKE\(([^,]+), ([^)]*)", text):
+        assert "#" not in found[1]
+
+
 def test_without_fallback_label(spark, texts):
     bare = d.taxonomy_from_dict(spark, {"Only": {"keywords": ["zzz"]}})
     assert {r[:] for r in rows(d.keyword_classify(texts, bare).select("event_type", "hits"))} == {(None, 0)}

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import docketry as d
-from docketry.operators.responses import result_json
+from docketry.operators.responses import (
+    LABEL_PATTERNS, PLAIN_REASONING_PATTERNS, REASONING_PATTERNS, result_json,
+)
 from helpers import first_match, optimized, plan, rows
 
 TAXONOMY = {
@@ -75,11 +77,7 @@ def test_cases(spark, taxonomy):
 
 def by_hand(response):
     """The contract in Python's own re, for one non-empty response."""
-    found = first_match(
-        (r"Event Type:\s*([^,]+),\s*Relevant:\s*(true|false)",
-         r"Type:\s*([^,]+),\s*Relevant:\s*(true|false)",
-         r"Classification:\s*([^,]+),\s*Significant:\s*(true|false)",
-         r"([^:,\n]+):\s*(true|false|yes|no)"), response)
+    found = first_match(LABEL_PATTERNS, response)
     if not found:
         return "no_match", None, None, None
     label, word = found[1].strip().lower(), found[2].lower() in ("true", "yes")
@@ -89,12 +87,10 @@ def by_hand(response):
     if not exact + part:
         return "unknown_label", None, word, None
     either = re.IGNORECASE | re.DOTALL
-    section = first_match((r"REASONING:\s*(.+?)(?=CLASSIFICATION:|$)",
-                           r"analysis:\s*(.+?)(?=classification:|event type:|$)"), response, either)
+    section = first_match(REASONING_PATTERNS, response, either)
     reason = re.sub(r"\s+", " ", section[1].strip()) if section else ""
     if not reason:
-        line = first_match((r"reasoning:\s*(.+?)(?:\n|$)", r"because:\s*(.+?)(?:\n|$)",
-                            r"explanation:\s*(.+?)(?:\n|$)"), response, either)
+        line = first_match(PLAIN_REASONING_PATTERNS, response, either)
         reason = line[1].strip() if line else ""
     return "ok", (exact + part)[0], word, reason
 
@@ -159,3 +155,24 @@ def test_partition_invariance(spark, taxonomy):
     df = spark.createDataFrame([(n, f"Customer: {'yes' if n % 3 else 'no'}") for n in range(200)], "n int, response string")
     once = rows(d.parse_responses(df.coalesce(1), taxonomy).select("n", "result", "stated_relevant"), "n")
     assert once == rows(d.parse_responses(df.repartition(16), taxonomy).select("n", "result", "stated_relevant"), "n")
+
+
+def test_many_labels_are_joined_with_equal_results(spark):
+    names = ["Acquisition", "Other", "acquisition of a share", "", "Fin", "finance", "OTHER", "Équipe"]
+    for chosen in (names, names[:3] + names[4:], ["Only"]):
+        taxonomy = d.taxonomy_from_dict(spark, {name: {} for name in chosen})
+        given = ["acquisition", " Acquisition ", "an acquisition!", "acq", "financ", "the finance team", "other", "", "  ", "zzz", None, "ÉQUIPE b", "a", "only", "acq"]
+        df = spark.createDataFrame(list(enumerate(given)), "n int, given string")
+        want = rows(d.normalize_labels(df, taxonomy, "given"), "n")
+        got = d.normalize_labels(df, taxonomy, "given", most_in_row=0)
+        assert rows(got.select("n", "given", "label"), "n") == want
+        text = plan(got)
+        assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_fifty_thousand_labels(spark):
+    taxonomy = spark.range(50_000).select(
+        F.col("id").cast("int").alias("ordinal"), F.concat(F.lit("Label "), F.col("id").cast("string"), F.lit(".")).alias("event_type"))
+    df = spark.createDataFrame([(1, "label 49999."), (2, "the LABEL 31. again"), (3, "bel 4999"), (4, "label"), (5, "none")], "n int, given string")
+    assert rows(d.normalize_labels(df, taxonomy, "given").select("n", "label"), "n") == [
+        (1, "Label 49999."), (2, "Label 31."), (3, "Label 4999."), (4, "Label 0."), (5, None)]
