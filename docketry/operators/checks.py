@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions.expr import SEARCH_DOTALL, spark_pattern
 from docketry.functions.sqltext import first_match, squeeze, strip
+from docketry.sources.taxonomy import one_entry_each
 
 
 def strategy_consensus(
@@ -27,7 +28,7 @@ def strategy_consensus(
         .groupBy(*keys, F.col(label_col).alias("event_type"))
         .agg(F.count(F.lit(1)).alias("votes"))
     )
-    order = taxonomy.select("event_type", "ordinal")
+    order = one_entry_each(taxonomy).select("event_type", "ordinal")
     ranked = votes.join(order, "event_type", "left").withColumn(
         "preference",
         F.struct(
@@ -73,7 +74,7 @@ def schema_violations(
     relevant_col: str = "relevant",
 ) -> DataFrame:
     """Rows that break the result schema, with the first rule each one breaks."""
-    known = taxonomy.select(F.col("event_type").alias("__known"))
+    known = one_entry_each(taxonomy).select(F.col("event_type").alias("__known"))
     joined = df.join(known, F.col(label_col) == F.col("__known"), "left")
     confidence = F.col(confidence_col)
     violation = (
@@ -86,5 +87,3 @@ def schema_violations(
     return joined.withColumn("violation", violation).drop("__known").filter(
         F.col("violation").isNotNull()
     )
-
-

@@ -34,13 +34,15 @@ def label_lines(taxonomy: DataFrame) -> Column:
     return one_row(taxonomy, _ordered(_label_line(), "\n")).scalar()
 
 
-def taxonomy_text(taxonomy: DataFrame) -> DataFrame:
-    """A single row with ``labels`` and ``label_lines``."""
+def taxonomy_text(
+    taxonomy: DataFrame, max_labels: int | None = None, max_characters: int | None = None
+) -> DataFrame:
+    """A single row with ``labels`` and ``label_lines``; an error beyond the bounds (see ``one_row``)."""
     value = F.struct(
         _ordered(F.col("event_type"), ", ").alias("labels"),
         _ordered(_label_line(), "\n").alias("label_lines"),
     )
-    return one_row(taxonomy, value).select("v.*")
+    return one_row(taxonomy, value, max_labels, max_characters).select("v.*")
 
 
 def examples_text(examples: Sequence[Mapping[str, str]] | Column | None) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketry.sources.taxonomy import one_entry_each
+
 
 def apply_relevance(
     df: DataFrame,
@@ -15,10 +17,11 @@ def apply_relevance(
 ) -> DataFrame:
     """C4: the taxonomy's flag replaces the stated one; unknown labels keep the latter.
 
-    The join carries no hint: Spark broadcasts the taxonomy as long as it is below its size
-    threshold, so the large side is not shuffled.
+    Of a label that the taxonomy has twice, the first entry counts. The join carries no hint: Spark
+    broadcasts the taxonomy as long as it is below its size threshold, so the large side is not
+    shuffled.
     """
-    flags = taxonomy.select(
+    flags = one_entry_each(taxonomy).select(
         F.col("event_type").alias("__event_type"), F.col("relevant").alias("__relevant")
     )
     joined = df.join(flags, F.col(label_col) == F.col("__event_type"), "left")

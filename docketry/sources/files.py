@@ -71,11 +71,14 @@ def _read_named(spark: SparkSession, root: str, name: str, schema: str) -> DataF
     )
 
 
-def read_results(spark: SparkSession, root: str) -> DataFrame:
-    """Classification files stored one per filing, at any depth below ``root``."""
-    return _read_named(spark, root, "classification.json", CLASSIFICATION)
+def read_results(spark: SparkSession, root: str, name: str = "classification.json") -> DataFrame:
+    """Classification files stored one per filing, at any depth below ``root``.
+
+    ``name`` is the name of the files, or a pattern for it.
+    """
+    return _read_named(spark, root, name, CLASSIFICATION)
 
 
-def read_metadata_files(spark: SparkSession, root: str) -> DataFrame:
+def read_metadata_files(spark: SparkSession, root: str, name: str = "metadata.json") -> DataFrame:
     """Metadata files stored one per filing, at any depth below ``root``."""
-    return _read_named(spark, root, "metadata.json", METADATA)
+    return _read_named(spark, root, name, METADATA)

@@ -2,8 +2,8 @@
 
 A taxonomy is a DataFrame of one row per label, ordered by ``ordinal``. Operators need all of
 it for each row of data, so :func:`labels_array` packs it into one value that Spark computes
-once (a scalar subquery, no join). It is bounded: more than ``MAX_LABELS`` labels, or more than
-``MAX_CHARACTERS`` of text in them, is an error.
+once (a scalar subquery, no join). It is bounded: more than ``max_labels`` labels (by default
+``MAX_LABELS``), or more than ``max_characters`` of text in them, is an error.
 """
 
 from __future__ import annotations
@@ -151,15 +151,29 @@ def load_taxonomy(
     return read_taxonomy(spark, path) if path else default_taxonomy(spark)
 
 
-def one_row(taxonomy: DataFrame, value: Column) -> DataFrame:
-    """One row holding ``value`` over the whole taxonomy, or an error beyond the bound."""
-    bounded = taxonomy.limit(MAX_LABELS + 1)
+def one_entry_each(taxonomy: DataFrame) -> DataFrame:
+    """The first entry of every label, so that a join with a taxonomy never multiplies rows."""
+    rest = [name for name in taxonomy.columns if name != "event_type"]
+    first = F.min_by(F.struct(*rest), "ordinal")
+    return taxonomy.groupBy("event_type").agg(first.alias("first")).select("event_type", "first.*")
+
+
+def one_row(
+    taxonomy: DataFrame, value: Column, max_labels: int | None = None, max_characters: int | None = None
+) -> DataFrame:
+    """One row holding ``value`` over the whole taxonomy, or an error beyond the bounds.
+
+    These are MAX_LABELS and MAX_CHARACTERS if not given.
+    """
+    max_labels = MAX_LABELS if max_labels is None else max_labels
+    max_characters = MAX_CHARACTERS if max_characters is None else max_characters
+    bounded = taxonomy.limit(max_labels + 1)
     text = F.to_json(F.struct(*[F.col(name) for name in taxonomy.columns]))
-    fits = (F.count(F.lit(1)) <= MAX_LABELS) & (
-        F.coalesce(F.sum(F.length(text)), F.lit(0)) <= MAX_CHARACTERS
+    fits = (F.count(F.lit(1)) <= max_labels) & (
+        F.coalesce(F.sum(F.length(text)), F.lit(0)) <= max_characters
     )
     too_large = F.raise_error(
-        F.lit(f"a taxonomy may have at most {MAX_LABELS} labels and {MAX_CHARACTERS} characters")
+        F.lit(f"a taxonomy may have at most {max_labels} labels and {max_characters} characters here")
     )
     return bounded.agg(F.when(fits, value).otherwise(too_large).alias("v"))
 

@@ -105,6 +105,7 @@ def test_taxonomy_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(module, "MAX_CHARACTERS", 20)
     with pytest.raises(Exception, match="20 characters"):
         d.taxonomy_text(d.taxonomy_from_dict(spark, TAXONOMY)).collect()
+    assert d.taxonomy_text(d.taxonomy_from_dict(spark, TAXONOMY), max_characters=1_000).count() == 1
 
 
 def test_no_join_or_shuffle_of_documents(spark, taxonomy, data):
