@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import StringType, StructType
 
 from docketry.functions.templates import DEFAULT_STRATEGY
 from docketry.operators.filings import explode_filings, filter_form, split_dated
-from docketry.operators.scoring import Generate
+from docketry.operators.scoring import Generate, GenerateMany
 from docketry.plans.classify import process_filings, to_classifications
 from docketry.sinks.tables import write_classifications, write_metadata
 from docketry.sources.schemas import SUBMISSIONS
@@ -18,6 +21,12 @@ from docketry.sources.schemas import SUBMISSIONS
 ARRIVED = "arrived_at"
 DEFAULT_DELAY = "30 days"
 KEY = ("cik", "accession_number")
+# What state with a time to live needs: its store, and no batches without data, which would never end.
+KEYED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 
 def stream_submissions(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -65,27 +74,80 @@ def first_arrivals(
     return stream.withWatermark(arrived, delay).dropDuplicatesWithinWatermark(list(key))
 
 
+class _Arrivals(StatefulProcessor):
+    """Remembers, for as long as its time to live, that a key has been seen."""
+
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "seen boolean", self.ttl_ms)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timer_values: Any) -> Iterator[pd.DataFrame]:
+        known = self.seen.exists()
+        for part in rows:
+            marks = ["repeat"] * len(part)
+            if not known:
+                marks[0], known = "first", True
+                self.seen.update((True,))
+            yield part.assign(arrival=marks)
+
+    def close(self) -> None:
+        pass
+
+
+def marked_arrivals(
+    stream: DataFrame, key: Sequence[str] = KEY, days_kept: float = 30, usable: Column | None = None
+) -> DataFrame:
+    """Every arriving row, with ``arrival``: ``first``, ``repeat`` or ``rejected``.
+
+    Each key has a state of its own, which is dropped ``days_kept`` days of processing time after it was
+    first seen, so a key that comes again later is a first arrival once more (the sinks replace by
+    key). Rows are never late, as no watermark is involved, and none is lost: rows that are not
+    ``usable`` (by default those without a key) come out as rejected, without touching any state. Of
+    several rows of a key in one batch, one is the first, whichever comes first. Run it with the
+    settings KEYED_STATE.
+    """
+    complete = F.lit(True)
+    for name in key:
+        complete &= F.col(name).isNotNull()
+    if usable is not None:
+        complete &= F.coalesce(usable, F.lit(False))
+    schema = StructType([*stream.schema.fields]).add("arrival", StringType())
+    told = (
+        stream.filter(complete)
+        .groupBy(*key)
+        .transformWithStateInPandas(_Arrivals(int(days_kept * 86_400_000)), schema, "Append", "ProcessingTime")
+    )
+    return told.unionByName(stream.filter(~complete).withColumn("arrival", F.lit("rejected")))
+
+
 def store_batch(
     root: str,
     documents: Callable[[SparkSession, DataFrame], DataFrame] | None = None,
     taxonomy: Callable[[SparkSession], DataFrame] | None = None,
-    generate: Generate | None = None,
+    generate: Generate | GenerateMany | None = None,
     strategy: str = DEFAULT_STRATEGY,
     fmt: str = "parquet",
+    setup: Callable | None = None,
+    order: Column | None = None,
+    **options,
 ) -> Callable[[DataFrame, int], None]:
     """A micro-batch handler that writes metadata and, given a model, classifications.
 
     ``documents`` is called with each batch, so that it can read just the folders or dates the
-    batch needs instead of everything that ever landed. Both sinks replace by key, so a batch
-    that is run again after a failure changes nothing.
+    batch needs instead of everything that ever landed. The model is ``generate``, or what ``setup``
+    makes once for each task; ``options`` are those of ``classify``. Of conflicting rows of one filing
+    in a batch, the last by ``order`` (on the columns of the batch) is stored. Both sinks replace by
+    key, so a batch that is run again after a failure changes nothing.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_metadata(batch, f"{root}/metadata", fmt)
-        if generate is not None:
+        write_metadata(batch, f"{root}/metadata", fmt, order)
+        if generate is not None or setup is not None:
             spark = batch.sparkSession
             processed = process_filings(
-                batch, documents(spark, batch), taxonomy(spark), generate, strategy
+                batch, documents(spark, batch), taxonomy(spark), generate, strategy, setup=setup, **options
             )
             write_classifications(
                 to_classifications(processed), f"{root}/classifications", fmt
@@ -95,12 +157,28 @@ def store_batch(
 
 
 def run_available(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
+    settings: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
-    """Process all that has landed since the last run, then stop."""
-    return (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Process all that has landed since the last run, then stop.
+
+    ``settings`` hold for this query alone; pass KEYED_STATE for :func:`marked_arrivals`.
+    """
+    conf = stream.sparkSession.conf
+    before = {name: conf.get(name, None) for name in settings or {}}
+    try:
+        for name, value in (settings or {}).items():
+            conf.set(name, value)
+        # A query keeps the settings that it was started with.
+        return (
+            stream.writeStream.foreachBatch(handle)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        for name, value in before.items():
+            if value is None:
+                conf.unset(name)
+            else:
+                conf.set(name, value)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import docketry as d
 from docketry.streaming.arrivals import (
-    arriving_filings, first_arrivals, run_available, store_batch, stream_submissions,
+    KEYED_STATE, arriving_filings, first_arrivals, marked_arrivals, run_available, store_batch, stream_submissions,
 )
 from helpers import rows
 
@@ -89,3 +89,40 @@ def test_late_files_and_co_registrants_come_out(spark, tmp_path):
     run()
     found = rows(spark.read.parquet(str(out)).select("cik", "accession_number"), "cik")
     assert [(c.lstrip("0"), k) for c, k in found] == [("1", "a-1"), ("2", "a-1"), ("3", "old")]
+
+
+def test_arrivals_are_marked_over_batches(spark, tmp_path):
+    source, out = tmp_path / "in", tmp_path / "out"
+
+    def add(name, *given):
+        spark.createDataFrame(list(given), "cik string, accession_number string, n int").coalesce(1).write.parquet(str(source / name))
+
+    def run():
+        stream = spark.readStream.schema("cik string, accession_number string, n int").option("recursiveFileLookup", True).parquet(str(source))
+        marked = marked_arrivals(stream, days_kept=1, usable=F.col("n") >= 0)
+        write = lambda batch, n: batch.write.mode("append").parquet(str(out))
+        query = run_available(marked, write, str(tmp_path / "checkpoint"), KEYED_STATE)
+        assert query.awaitTermination(120)
+        return sorted(rows(spark.read.parquet(str(out)).select("cik", "accession_number", "arrival")), key=repr)
+
+    add("1", ("1", "x", 1), ("1", "x", 2), ("2", "x", 3), (None, "x", 4), ("1", "y", -1))
+    assert run() == [("1", "x", "first"), ("1", "x", "repeat"), ("1", "y", "rejected"), ("2", "x", "first"), (None, "x", "rejected")]
+    add("2", ("1", "x", 5), ("1", "y", 6), ("3", "x", None))
+    assert run() == [("1", "x", "first"), ("1", "x", "repeat"), ("1", "x", "repeat"), ("1", "y", "first"), ("1", "y", "rejected"),
+                     ("2", "x", "first"), ("3", "x", "rejected"), (None, "x", "rejected")]
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+
+def test_handler_sets_up_a_model_and_keeps_the_last_row(spark, tmp_path):
+    root = str(tmp_path / "out")
+    batch = spark.createDataFrame(
+        [("0000000001", name, "8-K", "2024-01-01", "a-1", n) for n, name in enumerate(["Z", "B", "A"])],
+        "cik string, company_name string, form string, filing_date string, accession_number string, n int")
+    documents = spark.createDataFrame([("a-1", "f/1", "<p>quite a long line of text</p>")], "accession_number string, path string, html string")
+    handle = store_batch(
+        root, lambda s, b: documents, d.default_taxonomy, setup=lambda attempt: lambda prompts: ["Other: yes" if attempt == 2 else "no"] * len(prompts),
+        order=F.col("n"), batch_size=2)
+    for batch_id in (0, 0):
+        handle(batch, batch_id)
+    assert rows(d.read_metadata(spark, f"{root}/metadata").select("company_name")) == [("A",)]
+    assert rows(d.read_classifications(spark, f"{root}/classifications").select("accession_number", "event_type")) == [("a-1", "Other")]
