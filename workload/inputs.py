@@ -87,10 +87,10 @@ STATED = "value > 20"
 CONFIDENCE = "CASE WHEN event_id % 23 = 0 THEN 1.5 ELSE 0.8 END"
 
 VERDICT = """CASE turn % 4
-    WHEN 0 THEN concat('REASONING:', chr(10), 'fine', chr(10), 'Status: VALID', chr(10), 'Issues: none')
+    WHEN 0 THEN concat('REASONING:', chr(10), replace(text, ':', ' '), chr(10), 'Status: VALID', chr(10), 'Issues: none')
     WHEN 1 THEN concat('Status: [INVALID]', chr(10), 'Issues:  ', role, chr(10), '  says ',
                        text, ' ')
-    WHEN 2 THEN concat('**Status:** invalid', chr(10), '**Issues:** ', cast(conv_id AS string))
+    WHEN 2 THEN concat('**Status:** invalid', chr(10), '**Issues:** ', cast(conv_id AS string), ' ', text)
     ELSE text END"""
 
 # Documents with lines for every cleaning rule behind their own text.
@@ -118,3 +118,18 @@ SHOWN_HTML = """concat(html, CASE page_id % 7
     WHEN 4 THEN '<div id=main>a long line in a kept block</div>'
     WHEN 6 THEN '<TYPE>EX-99.1<p>the end of the page</p>'
     ELSE '' END)"""
+
+# A page as a full submission: the page, and a picture as it is encoded there.
+SUBMISSION = """concat('<SEC-DOCUMENT>', chr(10), '<SEC-HEADER>a long line in the header</SEC-HEADER>', chr(10),
+    '<DOCUMENT>', chr(10), '<TYPE>8-K', chr(10), '<SEQUENCE>1', chr(10), '<FILENAME>page.htm', chr(10),
+    '<DESCRIPTION>', url, chr(10), '<TEXT>', chr(10), html, chr(10), '</TEXT>', chr(10), '</DOCUMENT>', chr(10),
+    'a long line between documents', chr(10), '<document>', chr(10), '<type>GRAPHIC', chr(10), '<sequence>two', chr(10),
+    '<filename> picture.jpg ', chr(10), '<text>', chr(10), 'begin 644 picture.jpg', chr(10), 'M', cast(page_id AS string),
+    chr(10), '</text>', chr(10), '</document>', chr(10), '</SEC-DOCUMENT>')"""
+
+# Pages, some of which are pictures.
+PAGE_OR_PICTURE = "CASE WHEN page_id % 11 = 3 THEN concat('begin 644 page.gif', chr(10), html) ELSE html END"
+
+# The name of a customer in capitals, with more around it, or the end of it, which others may have.
+CUSTOMER_LABEL = """CASE c_custkey % 5 WHEN 0 THEN upper(c_name) WHEN 1 THEN concat('see  ', c_name, '! ')
+    WHEN 2 THEN substring(c_name, length(c_name) - 1) WHEN 3 THEN '' ELSE concat('no ', c_mktsegment) END"""

@@ -9,6 +9,7 @@ from string import Formatter
 
 from docketry.functions import templates
 from docketry.functions.lines import NOISE_PATTERNS
+from docketry.operators.responses import LABEL_PATTERNS, PLAIN_REASONING_PATTERNS, REASONING_PATTERNS
 from workload import inputs as i
 
 ORACLES: dict[str, str] = {}
@@ -184,6 +185,15 @@ FROM (SELECT page_id,
                   WHEN 2 THEN concat('C:/landed/', url) ELSE replace(url, 'http', 'ftp+x') END AS address
       FROM pages)"""
 
+ORACLES["documents_landed"] = """
+SELECT page_id, length(html) + 1 AS n_characters, md5(html || chr(10)) AS html_md5 FROM pages"""
+ORACLES["documents_listing"] = "SELECT page_id, strlen(html) + 1 AS length FROM pages"
+ORACLES["results_landed"] = """
+SELECT cast(doc_id AS string) AS accession_number, CASE WHEN quality = 1 THEN 'Plain Event' ELSE 'Other' END AS event_type,
+       toxic = 0 AS relevant, 'as labelled' AS reasoning, cast(0.8 AS double) AS confidence,
+       'detailed' AS prompt_strategy, '2024-01-01' AS classification_timestamp
+FROM labels"""
+
 # --- text --------------------------------------------------------------------------------
 
 ORACLES["extract_text_pages"] = f"""
@@ -191,6 +201,17 @@ SELECT page_id, length(text) AS text_length, substring(text, 1, 200) AS sample,
 FROM (SELECT page_id, {page_text('html')} AS text
       FROM (SELECT page_id, {i.SHOWN_HTML} AS html FROM pages))"""
 
+PICTURE = "'ValueError: an encoded attachment, not text'"
+ORACLES["submission_documents"] = f"""
+WITH packed AS (
+  SELECT page_id * 2 AS key, 1 AS position, '8-K' AS doc_type, 1 AS sequence, 'page.htm' AS filename, url AS description,
+         md5({page_text('html')}) AS text_md5, NULL AS read_error FROM pages
+  UNION ALL
+  SELECT page_id * 2, 2, 'GRAPHIC', NULL, 'picture.jpg', NULL, NULL, {PICTURE} FROM pages)
+SELECT cast(o_orderkey AS string) AS accession_number, {i.FORM} AS form, cast(position AS bigint) AS position, doc_type,
+       cast(sequence AS bigint) AS sequence, filename, description, text_md5, read_error
+FROM orders JOIN packed ON o_orderkey = key"""
+
 ORACLES["clean_lines_documents"] = f"""
 SELECT doc_id, length(text) AS text_length, md5(text) AS text_md5
 FROM (SELECT doc_id, {clean('text')} AS text
@@ -290,13 +311,6 @@ ORACLES["strategy_fan_out"] = "\nUNION ALL\n".join(
 # --- responses ---------------------------------------------------------------------------
 
 _LABELS = "[" + ", ".join(text(label) for label in i.EVENT_TAXONOMY) + "]"
-LABEL_PATTERNS = (
-    r"Event Type:\s*([^,]+),\s*Relevant:\s*(true|false)",
-    r"Type:\s*([^,]+),\s*Relevant:\s*(true|false)",
-    r"Classification:\s*([^,]+),\s*Significant:\s*(true|false)",
-    r"([^:,\n]+):\s*(true|false|yes|no)",
-)
-
 
 def first(patterns: tuple[str, ...], group: int, flags: str = "(?i)") -> str:
     return "coalesce(" + ", ".join(search("response", p, group, flags) for p in patterns) + ")"
@@ -309,6 +323,8 @@ def canonical(label: str) -> str:
                                       OR contains(lower(t), lower({label})))[1])"""
 
 
+# RE2 has no lookahead; what follows a section may as well be part of the match.
+SECTIONS = tuple(p.replace("(?=", "(?:") for p in REASONING_PATTERNS)
 PARSED = f"""
     SELECT *, CASE WHEN coalesce(response, '') = '' THEN 'empty_response'
                    WHEN given IS NULL THEN 'no_match'
@@ -317,11 +333,8 @@ PARSED = f"""
           FROM (SELECT *, {strip(first(LABEL_PATTERNS, 1))} AS given,
                        lower({first(LABEL_PATTERNS, 2)}) IN ('true', 'yes') AS stated_relevant,
                        coalesce(
-                         nullif({squeeze(strip(first(
-                             (r'reasoning:\s*(.+?)(?:classification:|$)',
-                              r'analysis:\s*(.+?)(?:classification:|event type:|$)'), 1, '(?is)')))}, ''),
-                         {strip(first((r'reasoning:\s*(.+?)(?:\n|$)', r'because:\s*(.+?)(?:\n|$)',
-                                       r'explanation:\s*(.+?)(?:\n|$)'), 1, '(?is)'))},
+                         nullif({squeeze(strip(first(SECTIONS, 1, '(?is)')))}, ''),
+                         {strip(first(PLAIN_REASONING_PATTERNS, 1, '(?is)'))},
                          '') AS reasoning_text
                 FROM (SELECT *, {i.RESPONSE} AS response FROM events)))"""
 
@@ -347,6 +360,13 @@ FROM (SELECT event_id,
                   WHEN 2 THEN concat('  ', event_type, ' event')
                   ELSE substring(event_type, 1, 2) END AS given FROM events)"""
 
+ORACLES["normalize_many_labels"] = f"""
+WITH given AS (SELECT c_custkey, given, lower({strip('given')}) AS low FROM (SELECT c_custkey, {i.CUSTOMER_LABEL} AS given FROM customer)),
+lows AS (SELECT DISTINCT low FROM given),
+met AS (SELECT l.low, arg_min(c.c_name, (lower(c.c_name) <> l.low, c.c_custkey)) AS label
+        FROM lows l JOIN customer c ON contains(l.low, lower(c.c_name)) OR contains(lower(c.c_name), l.low) GROUP BY l.low)
+SELECT c_custkey, given, label FROM given LEFT JOIN met USING (low)"""
+
 ATTEMPTS = f"SELECT *, event_id // 4 AS doc_id, event_id % 4 + 1 AS attempt FROM ({PARSED})"
 ORACLES["first_valid_attempt"] = f"""
 SELECT doc_id, attempt, known AS label, response AS raw_response FROM ({ATTEMPTS})
@@ -383,30 +403,43 @@ OUTCOME = """
        CASE WHEN blank THEN 'empty_text' WHEN n % 5 >= 3 THEN 'classified' ELSE 'unclassified' END AS status,
        CASE WHEN blank THEN NULL WHEN n % 5 = 0 THEN 'RuntimeError: no answer'
             WHEN n % 5 = 1 THEN 'no_match' WHEN n % 5 = 2 THEN 'empty_response' END AS failure"""
+ORACLES["score_prompts_batched"] = ORACLES["score_prompts"]
+
+# The answer of attempt k is valid where (n + k) % 5 is 3 or 4.
 ORACLES["classify_documents"] = f"""
-SELECT doc_id, {OUTCOME},
-       CASE WHEN NOT blank AND n % 5 >= 3 THEN false END AS stated_relevant,
-       CASE WHEN blank THEN 0 WHEN n % 5 >= 3 THEN 1 ELSE 3 END AS attempts,
-       CASE WHEN NOT blank AND n % 5 >= 3 THEN 'Plain Event' END AS event_type,
-       CASE WHEN NOT blank AND n % 5 >= 3 THEN true END AS relevant,
-       CASE WHEN NOT blank AND n % 5 >= 3 THEN concat(n, ' characters') END AS reasoning
-FROM (SELECT doc_id, length({prompt(templates.COT)}) AS n,
+SELECT doc_id, CASE WHEN blank THEN 'empty_text' WHEN solved THEN 'classified' ELSE 'unclassified' END AS status,
+       CASE WHEN NOT blank AND NOT solved THEN 'empty_response' END AS failure,
+       CASE WHEN NOT blank AND solved THEN false END AS stated_relevant,
+       CASE WHEN blank THEN 0 WHEN n % 5 IN (2, 3) THEN 1 WHEN n % 5 = 1 THEN 2 ELSE 3 END AS attempts,
+       CASE WHEN NOT blank AND solved THEN 'Plain Event' END AS event_type,
+       CASE WHEN NOT blank AND solved THEN true END AS relevant,
+       CASE WHEN NOT blank AND solved THEN concat(n, ' characters') END AS reasoning
+FROM (SELECT doc_id, length({prompt(templates.COT)}) AS n, n % 5 <> 4 AS solved,
              NOT regexp_matches(text, '[^{BLANKS}]') AS blank
       FROM (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN ' ' ELSE text END AS text FROM documents))"""
 
-ORACLES["process_filings_pages"] = f"""
+PROCESSED = f"""
 WITH texts AS (
-  SELECT o_orderkey, coalesce(html, '') = '' AS missing, text
-  FROM orders LEFT JOIN (SELECT page_id * 2 AS key, html, {page_text('html')} AS text FROM pages)
+  SELECT o_orderkey, coalesce(html, '') = '' AS missing, coalesce(page_id % 11 = 3, false) AS picture, text
+  FROM orders LEFT JOIN (SELECT page_id, page_id * 2 AS key, html, {page_text('html')} AS text FROM pages)
        ON o_orderkey = key),
 sized AS (SELECT *, length({prompt(templates.BASIC)}) AS n,
-                 coalesce(NOT regexp_matches(text, '[^{BLANKS}]'), true) AS blank FROM texts),
-judged AS (SELECT *, {OUTCOME} FROM sized)
-SELECT cast(o_orderkey AS string) AS accession_number,
-       CASE WHEN missing THEN 'no_content' ELSE status END AS status, failure,
-       CASE WHEN status = 'classified' THEN 'Plain Event' END AS event_type,
+                 picture OR coalesce(NOT regexp_matches(text, '[^{BLANKS}]'), true) AS blank FROM texts),
+outcomes AS (SELECT *, {OUTCOME} FROM sized),
+judged AS (SELECT cast(o_orderkey AS string) AS accession_number,
+                  CASE WHEN missing THEN 'no_content' WHEN picture THEN 'unreadable' ELSE status END AS status,
+                  CASE WHEN picture THEN {PICTURE} ELSE failure END AS failure FROM outcomes)"""
+ORACLES["process_filings_pages"] = f"""
+{PROCESSED}
+SELECT *, CASE WHEN status = 'classified' THEN 'Plain Event' END AS event_type,
        CASE WHEN status = 'classified' THEN true END AS relevant
 FROM judged"""
+ORACLES["batch_summary"] = f"""
+{PROCESSED}
+SELECT count(*) AS found, count(*) FILTER (WHERE status <> 'unreadable') AS processed,
+       count(*) FILTER (WHERE status = 'classified') AS classified,
+       count(*) FILTER (WHERE status = 'unreadable') AS failed, 'basic' AS strategy
+FROM judged"""
 
 # --- evidence, checks, reports -------------------------------------------------------------
 
@@ -439,6 +472,12 @@ def keyword_best(source: str, key: str) -> str:
 
 ORACLES["keyword_hits"] = f"""
 SELECT doc_id, event_type, hits FROM ({keyword_rows('documents', 'doc_id')}) WHERE hits > 0"""
+WORD = r"'[\p{L}\p{N}]+'"
+ORACLES["keyword_hits_joined"] = f"""
+WITH words AS (SELECT DISTINCT lang, regexp_extract(lower(text), {WORD}) AS word FROM documents),
+padded AS (SELECT doc_id, concat(' ', regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') AS text FROM documents)
+SELECT doc_id, lang AS event_type, count(*) AS hits
+FROM padded JOIN words ON word <> '' AND contains(padded.text, concat(' ', word, ' ')) GROUP BY ALL"""
 ORACLES["keyword_classify"] = keyword_best("documents", "doc_id")
 ORACLES["classify_pages"] = f"""
 WITH texts AS (SELECT page_id, {page_text('html')} AS text FROM pages)
@@ -479,12 +518,6 @@ ORACLES["event_counts_totals"] = f"""
 SELECT month, event_type, relevant, count(*) AS n_filings
 FROM (SELECT *, strftime(ts, '%Y-%m') AS month FROM ({RATED}))
 GROUP BY ROLLUP (month, event_type, relevant)"""
-ORACLES["batch_summary"] = """
-SELECT count(*) AS found, count(*) FILTER (event_id % 5 <> 0) AS processed,
-       count(*) FILTER (event_id % 5 > 2) AS classified,
-       count(*) FILTER (event_id % 5 = 0) AS failed, 'detailed' AS strategy
-FROM events"""
-
 _RULE = "=" * 60
 ORACLES["report_text"] = f"""
 SELECT input_source, 'URL' AS source_type, length(text) AS text_length, md5(text) AS text_md5,
@@ -512,4 +545,20 @@ SELECT accession_number, form AS event_type, o_orderkey % 3 = 0 AS relevant,
        CASE WHEN form = '8-K' THEN 'cot' ELSE 'detailed' END AS prompt_strategy,
        filing_date AS classification_timestamp, cik
 FROM ({ORDER_FILINGS})"""
-ORACLES["arrivals_dedup"] = "SELECT DISTINCT event_id // 3 AS accession_number FROM events"
+ORACLES["event_counts_kept"] = f"""
+SELECT substring(filing_date, 1, 7) AS month, CASE WHEN form = '8-K' THEN 'Corrected' ELSE form END AS event_type,
+       o_orderkey % 3 = 0 AS relevant, count(*) AS n_filings
+FROM ({ORDER_FILINGS}) GROUP BY ALL"""
+
+WAVES = """
+    SELECT CASE WHEN event_id % 6 < 3 THEN '1' ELSE '2' END AS cik, event_id // 6 AS accession_number,
+           event_id % 10 > 0 AS usable FROM events"""
+ORACLES["arrivals_dedup"] = f"SELECT DISTINCT cik, accession_number FROM ({WAVES})"
+ORACLES["arrivals_marked"] = f"""
+SELECT cik, accession_number, arrival, sum(n)::bigint AS n_rows
+FROM (SELECT cik, accession_number,
+             unnest([{{'arrival': 'first', 'n': least(count(*) FILTER (WHERE usable), 1)}},
+                     {{'arrival': 'repeat', 'n': count(*) FILTER (WHERE usable) - 1}},
+                     {{'arrival': 'rejected', 'n': count(*) FILTER (WHERE NOT usable)}}], recursive := true)
+      FROM ({WAVES}) GROUP BY cik, accession_number)
+WHERE n > 0 GROUP BY ALL"""

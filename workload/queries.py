@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 from tempfile import mkdtemp
 from uuid import uuid4
 
@@ -13,7 +14,7 @@ import docketry as d
 from docketry.functions.keys import normalize_date, pad_cik
 from docketry.functions.lines import clean_lines, text_sample
 from docketry.operators.responses import result_json
-from docketry.streaming.arrivals import first_arrivals, run_available
+from docketry.streaming.arrivals import KEYED_STATE, first_arrivals, marked_arrivals, run_available
 from workload import inputs as i
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +22,24 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        shared_folder(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share; a local session may have none and is given one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = mkdtemp(prefix="docketry-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,13 +60,8 @@ def event_taxonomy(spark: SparkSession) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name in the folder that all executors share; a local session may have none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = mkdtemp(prefix="docketry-")
-    return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
+    """A new folder name in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
 def long_length(column: str):
@@ -218,10 +230,18 @@ def filings_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents keyed like orders; those of other keys find no filing."""
-    return table(spark, sf_dir, "documents").select(
-        F.expr("cast(doc_id * 3 AS string)").alias("accession_number"), F.col("text").alias("html")
+    """Documents keyed like orders, a quarter in two copies; those of other keys find no filing."""
+    documents = table(spark, sf_dir, "documents").select(
+        F.expr("cast(doc_id * 3 AS string)").alias("accession_number"), "doc_id", F.col("text").alias("html")
     )
+    return with_copies(documents, "doc_id % 4 = 0", F.concat("html", F.lit(" as copied")))
+
+
+def with_copies(documents: DataFrame, which: str, html) -> DataFrame:
+    """Documents with a path, and second copies of some with another content."""
+    path = lambda folder: F.concat(F.lit(f"{folder}/"), "accession_number").alias("path")
+    first = documents.select("accession_number", path("a"), "html")
+    return first.unionByName(documents.filter(which).select("accession_number", path("b"), html.alias("html")))
 
 
 @query
@@ -272,6 +292,44 @@ def source_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.with_source_type(pages, "address")
 
 
+def landed_pages(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with one file for each page."""
+    path = scratch(spark, "pages")
+    table(spark, sf_dir, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
+    return path
+
+
+def page_of_path():
+    return F.regexp_extract("path", r"page_id=([0-9]+)/", 1).cast("bigint").alias("page_id")
+
+
+@query
+def documents_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as files and read back whole."""
+    read = d.read_documents(spark, landed_pages(spark, sf_dir), "*.txt")
+    return read.select(page_of_path(), long_length("html").alias("n_characters"), F.md5("html").alias("html_md5"))
+
+
+@query
+def documents_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: those files listed, without opening them."""
+    return d.list_documents(spark, landed_pages(spark, sf_dir), "*.txt").select(page_of_path(), "length")
+
+
+@query
+def results_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One classification file for each labelled document, read back."""
+    path = scratch(spark, "results")
+    record = F.struct(
+        F.expr("cast(doc_id AS string)").alias("accession_number"),
+        F.expr("CASE WHEN quality = 1 THEN 'Plain Event' ELSE 'Other' END").alias("event_type"),
+        F.expr("toxic = 0").alias("relevant"), F.lit("as labelled").alias("reasoning"), F.lit(0.8).alias("confidence"),
+        F.lit("detailed").alias("prompt_strategy"), F.lit("2024-01-01").alias("classification_timestamp"),
+    )
+    table(spark, sf_dir, "labels").select("doc_id", F.to_json(record).alias("value")).write.partitionBy("doc_id").text(path)
+    return d.read_results(spark, path, "part-*.txt")
+
+
 # --- text --------------------------------------------------------------------------------
 
 
@@ -288,6 +346,22 @@ def extract_text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def submission_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as full submissions of two documents, one of them a picture, joined to the index."""
+    packed = table(spark, sf_dir, "pages").select(
+        F.expr("cast(page_id * 2 AS string)").alias("accession_number"), F.expr(i.SUBMISSION).alias("html")
+    )
+    texts = d.extract_text(d.split_submission(packed), error_col="read_error")
+    index = table(spark, sf_dir, "orders").select(
+        F.expr("cast(o_orderkey AS string)").alias("accession_number"), F.expr(i.FORM).alias("form")
+    )
+    return index.join(texts.drop("html"), "accession_number").select(
+        "accession_number", "form", F.col("position").cast("bigint").alias("position"), "doc_type",
+        F.col("sequence").cast("bigint").alias("sequence"), "filename", "description", F.md5("text").alias("text_md5"), "read_error",
+    )
+
+
 @query
 def clean_lines_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T6-T11."""
@@ -454,6 +528,14 @@ def normalize_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.normalize_labels(events, event_taxonomy(spark), "given")
 
 
+@query
+def normalize_many_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4, R5 with one label for each customer."""
+    customers = table(spark, sf_dir, "customer")
+    labels = customers.select(F.col("c_custkey").cast("int").alias("ordinal"), F.col("c_name").alias("event_type"))
+    return d.normalize_labels(customers.select("c_custkey", F.expr(i.CUSTOMER_LABEL).alias("given")), labels, "given")
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four consecutive events are the attempts of one document."""
     return parsed(spark, sf_dir).withColumns(
@@ -509,9 +591,8 @@ def relevance_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fake_model(prompt: str) -> str | None:
-    """Stands in for a model: the answer depends only on the length of the prompt."""
-    kind = len(prompt) % 5
+def answer(prompt: str, kind: int) -> str | None:
+    """Stands in for a model: the answer depends only on the length of the prompt and on ``kind``."""
     if kind == 0:
         raise RuntimeError("no answer")
     if kind == 1:
@@ -521,6 +602,20 @@ def fake_model(prompt: str) -> str | None:
     return f"REASONING: {len(prompt)} characters CLASSIFICATION: Event Type: Plain, Relevant: false"
 
 
+def fake_model(prompt: str) -> str | None:
+    return answer(prompt, len(prompt) % 5)
+
+
+def fake_batch_model(prompts: list[str]) -> list[str | None]:
+    """One prompt without an answer spoils the whole call."""
+    return [fake_model(prompt) for prompt in prompts]
+
+
+def fake_model_of(attempt: int) -> Callable[[str], str | None]:
+    """Answers that depend on the attempt, too."""
+    return lambda prompt: answer(prompt, (len(prompt) + attempt) % 5)
+
+
 @query
 def score_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1."""
@@ -528,13 +623,20 @@ def score_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.score(prompts, fake_model).select("doc_id", "response", "error")
 
 
+@query
+def score_prompts_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 with 16 prompts in a call."""
+    prompts = d.render_prompt(texts(spark, sf_dir, "documents"), prose_taxonomy(spark), "basic")
+    return d.score(prompts, fake_batch_model, batch_size=16).select("doc_id", "response", "error")
+
+
 @query
 def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaning, prompts, up to three attempts, parsing, taxonomy relevance."""
     documents = texts(spark, sf_dir, "documents").select(
         "doc_id", F.expr("CASE WHEN doc_id % 9 = 0 THEN ' ' ELSE text END").alias("text")
     )
-    classified = d.classify(documents, prose_taxonomy(spark), fake_model, "cot")
+    classified = d.classify(documents, prose_taxonomy(spark), setup=fake_model_of, strategy="cot")
     return classified.select(
         "doc_id", "status", "failure", "stated_relevant",
         F.col("attempts").cast("bigint").alias("attempts"),
@@ -544,17 +646,22 @@ def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def process_filings_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Filings with pages as documents; some have none."""
+def processed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filings with pages as documents: some have none, some two copies, some are pictures."""
     orders = order_filings(table(spark, sf_dir, "orders")).withColumn(
         "accession_number", F.expr("cast(o_orderkey AS string)")
     )
     pages = table(spark, sf_dir, "pages").select(
-        F.expr("cast(page_id * 2 AS string)").alias("accession_number"), "html"
+        "page_id", F.expr("cast(page_id * 2 AS string)").alias("accession_number"), F.expr(i.PAGE_OR_PICTURE).alias("html")
     )
-    processed = d.process_filings(orders, pages, prose_taxonomy(spark), fake_model, "basic")
-    return processed.select(
+    documents = with_copies(pages, "page_id % 5 = 0", F.lit("<p>a second copy with another text</p>"))
+    return d.process_filings(orders, documents, prose_taxonomy(spark), fake_model, "basic", max_retries=1)
+
+
+@query
+def process_filings_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8."""
+    return processed_pages(spark, sf_dir).select(
         "accession_number", "status", "failure", F.col("result.event_type").alias("event_type"),
         F.col("result.relevant").alias("relevant"),
     )
@@ -570,6 +677,18 @@ def keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.withColumn("hits", F.col("hits").cast("bigint"))
 
 
+@query
+def keyword_hits_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 with the first words of all documents as the keywords of their languages."""
+    documents = table(spark, sf_dir, "documents")
+    first = documents.select("lang", F.regexp_extract(F.lower("text"), r"[\p{L}\p{N}]+", 0).alias("word")).filter("word != ''")
+    taxonomy = first.groupBy(F.col("lang").alias("event_type")).agg(F.array_sort(F.collect_set("word")).alias("keywords")).select(
+        F.pmod(F.xxhash64("event_type"), F.lit(1_000_003)).cast("int").alias("ordinal"), "event_type", F.lit(True).alias("relevant"), "keywords"
+    )
+    hits = d.keyword_hits(documents, taxonomy, "doc_id")
+    return hits.withColumn("hits", F.col("hits").cast("bigint"))
+
+
 @query
 def keyword_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X2."""
@@ -626,13 +745,10 @@ def event_counts_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K3."""
-    status = F.expr(
-        "CASE event_id % 5 WHEN 0 THEN 'failed' WHEN 1 THEN 'no_content'"
-        " WHEN 2 THEN 'unclassified' ELSE 'classified' END"
-    )
-    events = table(spark, sf_dir, "events").select(status.alias("status"))
-    return d.batch_summary(events, "detailed")
+    """K3: observed while the outcome of C8 is written."""
+    watched, summary = d.observe_summary(processed_pages(spark, sf_dir))
+    watched.write.parquet(scratch(spark, "processed"))
+    return d.observed_summary(spark, summary, "basic")
 
 
 @query
@@ -662,20 +778,18 @@ def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def metadata_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1: written, then partly written again with another form; read back."""
+    """K1: written, then partly written again in two conflicting forms; read back."""
     root = scratch(spark, "metadata")
     filings = order_filings(texts(spark, sf_dir, "orders"))
     d.write_metadata(filings, root)
     again = filings.filter("o_custkey % 25 < 5 AND o_orderkey % 2 = 0")
-    d.write_metadata(again.withColumn("form", F.lit("8-K/A")), root)
+    both = again.select("*", F.explode(F.array(F.lit("8-K/A"), F.lit("9-X"))).alias("new")).withColumn("form", F.col("new"))
+    d.write_metadata(both, root, order=F.col("new") == "8-K/A")
     return d.read_metadata(spark, root)
 
 
-@query
-def classification_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K2: one classification per order, Parquet; the second run replaces part of them."""
-    root = scratch(spark, "classifications")
-    filings = order_filings(texts(spark, sf_dir, "orders")).select(
+def order_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_filings(texts(spark, sf_dir, "orders")).select(
         "cik",
         "accession_number",
         F.col("form").alias("event_type"),
@@ -685,26 +799,67 @@ def classification_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("detailed").alias("prompt_strategy"),
         F.col("filing_date").alias("classification_timestamp"),
     )
+
+
+@query
+def classification_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: one classification per order, Parquet; the second run replaces part of them, the last by order."""
+    root = scratch(spark, "classifications")
+    filings = order_results(spark, sf_dir)
     d.write_classifications(filings, root, "parquet")
-    again = filings.filter("event_type = '8-K'").withColumn("prompt_strategy", F.lit("cot"))
-    d.write_classifications(again, root, "parquet")
+    again = filings.filter("event_type = '8-K'").select("*", F.explode(F.array(F.lit(2), F.lit(1))).alias("n"))
+    again = again.withColumn("prompt_strategy", F.when(F.col("n") == 2, "cot").otherwise("few_shot"))
+    d.write_classifications(again, root, "parquet", F.col("n"))
     return d.read_classifications(spark, root, "parquet")
 
 
 @query
-def arrivals_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file stream of events, three in a row being copies of one filing."""
-    schema = table(spark, sf_dir, "events").schema
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-        .select(F.expr("event_id div 3").alias("accession_number"), F.lit("1").alias("cik"), F.col("ts").cast("timestamp").alias("arrived_at"))
-    )
+def event_counts_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: counts kept up over two runs of K2, the second of which changes labels."""
+    root = scratch(spark, "classifications")
+    filings = order_results(spark, sf_dir)
+    d.write_classifications(filings, root)
+    d.maintained_counts(spark, root, ["month"])
+    again = filings.filter("event_type = '8-K'").withColumn("event_type", F.lit("Corrected"))
+    d.write_classifications(again, root)
+    return d.maintained_counts(spark, root, ["month"])
+
+
+def event_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive in three batches, out of order: three copies each of the filings of two companies."""
+    path = scratch(spark, "waves")
+    arriving = table(spark, sf_dir, "events").select(
+        F.expr("CASE WHEN event_id % 6 < 3 THEN '1' ELSE '2' END").alias("cik"),
+        F.expr("event_id div 6").alias("accession_number"),
+        F.expr("CASE WHEN event_id % 10 > 0 THEN cast(ts AS date) END").alias("filing_day"),
+        F.expr("event_id % 3").alias("wave"),
+    )
+    arriving.repartition(3, "wave").write.partitionBy("wave").parquet(path)
+    schema = "cik string, accession_number bigint, filing_day date, wave int"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path).drop("wave")
+
+
+def streamed(spark: SparkSession, stream: DataFrame, settings: dict[str, str] | None = None) -> DataFrame:
+    """What all batches of a stream gave."""
     root = scratch(spark, "arrivals")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/data/batch_id={batch_id}")
 
-    run_available(first_arrivals(stream), handle, f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/data").select("accession_number")
+    run_available(stream, handle, f"{root}/checkpoint", settings).awaitTermination()
+    return spark.read.parquet(f"{root}/data").drop("batch_id")
+
+
+@query
+def arrivals_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each filing of each company once."""
+    arriving = event_waves(spark, sf_dir).withColumn("arrived_at", F.current_timestamp())
+    return streamed(spark, first_arrivals(arriving)).select("cik", "accession_number")
+
+
+@query
+def arrivals_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First arrivals, repeats and rejected rows of each filing."""
+    marked = marked_arrivals(event_waves(spark, sf_dir), usable=F.col("filing_day").isNotNull())
+    told = streamed(spark, marked, KEYED_STATE)
+    return told.groupBy("cik", "accession_number", "arrival").agg(F.count(F.lit(1)).alias("n_rows"))
