@@ -14,6 +14,7 @@ and one document at a time is put together.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Callable, Iterator
 
@@ -314,9 +315,16 @@ def encode_documents(
 
 
 def public_tokenizer(name: str) -> Callable[[], object]:
-    """Opens a tokenizer file of the installed public_tokenizers; parameter ``name``."""
+    """Opens a tokenizer file of the installed public_tokenizers; parameter ``name``.
+
+    The library then works in the thread that calls it: a task has one core, and each further thread
+    would keep memory of its own for as long as the worker lives.
+    """
 
     def opened():
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        os.environ["RAYON_NUM_THREADS"] = "1"
+
         import public_tokenizers
         from tokenizers import Tokenizer
 
