@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by learned partitions.
 
-On a bounded sample, the graph of nearest neighbours is cut into partitions of equal size that keep
-neighbours together, and a small network learns the partition of a vector. It then places every row,
-and sends each query to its most probable partitions, whose rows are ranked exactly. How many
-partitions a query visits is calibrated on the sample: enough that the wanted share of the true
-neighbours of sampled vectors lies in them.
+On one half of a bounded sample, the graph of nearest neighbours is cut into partitions of equal size
+that keep neighbours together, and a small network learns the partition of a vector. It then places
+every row, and sends each query to its most probable partitions, whose rows are ranked exactly. There
+are the more partitions the more rows there are. How many of them a query visits is calibrated on the
+other half, which nothing was fitted on: enough that the wanted share of the true neighbours of its
+vectors lies in them.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 from docketry.llm.common import in_groups, stage
 from docketry.llm.vectors import matrix, one_each, read_group, sample_matrix, unit, usable
 
-SAMPLE = 4_096  # vectors the partitions are learned from
-PARTITIONS = 16
+SAMPLE = 4_096  # vectors the partitions are learned from, and as many that calibrate the visits, at most
+LEAST_PARTITIONS = 16  # where there are enough rows to learn so many from
+PER_PARTITION = 16  # sampled vectors of a partition, at least
+CALIBRATED = 1_024  # queries of the calibration, at most
 NEIGHBOURS = 10  # of a sampled vector in the graph
 HIDDEN = 64
 EPOCHS = 12
@@ -91,26 +94,37 @@ def balanced_partition(x: np.ndarray, neighbours: np.ndarray, parts: int, rounds
     return own
 
 
-def learn_router(x: np.ndarray, k: int, parts: int = PARTITIONS, recall: float = RECALL, seed: int = 5) -> Router:
-    """Partitions a sample and learns to tell the partition of a vector from its direction."""
+def partitions_for(rows: int) -> int:
+    """Partitions for so many rows: half their root as a power of two, as far as the sample can tell them apart."""
+    wanted = 1 << max(round(np.log2(max(rows, 1)) / 2 - 1), 0)
+    return max(min(max(wanted, LEAST_PARTITIONS), SAMPLE // PER_PARTITION), 1)
+
+
+def learn_router(
+    x: np.ndarray, held: np.ndarray, k: int, parts: int = LEAST_PARTITIONS, recall: float = RECALL, total: int | None = None, seed: int = 5
+) -> Router:
+    """Partitions ``x``, learns to tell the partition of a vector from its direction, calibrates on ``held``.
+
+    ``total`` is the number of rows that the sample stands for.
+    """
     rng = np.random.default_rng(seed)
     n, dims = x.shape
     parts = max(1, min(parts, n // 4))
+    if parts == 1 or not len(held):
+        return Router(np.zeros((dims, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1)
     directions = unit(x)
     products = x @ x.T
     np.fill_diagonal(products, -np.inf)
-    wanted = min(max(k, NEIGHBOURS), n - 1)
-    if parts == 1 or wanted < 1:
-        return Router(np.zeros((dims, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1)
-    best = np.argsort(-products, axis=1, kind="stable")[:, :wanted]
-    own = balanced_partition(directions, best[:, :NEIGHBOURS], parts)
+    near = min(NEIGHBOURS, n - 1)
+    best = np.argsort(-products, axis=1, kind="stable")[:, :near]
+    own = balanced_partition(directions, best, parts)
     router = Router(
         rng.normal(0, np.sqrt(2 / dims), (dims, HIDDEN)), np.zeros(HIDDEN),
         rng.normal(0, np.sqrt(1 / HIDDEN), (HIDDEN, parts)), np.zeros(parts), parts,
     )
     # A vector's target is where it and its neighbours are, as in soft labels.
     target = np.zeros((n, parts))
-    np.add.at(target, (np.repeat(np.arange(n), NEIGHBOURS), own[best[:, :NEIGHBOURS]].ravel()), 0.5 / NEIGHBOURS)
+    np.add.at(target, (np.repeat(np.arange(n), near), own[best].ravel()), 0.5 / near)
     target[np.arange(n), own] += 0.5
     names = ("inner", "inner_bias", "outer", "outer_bias")
     first = {m: np.zeros_like(getattr(router, m)) for m in names}
@@ -135,15 +149,32 @@ def learn_router(x: np.ndarray, k: int, parts: int = PARTITIONS, recall: float =
                 second[m] = 0.99 * second[m] + 0.01 * grads[m] ** 2
                 move = first[m] / (1 - 0.9**step) / (np.sqrt(second[m] / (1 - 0.99**step)) + 1e-9)
                 setattr(router, m, getattr(router, m) - 0.01 * (1 - epoch / EPOCHS) * move)
-    # Rows are placed by the network itself, so it is that placement which decides the recall.
-    ranked = router.ranked(directions)
-    rank_of = np.argsort(ranked, axis=1)
-    placed = ranked[:, 0]
-    depth = np.sort(np.take_along_axis(rank_of, placed[best[:, : min(k, wanted)]], axis=1).ravel())
-    router.probes = int(depth[min(int(np.ceil(recall * len(depth))), len(depth)) - 1]) + 1
+    router.probes = calibrated_probes(router, x, held, k, recall, total or n + len(held))
     return router
 
 
+def calibrated_probes(router: Router, x: np.ndarray, held: np.ndarray, k: int, recall: float, rows: int) -> int:
+    """Partitions to visit, so that ``recall`` of the neighbours of vectors not learned from lie in them.
+
+    Rows are placed by the network itself, so it is that placement which decides. The sample is thinner
+    than the table, where the k nearest are as near as fewer of the sample are; five at least are used.
+    """
+    every = np.concatenate([held, x])
+    asked = min(CALIBRATED, len(held))
+    near = min(max(-(-k * len(every) // max(rows, len(every))), 5), k, len(every) - 1)
+    placed = router.ranked(unit(every))[:, 0]
+    rank_of = np.argsort(router.ranked(unit(held[:asked])), axis=1)
+    depths = []
+    for low in range(0, asked, SLICE):
+        own = np.arange(low, min(low + SLICE, asked))
+        products = held[own] @ every.T
+        products[np.arange(len(own)), own] = -np.inf
+        best = np.argpartition(-products, near - 1, axis=1)[:, :near]
+        depths.append(np.take_along_axis(rank_of[own], placed[best], axis=1).ravel())
+    depth = np.sort(np.concatenate(depths))
+    return int(depth[min(int(np.ceil(recall * len(depth))), len(depth)) - 1]) + 1
+
+
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of each query, by inner product.
 
@@ -154,11 +185,13 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, recall
     their greatest vector. Other columns are not read.
     """
     rows = stage(usable(one_each(vectors)), "index")
-    _, sample = sample_matrix(rows, SAMPLE)
+    _, sample = sample_matrix(rows, 2 * SAMPLE)
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     if not len(sample):
         return rows.sparkSession.createDataFrame([], schema)
-    router = learn_router(sample, k, recall=recall)
+    total = rows.count()
+    # In the order of hashes, every other vector is as good a sample as any.
+    router = learn_router(sample[::2], sample[1::2], k, partitions_for(total), recall, total)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,7 +236,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, recall
 def _rank_block(group: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """The best k of a block for every query that visits it."""
     held: list[pa.RecordBatch] = []
-    ids = x = None
+    ids = x = top = None
     for indexed, batch in read_group(group, 0):
         if indexed:
             held.append(batch)
@@ -213,16 +246,22 @@ def _rank_block(group: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
         if x is None:
             ids = np.concatenate([np.asarray(b.column("id")) for b in held])
             x = np.concatenate([matrix(b.column("embedding")) for b in held])
+            top = float(np.abs(x).max())
         for start in range(0, batch.num_rows, SLICE):
             part = batch.slice(start, SLICE)
             own = np.asarray(part.column("id"))
-            scores = matrix(part.column("embedding")) @ x.T
+            asked = matrix(part.column("embedding"))
+            scores = asked @ x.T
             scores[own[:, None] == ids[None, :]] = -np.inf
             take = min(k, len(ids))
             edge = -np.partition(-scores, take - 1, axis=1)[:, take - 1]
-            for row, least, query in zip(scores, edge, own.tolist()):
-                # All that tie with the last one, then the smaller ids of these.
+            # A product of matrices may differ in its last bits from block to block, so all that come near
+            # the last one are scored again, each by itself.
+            doubt = 1e-12 * np.abs(asked).sum(axis=1) * top
+            for row, least, vector, query in zip(scores, edge - np.nan_to_num(doubt, posinf=0.0), asked, own.tolist()):
                 able = np.flatnonzero((row >= least) & (row > -np.inf))
-                able = able[np.lexsort((ids[able], -row[able]))][:take]
+                exact = (x[able] * vector).sum(axis=1)
+                best = np.lexsort((ids[able], -exact))[:take]
+                able, exact = able[best], exact[best]
                 if len(able):
-                    yield pa.RecordBatch.from_pydict({"query_id": np.full(len(able), query), "vec_id": ids[able], "score": row[able]})
+                    yield pa.RecordBatch.from_pydict({"query_id": np.full(len(able), query), "vec_id": ids[able], "score": exact})

@@ -4,17 +4,20 @@ A batch of changes (inserts, deletes and revised counts) becomes signed numbers
 tokens for each source, language and tokenizer version. Its sums are written under the batch's id and
 then committed by an empty marker file; totals are the sums of committed batches. A batch that runs
 again after a failure replaces what it left behind, and one that is already committed changes nothing,
-so each counts once. ``compact`` folds committed batches into one table of totals.
+so each counts once. ``compact`` folds the batches committed so far into one table of totals, under a
+marker that lists them; they stay committed.
 """
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEYS = ("source", "lang", "version")
 SCHEMA = "source string, lang string, version string, docs bigint, tokens bigint"
-SALTS = 16
+COMPACTED = "compacted-"
 
 
 def signed(changes: DataFrame) -> DataFrame:
@@ -69,12 +72,51 @@ class Rollup:
         # Creating the marker is atomic: of two writers one gets True.
         return bool(self._files().createNewFile(self._path(f"commits/{batch_id}")))
 
+    def _folded(self) -> tuple[str | None, set[str]]:
+        """The newest table of totals, and the batches that are in it."""
+        place, files = self._path("compactions"), self._files()
+        if not files.exists(place):
+            return None, set()
+        for name in sorted((s.getPath().getName() for s in files.listStatus(place)), reverse=True):
+            stream = files.open(self._path(f"compactions/{name}"))
+            try:
+                lines = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+            finally:
+                stream.close()
+            if lines[-1:] == ["end"]:  # else its writer died half way
+                return lines[0], set(lines[1:-1])
+        return None, set()
+
+    def _rows(self) -> DataFrame | None:
+        table, folded = self._folded()
+        names = ([table] if table else []) + [f"batches/{b}" for b in self.committed() if b not in folded]
+        return self.spark.read.schema(SCHEMA).parquet(*[f"{self.folder}/{n}" for n in names]) if names else None
+
+    def compact(self) -> bool:
+        """Folds all committed batches into one table; False if there is nothing to fold.
+
+        Totals are the same before, after and, if it fails, in between. The folded batches are no longer
+        read, but still known, so that none of them counts twice.
+        """
+        batches = self.committed()
+        if set(batches) == self._folded()[1]:
+            return False
+        table = f"totals/{COMPACTED}{uuid4().hex}"
+        self.totals().write.parquet(f"{self.folder}/{table}")
+        number = len(self._files().listStatus(self._path("compactions"))) if self._files().exists(self._path("compactions")) else 0
+        stream = self._files().create(self._path(f"compactions/{number:09d}"), False)
+        try:
+            stream.write(bytearray("\n".join([table, *batches, "end"]) + "\n", "utf-8"))
+        finally:
+            stream.close()
+        return True
+
     def totals(self) -> DataFrame:
         """source, lang, version, docs, tokens; groups that came back to nothing are left out."""
-        batches = [f"{self.folder}/batches/{b}" for b in self.committed()]
-        if not batches:
+        rows = self._rows()
+        if rows is None:
             return self.spark.createDataFrame([], SCHEMA)
-        return summed(self.spark.read.schema(SCHEMA).parquet(*batches)).where("docs != 0 or tokens != 0")
+        return summed(rows).where("docs != 0 or tokens != 0")
 
 
 def word_tokens(text: Column) -> Column:

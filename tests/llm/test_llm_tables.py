@@ -8,13 +8,15 @@ import pytest
 
 import corpus_pipeline
 from compare import connection, difference
-from docketry.llm.ann import nearest_neighbours
+from docketry.llm import ann
+from docketry.llm.ann import SAMPLE, learn_router, nearest_neighbours, partitions_for
 from docketry.llm.embedding_dedup import near_duplicate_vectors
 from docketry.llm.mixing import DOMAINS, fit_rates, soft_mixing
 from docketry.llm.queries import ORACLES, QUERIES
 from docketry.llm.revisits import canonical_url, resolve_revisits
 from docketry.llm.rollups import Rollup
 from docketry.llm.tool_calls import link_tool_calls
+from docketry.llm.vectors import unit
 from pyspark.sql import functions as F
 
 VECTORS = "vec_id bigint, embedding array<float>, label int, id string, cell int, links int"
@@ -97,6 +99,55 @@ def test_op10_recall(spark):
     assert hits / total >= 0.9
 
 
+def clustered(n, dims, clusters, seed, norms=False):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, 1, (clusters, dims))
+    x = centres[rng.integers(0, clusters, n)] + rng.normal(0, 0.25, (n, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return x * rng.uniform(0.8, 1.2, (n, 1)) if norms else x
+
+
+@pytest.mark.parametrize(("clusters", "norms"), [(300, False), (1_500, False), (300, True)])
+def test_recall_of_rows_that_nothing_was_fitted_on(clusters, norms):
+    n = 48_000
+    x = clustered(n, 48, clusters, clusters, norms)
+    sample, others = x[:2 * SAMPLE], x[2 * SAMPLE:]
+    router = learn_router(sample[::2], sample[1::2], 20, partitions_for(n), total=n)
+    parts = router.outer.shape[1]
+    assert parts == partitions_for(n) > 64 >= partitions_for(2_000)
+    placed = router.ranked(unit(x))[:, 0]
+    sizes = np.bincount(placed, minlength=parts)
+    queries = np.arange(2 * SAMPLE, 2 * SAMPLE + 400)
+    visited = router.ranked(unit(x[queries]))[:, : router.probes]
+    scores = x[queries] @ x.T
+    scores[np.arange(len(queries)), queries] = -np.inf
+    best = np.argpartition(-scores, 20, axis=1)[:, :20]
+    met = [np.isin(placed[b], v).mean() for b, v in zip(best, visited)]
+    assert np.mean(met) >= 0.9
+    assert sizes[visited].sum(axis=1).mean() <= n / 5
+
+
+def test_search_beyond_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE", 256)
+    monkeypatch.setattr(ann, "BLOCK", 512)
+    x = clustered(4_096, 16, 40, 3)
+    x[1_000:1_400] = x[1_000]  # equal vectors in many blocks
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(5)
+    found = {}
+    for r in ann.nearest_neighbours(rows, F.col("vec_id") % 20 == 0, k=20).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    hits = 0
+    for q in range(0, len(x), 20):
+        scores = (x * x[q]).sum(axis=1)
+        scores[q] = -np.inf
+        best = np.lexsort((np.arange(len(x)), -scores))[:20]
+        hits += len({v for v, _ in found[q]} & set(best.tolist()))
+        assert found[q] == sorted(found[q], key=lambda g: (-g[1], g[0])) and all(s == scores[v] for v, s in found[q])
+        if 1_000 <= q < 1_400:
+            assert [v for v, _ in found[q]] == best.tolist()
+    assert hits >= 0.9 * 20 * len(found) and len(found) == 205
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_with_sql(spark, data, name):
     assert difference(QUERIES[name](spark, data), connection(data), ORACLES[name]) is None
@@ -229,6 +280,25 @@ def test_rollups_count_once(spark, tmp_path):
         rollup.apply("../x", load)
 
 
+def test_folded_batches_count_once(spark, tmp_path, monkeypatch):
+    rollup = Rollup(spark, str(tmp_path / "r"))
+    assert not rollup.compact()
+    changes = "op string, source string, lang string, version string, tokens bigint, old_tokens bigint"
+    batch = lambda *rows: spark.createDataFrame(list(rows), changes)
+    got = lambda: sorted(map(tuple, rollup.totals().collect()), key=repr)
+    rollup.apply("one", batch(("insert", "s", "en", "v", 5, None), ("insert", "t", None, "v", 2, None)))
+    rollup.apply("two", batch(("delete", "t", None, "v", 2, None)))
+    before = got()
+    assert rollup.compact() and not rollup.compact() and got() == before == [("s", "en", "v", 1, 5)]
+    assert len(rollup._rows().inputFiles()) < 3 and not rollup.apply("one", batch(("insert", "s", "en", "v", 9, None)))
+    rollup.apply("three", batch(("revise", "s", "en", "v", 8, 5), ("insert", "t", None, "v", 2, None)))
+    after = [("s", "en", "v", 1, 8), ("t", None, "v", 1, 2)]
+    assert got() == after
+    # A marker whose writer died half way counts for nothing.
+    (tmp_path / "r/compactions/000000001").write_text("totals/none\none\n")
+    assert got() == after and rollup.compact() and got() == after and rollup.committed() == ["one", "three", "two"]
+
+
 def test_pipeline_equals_its_stages(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     n = docs.count()
