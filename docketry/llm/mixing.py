@@ -150,12 +150,16 @@ def _inverse(m: list[list[float]]) -> list[list[float]]:
 def fit_rates(members: DataFrame, weights: dict[str, float], steps: int = STEPS) -> DataFrame:
     """Adds ``rate``: tokens times rate, shared by the posteriors, add up to the target of a domain.
 
-    The targets share the present number of tokens by ``weights``. With A the tokens of each document
+    The targets share the present number of tokens by ``weights``; a target of 0 is one as well, a domain
+    without a weight has none. See :func:`mix_report` for what is left to miss. With A the tokens of each document
     and domain, W the inverse of sum(tokens * p * p') and the documents measured by their tokens, the
     gradient of the squared distance in the norm of W is p . W (A r - target), and a step of length 1
     cannot overshoot. Each step is one aggregate over the documents; r starts at 1 and is cut at 0.
     """
-    names = [d for d in DOMAINS if weights.get(d)]
+    names = [d for d in DOMAINS if weights.get(d) is not None]
+    share = sum(weights[d] for d in names)
+    if not share > 0 or min(weights[d] for d in names) < 0:
+        raise ValueError("targets must be 0 or more, one of them more")
     held = stage(members, "members")
     p = {d: F.col(f"p_{d}") for d in names}
     pairs = [(a, b) for a in names for b in names]
@@ -164,7 +168,6 @@ def fit_rates(members: DataFrame, weights: dict[str, float], steps: int = STEPS)
     if not tokens:
         return held.withColumn("rate", F.lit(1.0))
     norm = _inverse([[row[f"{a}_{b}"] / tokens for b in names] for a in names])
-    share = sum(weights[d] for d in names)
     target = [weights[d] / share for d in names]
     rate = F.lit(1.0)
     for _ in range(steps):
@@ -177,6 +180,24 @@ def fit_rates(members: DataFrame, weights: dict[str, float], steps: int = STEPS)
     return held.withColumn("rate", rate)
 
 
+def mix_report(rates: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """domain, share, target and miss: expected shares of the tokens taken, beside their targets.
+
+    A domain without a target has none to miss. Shares are null where nothing is taken.
+    """
+    asked = sum(w for w in weights.values() if w) or 1.0
+    taken = F.col("rate") * F.col("tokens")
+    sums = rates.agg(F.sum(taken).alias("all"), *[F.sum(taken * F.col(f"p_{d}")).alias(d) for d in DOMAINS])
+    lines = [
+        F.struct(
+            F.lit(d).alias("domain"), F.try_divide(F.col(d), F.col("all")).alias("share"),
+            F.lit(None if weights.get(d) is None else weights[d] / asked).cast("double").alias("target"),
+        )
+        for d in DOMAINS
+    ]
+    return sums.select(F.inline(F.array(*lines))).withColumn("miss", F.col("share") - F.col("target"))
+
+
 def soft_mixing(docs: DataFrame, labels: DataFrame, weights: dict[str, float]) -> DataFrame:
     """doc_id, tokens, posteriors and rate of every document, one row per document row.
 
