@@ -22,7 +22,7 @@ from docketry.llm.resampling import importance_resample
 from docketry.llm.revisits import CAPTURES, resolve_revisits
 from docketry.llm.rollups import Rollup, piece_tokens, word_tokens
 from docketry.llm.runs import collapse_runs
-from docketry.llm.tool_calls import link_tool_calls
+from docketry.llm.tool_calls import link_tool_calls, other_turns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,7 +156,7 @@ FROM conversations WHERE role = 'assistant'"""
 
 
 def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calls made of all assistant turns, their results of the user turns that follow."""
+    """Whole chats: calls made of all assistant turns, their results of the user turns that follow, and all other turns."""
     conversations = read_table(spark, sf_dir, "conversations")
     made = spark.sql(
         CALLS.replace("FROM conversations", "FROM {conversations}").replace("((turn - 1) / 2 - 1) / 2", "(((turn - 1) div 2) - 1) / 2"),
@@ -174,7 +174,9 @@ def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     schemas = spark.sql("""SELECT t.name, r.* FROM VALUES ('search'), ('summarize') AS t(name)
         LATERAL VIEW inline(array(struct('text', 'string', true), struct('turn', 'integer', true), struct('strict', 'boolean', false))) r AS argument, type, required""")
-    return link_tool_calls(calls, results, schemas)
+    linked = link_tool_calls(calls, results, schemas)
+    rest = conversations.where("role not in ('assistant', 'user') or role is null or (role = 'user' and turn = 0) or turn is null")
+    return linked.unionByName(other_turns(rest))
 
 
 def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,7 +54,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
     boolean, integer, number, array and object. Other columns are not read.
 
     Returns conv_id, level, turn, call_id, status, violations, json. Order by conv_id, level, turn and
-    call_id for a topological order. status is ``ok``, ``no_result``, ``invalid`` (arguments break the
+    call_id for a topological order; :func:`other_turns` gives the rest of a chat. status is ``ok``, ``no_result``, ``invalid`` (arguments break the
     schema or are no JSON object), ``unknown_tool``, ``cycle`` or ``no_call``. A call without an id is
     left out, as is a result without one. Of calls with one id the first by conv_id, turn, name and
     arguments counts, and of results the least content. A null argument counts as missing.
@@ -104,3 +104,16 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
         "conv_id", "level", "turn", "call_id", "status",
         F.array_join(F.when(F.col("called"), F.col("violations")).otherwise(none), "; ").alias("violations"), text.alias("json"),
     )
+
+
+def other_turns(turns: DataFrame) -> DataFrame:
+    """Turns that neither call a tool nor answer one, as rows like those of :func:`link_tool_calls`.
+
+    ``turns``: conv_id, turn, role, text. status is ``turn``, the JSON has content, role and turn; level and
+    call_id are null. Every row gives one row, whatever is null in it.
+    """
+    text = F.expr("to_json(to_variant_object(named_struct('content', text, 'role', role, 'turn', turn)))")
+    return turns.select(
+        "conv_id", F.lit(None).cast("int").alias("level"), "turn", F.lit(None).cast("string").alias("call_id"),
+        F.lit("turn").alias("status"), F.lit("").alias("violations"), text.alias("json"),
+    )

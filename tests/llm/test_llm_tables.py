@@ -11,7 +11,7 @@ from compare import connection, difference
 from docketry.llm import ann
 from docketry.llm.ann import SAMPLE, learn_router, nearest_neighbours, partitions_for
 from docketry.llm.embedding_dedup import near_duplicate_vectors
-from docketry.llm.mixing import DOMAINS, fit_rates, soft_mixing
+from docketry.llm.mixing import DOMAINS, fit_rates, mix_report, soft_mixing
 from docketry.llm.queries import ORACLES, QUERIES
 from docketry.llm.revisits import canonical_url, resolve_revisits
 from docketry.llm.rollups import Rollup
@@ -212,8 +212,17 @@ def test_tool_calls(spark):
 def test_op7_keeps_every_call(spark, data):
     conversations = spark.read.parquet(f"{data}/conversations.parquet")
     found = QUERIES["op7_tool_calls"](spark, data)
-    assert found.where("status <> 'no_call'").count() == conversations.where("role = 'assistant'").count()
-    level = {r["call_id"]: r["level"] for r in found.collect()}
+    assert found.where("status not in ('no_call', 'turn')").count() == conversations.where("role = 'assistant'").count()
+    # Every turn is somewhere: as a call, as the result of one, or by itself.
+    said = {}
+    for r in found.collect():
+        told = json.loads(r["json"])
+        for text in (told.get("content"), told.get("result"), (told.get("arguments") or {}).get("text")):
+            said[text] = said.get(text, 0) + 1
+    assert all(said.get(t, 0) >= 1 for t, in conversations.select("text").collect())
+    rest = found.where("status = 'turn'")
+    assert rest.count() == conversations.where("role = 'system' or (role = 'user' and turn = 0)").count()
+    level = {r["call_id"]: r["level"] for r in found.where("call_id is not null").collect()}
     for conv, turn in conversations.where("role = 'assistant' and turn >= 3").select("conv_id", "turn").collect():
         before = f"c{conv}-{2 * (((turn - 1) // 2 - 1) // 2) + 1}"
         assert before not in level or level[before] < level[f"c{conv}-{turn}"]
@@ -236,6 +245,27 @@ def test_rates_equal_projected_gradient_in_numpy(spark):
     assert np.allclose((got * t) @ p, target, rtol=0.02)
 
 
+def test_a_target_of_nothing_is_a_target(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for n in range(400):
+        p = rng.dirichlet([0.1, 0.1, 0.1]).tolist()
+        rows.append((n, int(rng.integers(1, 500)), *p))
+    members = spark.createDataFrame(rows, "doc_id bigint, tokens bigint, p_clean double, p_toxic double, p_low double")
+    for weights in ({"clean": 1.0, "toxic": 0.0, "low": 0.0}, {"clean": 0.7, "toxic": 0.3, "low": 0}):
+        rates = fit_rates(members, weights, steps=40)
+        report = {r["domain"]: r for r in mix_report(rates, weights).collect()}
+        assert all(abs(report[d]["share"] - w / sum(weights.values())) < 0.06 for d, w in weights.items())
+        assert report["low"]["share"] < 0.03  # without a target it would be a third
+        assert all(abs(r["miss"] - (r["share"] - r["target"])) < 1e-12 for r in report.values())
+        assert rates.where("rate < 0 or rate is null").count() == 0
+    free = {r["domain"]: r["target"] for r in mix_report(fit_rates(members, {"clean": 1.0, "toxic": 0.0}), {"clean": 1.0, "toxic": 0.0}).collect()}
+    assert free == {"clean": 1.0, "toxic": 0.0, "low": None}
+    for bad in ({}, {"clean": 0.0}, {"clean": 1.0, "low": -0.1}):
+        with pytest.raises(ValueError):
+            fit_rates(members, bad)
+
+
 def test_mixing_of_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 5), (2, "", 5), (3, "a good text", 5), (3, "a good text", 5), (None, "x", 5), (4, "w " * 50_000, 5)], "doc_id bigint, text string, tokens int")
     none = spark.createDataFrame([(None, None, None), (9, 1, 0)], "doc_id bigint, quality int, toxic int")
