@@ -2,14 +2,16 @@
 
 On one half of a bounded sample, the graph of nearest neighbours is cut into partitions of equal size
 that keep neighbours together, and a small network learns the partition of a vector. It then places
-every row, and sends each query to its most probable partitions, whose rows are ranked exactly. There
-are the more partitions the more rows there are. How many of them a query visits is calibrated on the
-other half, which nothing was fitted on: enough that the wanted share of the true neighbours of its
-vectors lies in them.
+every row, and sends each query to its most probable partitions, whose rows are ranked exactly. How many
+a query visits is calibrated on the other half, which nothing was fitted on: enough that the wanted
+share of the true neighbours of its vectors lies in them. Of several numbers of partitions, up to one
+that grows with the rows, the one is taken with which a query costs least, by the products and the
+visits that the calibration has found; vectors without structure gain nothing from more partitions.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +28,7 @@ SAMPLE = 4_096  # vectors the partitions are learned from, and as many that cali
 LEAST_PARTITIONS = 16  # where there are enough rows to learn so many from
 PER_PARTITION = 16  # sampled vectors of a partition, at least
 CALIBRATED = 1_024  # queries of the calibration, at most
+SHIPPING = 2_000  # products that sending a query to one more partition costs as much as, about
 NEIGHBOURS = 10  # of a sampled vector in the graph
 HIDDEN = 64
 EPOCHS = 12
@@ -43,6 +46,7 @@ class Router:
     outer: np.ndarray
     outer_bias: np.ndarray
     probes: int
+    share: float = 1.0  # of the rows that a query meets, on the sample
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         return np.maximum(x @ self.inner + self.inner_bias, 0) @ self.outer + self.outer_bias
@@ -149,12 +153,27 @@ def learn_router(
                 second[m] = 0.99 * second[m] + 0.01 * grads[m] ** 2
                 move = first[m] / (1 - 0.9**step) / (np.sqrt(second[m] / (1 - 0.99**step)) + 1e-9)
                 setattr(router, m, getattr(router, m) - 0.01 * (1 - epoch / EPOCHS) * move)
-    router.probes = calibrated_probes(router, x, held, k, recall, total or n + len(held))
+    router.probes, router.share = calibrated(router, x, held, k, recall, total or n + len(held))
     return router
 
 
-def calibrated_probes(router: Router, x: np.ndarray, held: np.ndarray, k: int, recall: float, rows: int) -> int:
-    """Partitions to visit, so that ``recall`` of the neighbours of vectors not learned from lie in them.
+def cheapest_router(x: np.ndarray, held: np.ndarray, k: int, recall: float, total: int) -> Router:
+    """The router with which a query of ``total`` rows costs least."""
+    best, cost = None, math.inf
+    parts, most = LEAST_PARTITIONS, partitions_for(total)
+    while True:
+        router = learn_router(x, held, k, min(parts, most), recall, total)
+        found = router.share * total + router.probes * SHIPPING
+        if found < cost:
+            best, cost = router, found
+        if parts >= most:
+            return best
+        parts *= 4
+
+
+def calibrated(router: Router, x: np.ndarray, held: np.ndarray, k: int, recall: float, rows: int) -> tuple[int, float]:
+    """Partitions to visit, so that ``recall`` of the neighbours of vectors not learned from lie in them,
+    and the share of the rows in these.
 
     Rows are placed by the network itself, so it is that placement which decides. The sample is thinner
     than the table, where the k nearest are as near as fewer of the sample are; five at least are used.
@@ -163,7 +182,8 @@ def calibrated_probes(router: Router, x: np.ndarray, held: np.ndarray, k: int, r
     asked = min(CALIBRATED, len(held))
     near = min(max(-(-k * len(every) // max(rows, len(every))), 5), k, len(every) - 1)
     placed = router.ranked(unit(every))[:, 0]
-    rank_of = np.argsort(router.ranked(unit(held[:asked])), axis=1)
+    ranked = router.ranked(unit(held[:asked]))
+    rank_of = np.argsort(ranked, axis=1)
     depths = []
     for low in range(0, asked, SLICE):
         own = np.arange(low, min(low + SLICE, asked))
@@ -172,7 +192,9 @@ def calibrated_probes(router: Router, x: np.ndarray, held: np.ndarray, k: int, r
         best = np.argpartition(-products, near - 1, axis=1)[:, :near]
         depths.append(np.take_along_axis(rank_of[own], placed[best], axis=1).ravel())
     depth = np.sort(np.concatenate(depths))
-    return int(depth[min(int(np.ceil(recall * len(depth))), len(depth)) - 1]) + 1
+    probes = int(depth[min(int(np.ceil(recall * len(depth))), len(depth)) - 1]) + 1
+    sizes = np.bincount(placed, minlength=ranked.shape[1])
+    return probes, float(sizes[ranked[:, :probes]].sum(axis=1).mean() / len(every))
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = RECALL) -> DataFrame:
@@ -191,7 +213,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, recall
         return rows.sparkSession.createDataFrame([], schema)
     total = rows.count()
     # In the order of hashes, every other vector is as good a sample as any.
-    router = learn_router(sample[::2], sample[1::2], k, partitions_for(total), recall, total)
+    router = cheapest_router(sample[::2], sample[1::2], k, recall, total)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -127,6 +127,15 @@ def test_recall_of_rows_that_nothing_was_fitted_on(clusters, norms):
     assert sizes[visited].sum(axis=1).mean() <= n / 5
 
 
+def test_only_structure_is_worth_more_partitions():
+    structured = clustered(8_192, 32, 400, 6)
+    chosen = ann.cheapest_router(structured[::2], structured[1::2], 20, 0.95, 100_000)
+    assert chosen.outer.shape[1] > ann.LEAST_PARTITIONS and chosen.share < 0.2
+    plain = np.random.default_rng(7).normal(0, 1, (4_096, 48))
+    chosen = ann.cheapest_router(plain[::2], plain[1::2], 20, 0.95, 100_000)
+    assert chosen.outer.shape[1] == ann.LEAST_PARTITIONS
+
+
 def test_search_beyond_the_sample(spark, monkeypatch):
     monkeypatch.setattr(ann, "SAMPLE", 256)
     monkeypatch.setattr(ann, "BLOCK", 512)
