@@ -42,8 +42,8 @@ from docketry.llm.common import (
 
 WORDS = 5
 PERCENT = 80
-BLOCK_DOCS = 2_048  # documents of one part of a block
-BLOCK_TOKENS = 1 << 21
+BLOCK_DOCS = 4_096  # documents of one part of a block
+BLOCK_TOKENS = 1 << 22
 PIECE_BYTES = 2 << 20
 PROBES = 128  # long lists that are probed in one call
 CENTRES = 48  # documents of a block that are compared with all of it before the search
@@ -432,6 +432,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     # First the most inclusive of the keys alone: they connect most of what belongs together.
     ranked = stage(_ranked(able, percent), "ranked")
+    drop_staged(able)
     some = ranked.select("id", F.explode(F.expr("slice(keys, greatest(1, size(keys) - 1), 2)")).alias("key"))
     near = stage(_search(some, ranked, percent, False), "near")
     labels = stage(components(near), "labels")
@@ -449,6 +450,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     again = stage(again.drop("component"), "again")
     more = _search(again.select("id", F.explode("keys").alias("key")), again, percent, False)
     clusters = stage(components(near.union(more)), "clusters")
+    drop_staged(ranked, near, labels, again)
 
     # Whole sets of the few classes that are left, each from one document. Where that has other texts,
     # too, their sets have other ids.
@@ -456,6 +458,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     keyed = _likely(given, wanted).join(wanted, F.col("doc_id") == F.col("rep")).select("key", "node", "text")
     wholes = _sets(keyed, words, percent, True).select("key", "node", id_, "n", "tokens")
     wholes = stage(wholes.where("id = node").drop("node").dropDuplicates(["id"]), "wholes")
+    drop_staged(clusters)
     links = _search(wholes.select("key", "id"), wholes, percent, True)
     linked = stage(components(links), "components")
     of = linked.join(classes, F.col("node") == F.col("id"))
@@ -467,5 +470,5 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         .select("doc_id", "n_shingles", F.coalesce("component_id", "rep", "doc_id").alias("component_id"))
     )
     found = stage(found, "linked")
-    drop_staged(sets, classes, able, ranked, near, labels, again, clusters, wholes, linked)
+    drop_staged(sets, classes, wholes, linked)
     return found
