@@ -21,6 +21,7 @@ from docketry.sources.schemas import SUBMISSIONS
 ARRIVED = "arrived_at"
 DEFAULT_DELAY = "30 days"
 KEY = ("cik", "accession_number")
+BUCKET, KEY_BUCKETS = "__bucket", 4_096  # buckets of keys that are told apart; fixed, as state is kept by them
 # What state with a time to live needs: its store, and no batches without data, which would never end.
 KEYED_STATE = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -75,22 +76,24 @@ def first_arrivals(
 
 
 class _Arrivals(StatefulProcessor):
-    """Remembers, for as long as its time to live, that a key has been seen."""
+    """Remembers each key of a bucket for as long as its time to live."""
 
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
+    def __init__(self, key: Sequence[str], schema: StructType, ttl_ms: int):
+        self.key, self.names, self.ttl_ms = list(key), schema.names, ttl_ms
+        self.key_schema = StructType([schema[name] for name in key])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean", self.ttl_ms)
+        self.seen = handle.getMapState("seen", self.key_schema, "seen boolean", self.ttl_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timer_values: Any) -> Iterator[pd.DataFrame]:
-        known = self.seen.exists()
         for part in rows:
-            marks = ["repeat"] * len(part)
-            if not known:
-                marks[0], known = "first", True
-                self.seen.update((True,))
-            yield part.assign(arrival=marks)
+            # Rows of one key in this part: the state is asked once for each.
+            new = ~part.duplicated(self.key).to_numpy()
+            for at, known in zip(new.nonzero()[0], zip(*(part.loc[new, name].tolist() for name in self.key))):
+                new[at] = not self.seen.containsKey(known)
+                if new[at]:
+                    self.seen.updateValue(known, (True,))
+            yield part[self.names].assign(arrival=["first" if first else "repeat" for first in new])
 
     def close(self) -> None:
         pass
@@ -105,7 +108,8 @@ def marked_arrivals(
     first seen, so a key that comes again later is a first arrival once more (the sinks replace by
     key). Rows are never late, as no watermark is involved, and none is lost: rows that are not
     ``usable`` (by default those without a key) come out as rejected, without touching any state. Of
-    several rows of a key in one batch, one is the first, whichever comes first. Run it with the
+    several rows of a key in one batch, one is the first, whichever comes first. Keys come to Python by
+    hashed buckets, since a call for each key would cost far more than its state. Run it with the
     settings KEYED_STATE.
     """
     complete = F.lit(True)
@@ -116,8 +120,9 @@ def marked_arrivals(
     schema = StructType([*stream.schema.fields]).add("arrival", StringType())
     told = (
         stream.filter(complete)
-        .groupBy(*key)
-        .transformWithStateInPandas(_Arrivals(int(days_kept * 86_400_000)), schema, "Append", "ProcessingTime")
+        .withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(KEY_BUCKETS)))
+        .groupBy(BUCKET)
+        .transformWithStateInPandas(_Arrivals(key, stream.schema, int(days_kept * 86_400_000)), schema, "Append", "ProcessingTime")
     )
     return told.unionByName(stream.filter(~complete).withColumn("arrival", F.lit("rejected")))
 
