@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 from tempfile import mkdtemp
+from urllib.parse import urlsplit
 from uuid import uuid4
 
+import pyarrow as pa
+import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -292,15 +296,51 @@ def source_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.with_source_type(pages, "address")
 
 
+FILES_A_FOLDER = 1_000  # landed files in one folder
+
+
+def land_files(df: DataFrame, path: str) -> None:
+    """One text file for each value of the first column of ``df``, with the texts of the second as lines.
+
+    Files are named by that value. On a mounted folder each task writes them itself, a thousand to a folder: Spark's
+    writer makes a folder of its own, a checksum and several renames for each, and a listing then opens all these folders.
+    A task that comes again writes the same files.
+    """
+    key, value = df.columns
+    if urlsplit(path).scheme not in ("", "file"):
+        df.write.partitionBy(key).text(path)
+        return
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        files, root = pa.fs.FileSystem.from_uri(path)
+        places: dict = {}
+        for batch in batches:
+            for name, text in zip(batch.column(0), batch.column(1)):
+                name, again = name.as_py(), True
+                if name not in places:
+                    folder, again = f"{root}/part-{task:05d}/{len(places) // FILES_A_FOLDER:05d}", False
+                    if len(places) % FILES_A_FOLDER == 0:
+                        files.create_dir(folder)
+                    places[name] = f"{folder}/{key}={name}.txt"
+                opened = files.open_append_stream if again else files.open_output_stream
+                with opened(places[name], compression=None) as out:
+                    out.write(text.as_buffer() if text.is_valid else b"")
+                    out.write(b"\n")
+        yield pa.RecordBatch.from_pydict({"n": pa.array([len(places)], pa.int64())})
+
+    df.withColumn(value, F.col(value).cast("binary")).mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
+
+
 def landed_pages(spark: SparkSession, sf_dir: str) -> str:
     """A folder with one file for each page."""
     path = scratch(spark, "pages")
-    table(spark, sf_dir, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
+    land_files(table(spark, sf_dir, "pages").select("page_id", "html"), path)
     return path
 
 
 def page_of_path():
-    return F.regexp_extract("path", r"page_id=([0-9]+)/", 1).cast("bigint").alias("page_id")
+    return F.regexp_extract("path", r"page_id=([0-9]+)[./]", 1).cast("bigint").alias("page_id")
 
 
 @query
@@ -326,8 +366,8 @@ def results_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("toxic = 0").alias("relevant"), F.lit("as labelled").alias("reasoning"), F.lit(0.8).alias("confidence"),
         F.lit("detailed").alias("prompt_strategy"), F.lit("2024-01-01").alias("classification_timestamp"),
     )
-    table(spark, sf_dir, "labels").select("doc_id", F.to_json(record).alias("value")).write.partitionBy("doc_id").text(path)
-    return d.read_results(spark, path, "part-*.txt")
+    land_files(table(spark, sf_dir, "labels").select("doc_id", F.to_json(record).alias("value")), path)
+    return d.read_results(spark, path, "*.txt")
 
 
 # --- text --------------------------------------------------------------------------------
