@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +13,7 @@ from docketry.functions.expr import compute_once, strip
 from docketry.functions.lines import (
     MIN_LINE_LENGTH, NOISE_PATTERNS, clean_lines, drop_reason, split_lines,
 )
+from docketry.operators.batches import release, structs, text_pieces
 from docketry.operators.markup import visible_text
 
 Reader = Callable[["str | None"], "str | None"]
@@ -37,11 +38,16 @@ def raw_text(reader: Reader = read_document):
         except Exception as problem:  # one document must not stop the others
             return None, f"{type(problem).__name__}: {problem}"
 
-    def run(html: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([read(document) for document in html], columns=["text", "error"], dtype=object)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for html in batches:
+            piece = None
+            for piece in text_pieces(html):
+                yield structs([read(document.as_py()) for document in piece], "text", "error")
+            del html, piece
+            release()
 
-    run.__annotations__ = {"html": pd.Series, "return": pd.DataFrame}
-    return F.pandas_udf(run, "text string, error string")
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "text string, error string")
 
 
 def extract_text(

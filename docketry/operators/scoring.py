@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.operators.batches import release, structs, text_pieces
+
 Generate = Callable[[str], str | None]
 GenerateMany = Callable[[list[str]], Sequence[str | None]]
 
@@ -66,25 +68,32 @@ def scorer(
     if batch_size is not None and batch_size < 1:
         raise ValueError("batch_size must be 1 or more")
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def outcomes(call: Generate | GenerateMany, prompts: list[str | None]) -> list[_Outcome]:
+        sent = [n for n, prompt in enumerate(prompts) if prompt is not None]
+        asked = [prompts[n] for n in sent]
+        if batch_size is None:
+            found = answer_each(call, asked)
+        else:
+            found = []
+            for start in range(0, len(asked), batch_size):
+                found += answer_many(call, asked[start: start + batch_size])
+        rows: list[_Outcome] = [(None, None)] * len(prompts)
+        for n, outcome in zip(sent, found):
+            rows[n] = outcome
+        return rows
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         call = generate or setup()
         for prompts in batches:
-            sent = [n for n, prompt in enumerate(prompts) if prompt is not None]
-            asked = [prompts.iat[n] for n in sent]
-            if batch_size is None:
-                outcomes = answer_each(call, asked)
-            else:
-                outcomes = []
-                for start in range(0, len(asked), batch_size):
-                    outcomes += answer_many(call, asked[start: start + batch_size])
-            rows: list[_Outcome] = [(None, None)] * len(prompts)
-            for n, outcome in zip(sent, outcomes):
-                rows[n] = outcome
-            yield pd.DataFrame(rows, columns=["response", "error"], dtype=object)
-
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+            piece = None
+            for piece in text_pieces(prompts, step=batch_size or 1):
+                yield structs(outcomes(call, piece.to_pylist()), "response", "error")
+            del prompts, piece
+            release()
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     # Nondeterministic: Spark must neither repeat nor move a call.
-    return F.pandas_udf(run, OUTCOME).asNondeterministic()
+    return F.arrow_udf(run, OUTCOME).asNondeterministic()
 
 
 def score(
