@@ -418,14 +418,16 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     filled = sets.where("n > 0").select(id_, "doc_id", "n", "tokens")
     classes = stage(filled.groupBy("id").agg(F.min("doc_id").alias("rep")), "classes")
 
-    # Tokens of one class alone can't be shared with another.
+    # Tokens of one class alone can't be shared with another. One document of a class is enough to tell, so the
+    # tokens of most copies stay out of both shuffles.
+    firsts = _likely(filled, classes)
     shared = (
-        filled.select(token_of(filled), "id").groupBy("h")
+        firsts.select(token_of(firsts), "id").groupBy("h")
         .agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("h")
     )
     enough = F.size("tokens") >= _least_shared(F.col("n"), percent)
     able = stage(
-        filled.select("id", "n", token_of(filled)).join(shared, "h")
+        firsts.select("id", "n", token_of(firsts)).join(shared, "h")
         .groupBy("id", "n").agg(F.collect_set("h").alias("tokens")).where(enough),
         "able",
     )
