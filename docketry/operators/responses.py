@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions.expr import SEARCH_DOTALL, compute_once, spark_pattern
 from docketry.functions.sqltext import first_match, let, squeeze, strip
+from docketry.sinks.staging import stage
 from docketry.sources.taxonomy import labels_array
 
 # The answer formats that are understood, in order of priority.
@@ -113,39 +114,47 @@ def parse_response(response: str, labels: str, failed: str = "false") -> Column:
     return F.expr(let("text", response, let("given", _label("text"), with_entry)))
 
 
-def _first(ordinal: str = "ordinal") -> Column:
-    return F.min(F.struct(ordinal, "event_type"))
+def _numbered(labels: DataFrame) -> DataFrame:
+    """``labels`` (low, ordinal, event_type) by ``rank``, their place in the order of taxonomy entries, written down.
+
+    The smallest of many ranks is found by hashing, which Spark does not do for structs or strings.
+    """
+    ordered = labels.distinct().orderBy("ordinal", "event_type", "low")
+    return stage(ordered.select("low", "event_type", F.monotonically_increasing_id().alias("rank")))
 
 
 def resolved_labels(given: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """R4, R5 by equi-joins alone: ``low`` and the ``event_type`` it means, for distinct ``low``.
 
-    Equal labels come first. For the rest, a label that contains ``low`` is a row of an index of all
-    substrings of labels, and a label within ``low`` equals one of the substrings of ``low`` that are
-    as long as some label; each substring has one row, that of the first label, so no join multiplies.
+    Equal labels come first. For the rest, a label that contains ``low`` is one whose substrings, of the
+    lengths that the rest has, hold it, and a label within ``low`` equals one of the substrings of ``low``
+    that are as long as some label; each substring has one row, that of the first label, so no join multiplies.
     """
-    labels = taxonomy.select(F.lower("event_type").alias("low"), "ordinal", "event_type")
-    names = labels.groupBy("low").agg(_first().alias("entry"))
-    equal = given.join(names, "low", "left")
-    rest = equal.filter("entry IS NULL").select("low")
-    sizes = labels.agg(F.coalesce(F.collect_set(F.length("low")), F.array().cast("array<int>")).alias("sizes")).scalar()
+    labels = _numbered(taxonomy.select(F.lower("event_type").alias("low"), "ordinal", "event_type"))
+    names = labels.groupBy("low").agg(F.min("rank").alias("rank"))
+    equal = stage(given.join(names, "low", "left"))
+    rest = equal.filter("rank IS NULL").select("low")
+
+    def lengths(texts: DataFrame) -> Column:
+        """One value for each length that occurs."""
+        return texts.agg(F.coalesce(F.collect_set(F.length("low")), F.array().cast("array<int>")).alias("sizes")).scalar()
 
-    def substrings(text: Column, lengths: Column) -> Column:
+    def substrings(texts: DataFrame, others: DataFrame, *keep: str) -> DataFrame:
+        """The distinct substrings of each text that are as long as some other, as ``part``."""
         def of_length(n: Column) -> Column:
-            starts = F.sequence(F.lit(1), F.length(text) - n + 1)
-            return F.transform(starts, lambda i: F.substring(text, i, n))
-
-        return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
-
-    short = rest.withColumn("sizes", sizes).withColumn("sizes", F.filter("sizes", lambda n: n <= F.length("low")))
-    inside = short.select("low", F.explode(substrings(F.col("low"), F.col("sizes"))).alias("part"))
-    inside = inside.join(names.withColumnRenamed("low", "part"), "part").groupBy("low").agg(F.min("entry").alias("entry"))
-    every = F.when(F.length("low") > 0, F.sequence(F.lit(0), F.length("low"))).otherwise(F.array(F.lit(0)))
-    index = labels.select("ordinal", "event_type", F.explode(substrings(F.col("low"), every)).alias("part"))
-    around = rest.join(index.groupBy("part").agg(_first().alias("entry")), F.col("low") == F.col("part")).select("low", "entry")
-    part = inside.unionByName(around).groupBy("low").agg(F.min("entry").alias("entry"))
-    found = equal.filter("entry IS NOT NULL").unionByName(part)
-    return found.select("low", F.col("entry.event_type").alias("event_type"))
+            starts = F.sequence(F.lit(1), F.length("low") - n + 1)
+            return F.transform(starts, lambda i: F.substring("low", i, n))
+
+        fitting = texts.withColumn("sizes", lengths(others)).withColumn("sizes", F.filter("sizes", lambda n: n <= F.length("low")))
+        every = F.array_distinct(F.flatten(F.transform("sizes", of_length)))
+        return fitting.select(*keep, F.explode(every).alias("part"))
+
+    inside = substrings(rest, labels, "low").join(names.withColumnRenamed("low", "part"), "part").select("low", "rank")
+    index = substrings(labels, rest, "rank").groupBy("part").agg(F.min("rank").alias("rank"))
+    around = rest.join(index, F.col("low") == F.col("part")).select("low", "rank")
+    part = inside.unionByName(around).groupBy("low").agg(F.min("rank").alias("rank"))
+    found = equal.filter("rank IS NOT NULL").unionByName(part)
+    return found.join(labels.select("rank", "event_type"), "rank").select("low", "event_type")
 
 
 def normalize_labels(
