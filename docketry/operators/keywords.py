@@ -22,6 +22,7 @@ from docketry.sources.taxonomy import MAX_LABELS
 
 FALLBACK_LABEL = "Other"
 MOST_CONSTANTS = 500  # keywords that a plan holds at most; more are joined
+TASK_CHARACTERS = 8_000_000  # of text whose grams one task sorts and counts
 
 _RUN = r"[\p{L}\p{N}]+"
 _TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]"
@@ -103,7 +104,10 @@ def with_keyword_hits(
 
 
 def _joined_hits(df: DataFrame, taxonomy: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    """Rows of ``keys, ordinal, event_type, relevant, hits`` by equality of grams and keywords."""
+    """Rows of ``keys, ordinal, event_type, relevant, hits`` by equality of grams and keywords.
+
+    Partitions are as many as the texts are long, so that a task holds no more where there are more texts.
+    """
     tokens_of = lambda text: F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
     words = _keywords(taxonomy).filter("word != ''").select("ordinal", "event_type", "relevant", "word", F.size(tokens_of(F.col("word"))).alias("size"))
     # One row for each length that keywords have, in tokens.
@@ -127,7 +131,9 @@ def _joined_hits(df: DataFrame, taxonomy: DataFrame, keys: list[str], text_col:
 
     every = F.array_distinct(F.concat(*[grams(size) for size in sizes])) if sizes else F.array().cast("array<string>")
     cut = texts.select(*keys, F.explode(every).alias("word"))
-    met = cut.join(words.drop("size"), "word")
+    length = df.agg(F.sum(F.length(text_col))).first()[0] or 0
+    tasks = length // TASK_CHARACTERS + 1
+    met = cut.repartition(tasks, "word").join(words.drop("size").repartition(tasks, "word"), "word")
     return met.groupBy(*keys, "ordinal", "event_type", "relevant").agg(F.count_distinct("word").cast("int").alias("hits"))
 
 
@@ -137,7 +143,8 @@ def keyword_hits(
     """X1 as rows: distinct keywords found per document and label, zero hits left out.
 
     Beyond MOST_CONSTANTS keywords, texts meet them by an equi-join on grams; rows with one key then
-    count as one document, an empty keyword finds nothing.
+    count as one document, an empty keyword finds nothing. ``df`` is then read twice, first for the length
+    of its texts: write it down before if it is costly.
     """
     keys = [key] if isinstance(key, str) else key
     if _constants(taxonomy) is None:
