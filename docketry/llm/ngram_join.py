@@ -10,7 +10,7 @@ is exact and goes in two steps of the same kind.
    the same documents make one block), and a T-occurrence search in each block finds which signatures
    have k tokens in common. Two blocks for each document connect most of what belongs together; the
    others are searched for documents with k tokens that other components have, too, and there only
-   between components.
+   between components. Blocks that overlap a lot become one.
 2. Whole sets. The components of the first step are the blocks of the second, which gets each set
    once and searches for the overlap that the similarity asks for.
 
@@ -264,39 +264,56 @@ def search_block(
     return ids[linked], top[linked]
 
 
-def _blocks(keys: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows (key, i, j, part, id, label, n, tokens): every set of (id, label, n, tokens) in its blocks.
+def _parts(keys: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (key, id, s, part): the blocks of ``keys`` (key, id) with ``sets`` (id, label, weight), and which
+    of s parts of a block a set belongs to.
 
-    ``keys`` has (key, id). A block has sets of different labels; others have nothing left to connect. Keys with the same documents are one block, named by the least of them,
-    since rare tokens of near-copies mostly come together. A group within the bounds is one block; a
-    larger one has s parts by a hash of the id, and each document goes to the s blocks of its part.
-    Tokens are attached at the end, so that only ids are grouped.
+    A block has sets of different labels; others have nothing left to connect. Keys with the same documents are
+    one block, named by the least of them, since rare tokens of near-copies mostly come together. So are blocks
+    with the same least id, where a set is then sent less often: near-copies have many keys that all but a few of
+    them share. A group within the bounds has one part; those of a larger one go by a hash of the id. Only ids and
+    weights are grouped.
     """
-    keys = keys.join(sets.select("id", "label", F.size("tokens").alias("weight")), "id")
+    def parts(docs: str, weight: str) -> Column:
+        return F.ceil(F.greatest(F.col(docs) / BLOCK_DOCS, F.col(weight) / BLOCK_TOKENS))
+
+    keys = keys.join(sets, "id")
     groups = keys.groupBy("key").agg(
         F.count(F.lit(1)).alias("docs"), F.sum("weight").alias("weight"), F.min("id").alias("first"),
         F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("two"),
         F.min("label").alias("low"), F.max("label").alias("high"),
     ).where("low != high")
-    s = F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("weight") / BLOCK_TOKENS)).cast("int")
-    once = groups.groupBy("docs", "first", "one", "two").agg(F.min("key").alias("key"), F.max(s).alias("s"))
-    part = F.pmod(F.xxhash64("id"), F.col("s")).cast("int").alias("part")
-    placed = (
-        keys.select("key", "id").join(once.select("key", "s"), "key").select("key", "id", "s", part)
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("k"))
-        .select("key", F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"), "part", "id")
+    once = groups.groupBy("docs", "first", "one", "two").agg(
+        F.min("key").alias("key"), F.max(parts("docs", "weight")).alias("s"),
+    )
+    held = stage(keys.select("key", "id", "weight").join(once.select("key", "first", "s"), "key"), "held")
+    joint = (
+        held.groupBy("first", "id").agg(F.min("key").alias("key"), F.max("weight").alias("weight"), F.sum("s").alias("sent"))
+        .groupBy("first").agg(
+            F.min("key").alias("least"), F.count(F.lit(1)).alias("docs"), F.sum("weight").alias("weight"), F.sum("sent").alias("sent"),
+        )
+        .select("first", "least", "docs", "sent", parts("docs", "weight").alias("all")).where("docs * all <= sent")
     )
-    return placed.join(sets.select("id", "label", "n", "tokens"), "id")
+    blocks = held.join(joint.select("first", "least", "all"), "first", "left").select(
+        F.coalesce("least", "key").alias("key"), "id", F.coalesce("all", "s").alias("s"),
+    )
+    placed = stage(blocks.distinct().select("*", F.pmod(F.xxhash64("id"), F.col("s")).alias("part")), "blocks")
+    drop_staged(held)
+    return placed
 
 
-def _search(keys: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
-    """Links (a, b) of all blocks; on whole sets, or on signatures.
+def _sent(placed: DataFrame) -> DataFrame:
+    """Every row of (s, part, ...) for each of the s blocks (i, j) in which its part meets all parts."""
+    others = [name for name in placed.columns if name != "s"]
+    each = placed.select(*others, F.explode(F.sequence(F.lit(0), F.col("s").cast("int") - 1)).alias("k"))
+    return each.select(*others, F.least("part", "k").alias("i"), F.greatest("part", "k").alias("j"))
 
-    Sets of one ``label`` are known to be connected; without that column, none are.
-    """
-    if "label" not in sets.columns:
-        sets = sets.withColumn("label", F.col("id"))
 
+def _search(sent: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """Links (a, b) of all blocks of ``sent`` (key, i, j, part, id, label, n, tokens); on whole sets, or on signatures.
+
+    Sets of one ``label`` are known to be connected. A set that a block has twice is looked at once.
+    """
     def least(n: int) -> int:
         return required(n, percent) if whole else least_shared(n, percent)
 
@@ -310,7 +327,14 @@ def _search(keys: DataFrame, sets: DataFrame, percent: int, whole: bool) -> Data
         for (_, i, j), group in in_groups(batches, ["key", "i", "j"]):
             columns: list[list] = [[], [], [], []]
             tokens: list[np.ndarray] = []
+            seen: set[int] = set()
             for batch in group:
+                new = []
+                for x in batch.column("id").to_pylist():
+                    new.append(x not in seen)
+                    seen.add(x)
+                if not all(new):
+                    batch = batch.filter(pa.array(new))
                 for held, name in zip(columns, ("id", "n", "part", "label")):
                     held.append(np.asarray(batch.column(name)))
                 lists = batch.column("tokens")
@@ -323,16 +347,26 @@ def _search(keys: DataFrame, sets: DataFrame, percent: int, whole: bool) -> Data
             if len(a):
                 yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
-    sent = _blocks(keys, sets).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    sent = sent.select("key", "i", "j", "part", "id", "label", "n", "tokens")
+    sent = sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return sent.mapInArrow(tidy(search), "a bigint, b bigint")
 
 
+def _search_signatures(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of ``sets`` (id, label, n, tokens) that meet by ``keys`` (key, id).
+
+    Tokens are attached at the end, so that only ids are grouped.
+    """
+    placed = _sent(_parts(keys, sets.select("id", "label", F.size("tokens").alias("weight"))))
+    return _search(placed.join(sets.select("id", "label", "n", "tokens"), "id"), percent, False)
+
+
 def _sets(docs: DataFrame, words: int, percent: int, whole: bool) -> DataFrame:
-    """Hashed sets. ``whole``: all hashes, with the other columns of ``docs``; else signatures.
+    """Hashed sets, with the other columns of ``docs``, all bigint. ``whole``: all hashes; else signatures.
 
     The 128-bit fingerprint of a set tells equal sets.
     """
-    front = ["key", "node"] if whole else ["doc_id"]
+    front = [name for name in docs.columns if name != "text"]
     out = ", ".join(f"{name} bigint" for name in front) + ", n bigint, set_hash binary, tokens array<bigint>"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,19 +414,44 @@ def token_of(sets: DataFrame) -> Column:
     return F.explode(sets["tokens"]).alias("h")
 
 
+def _tokens(sets: DataFrame, *names: str) -> DataFrame:
+    """(``names``, h): a row for each token, dealt by it. Two readers of all its columns share one shuffle."""
+    return sets.select(*names, token_of(sets)).where("id is not null and h is not null").repartition("h")
+
+
+def _enough(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """``sets`` with the tokens that ``found`` (id, h) has of them, where two linked sets could have so many in common."""
+    held = found.groupBy("id").agg(F.collect_set("h").alias("tokens"))
+    return held.join(sets, "id").where(F.size("tokens") >= _least_shared(F.col("n"), percent))
+
+
+def _across(sets: DataFrame, percent: int) -> DataFrame:
+    """``sets`` (id, n, label, tokens) with the tokens that other labels have, too, where these are enough.
+
+    A link between two labels is by such tokens alone. ids are counted so that both readers need the same columns.
+    """
+    tokens = _tokens(sets, "id", "label")
+    mixed = tokens.groupBy("h").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("id").alias("ids"),
+    ).where("low != high and ids > 1")
+    return _enough(sets.drop("tokens"), tokens.join(mixed.select("h"), "h"), percent)
+
+
 def _ranked(able: DataFrame, percent: int) -> DataFrame:
-    """id, n, tokens (those that two sets of ``able`` have) and keys: the rarest n - k + 1 of them.
+    """The columns of ``able`` with tokens (those that two sets of it have) and keys: the rarest n - k + 1 of them.
 
     A linked document can't miss all keys. Tokens of one set alone would be keys without a partner.
     """
-    counts = able.select(token_of(able)).groupBy("h").count().where("count > 1")
+    tokens = _tokens(able, "id")
+    counts = tokens.groupBy("h").agg(F.count("id").alias("count")).where("count > 1")
     ranked = (
-        able.select("id", "n", token_of(able)).join(counts, "h")
-        .groupBy("id", "n").agg(F.sort_array(F.collect_set(F.struct("count", "h"))).alias("ranked"))
+        tokens.join(counts, "h")
+        .groupBy("id").agg(F.sort_array(F.collect_set(F.struct("count", "h"))).alias("ranked"))
+        .join(able.drop("tokens"), "id")
         .withColumn("keys", F.size("ranked") - _least_shared(F.col("n"), percent) + 1).where("keys > 0")
     )
     return ranked.select(
-        "id", "n", F.col("ranked.h").alias("tokens"),
+        *(name for name in able.columns if name != "tokens"), F.col("ranked.h").alias("tokens"),
         F.expr("slice(ranked.h, 1, int(keys))").alias("keys"),
     )
 
@@ -416,52 +475,43 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     id_ = F.xxhash64("set_hash").alias("id")
     sets = stage(_sets(given, words, percent, False), "sets")
     filled = sets.where("n > 0").select(id_, "doc_id", "n", "tokens")
-    classes = stage(filled.groupBy("id").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = stage(filled.groupBy("id").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
 
     # Tokens of one class alone can't be shared with another. One document of a class is enough to tell, so the
-    # tokens of most copies stay out of both shuffles.
+    # tokens of most copies stay out of the shuffle.
     firsts = _likely(filled, classes)
-    shared = (
-        firsts.select(token_of(firsts), "id").groupBy("h")
-        .agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("h")
-    )
-    enough = F.size("tokens") >= _least_shared(F.col("n"), percent)
-    able = stage(
-        firsts.select("id", "n", token_of(firsts)).join(shared, "h")
-        .groupBy("id", "n").agg(F.collect_set("h").alias("tokens")).where(enough),
-        "able",
-    )
+    tokens = _tokens(firsts, "id")
+    shared = tokens.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high")
+    able = stage(_enough(classes.select("id", "n"), tokens.join(shared.select("h"), "h"), percent), "able")
 
     # First the most inclusive of the keys alone: they connect most of what belongs together.
-    ranked = stage(_ranked(able, percent), "ranked")
+    ranked = stage(_ranked(able, percent).withColumn("label", F.col("id")), "ranked")
     drop_staged(able)
     some = ranked.select("id", F.explode(F.expr("slice(keys, greatest(1, size(keys) - 1), 2)")).alias("key"))
-    near = stage(_search(some, ranked, percent, False), "near")
+    near = stage(_search_signatures(some, ranked, percent), "near")
     labels = stage(components(near), "labels")
     # A document can only have a partner elsewhere by k tokens that other components have, too.
     labelled = (
-        ranked.select("id", "n", token_of(ranked)).join(labels, F.col("id") == F.col("node"), "left")
-        .select("id", "n", "h", F.coalesce("component", "id").alias("label"))
-    )
-    mixed = labelled.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    rest = (
-        labelled.join(mixed.select("h"), "h").groupBy("id", "n").agg(F.collect_set("h").alias("tokens")).where(enough)
+        ranked.select("id", "n", "tokens").join(labels, F.col("id") == F.col("node"), "left")
+        .select("id", "n", "tokens", F.coalesce("component", "id").alias("label"))
     )
-    known = labels.select(F.col("node").alias("id"), "component")
-    again = _ranked(rest, percent).join(known, "id", "left").withColumn("label", F.coalesce("component", "id"))
-    again = stage(again.drop("component"), "again")
-    more = _search(again.select("id", F.explode("keys").alias("key")), again, percent, False)
+    rest = stage(_across(labelled, percent), "rest")
+    again = stage(_ranked(rest, percent), "again")
+    more = _search_signatures(again.select("id", F.explode("keys").alias("key")), again, percent)
     clusters = stage(components(near.union(more)), "clusters")
-    drop_staged(ranked, near, labels, again)
+    drop_staged(ranked, near, labels, rest, again)
 
     # Whole sets of the few classes that are left, each from one document. Where that has other texts,
-    # too, their sets have other ids.
-    wanted = clusters.join(classes, F.col("node") == F.col("id")).select("node", F.col("component").alias("key"), "rep")
-    keyed = _likely(given, wanted).join(wanted, F.col("doc_id") == F.col("rep")).select("key", "node", "text")
-    wholes = _sets(keyed, words, percent, True).select("key", "node", id_, "n", "tokens")
-    wholes = stage(wholes.where("id = node").drop("node").dropDuplicates(["id"]), "wholes")
+    # too, their sets have other ids. Blocks are known before the sets, which then move but once.
+    wanted = clusters.select(F.col("node").alias("id"), F.col("component").alias("key")).join(classes, "id")
+    parts = _parts(wanted.select("key", "id"), wanted.select("id", F.col("id").alias("label"), F.col("n").alias("weight")))
+    placed = stage(parts.join(classes.select("id", "rep"), "id").withColumnRenamed("id", "node"), "placed")
     drop_staged(clusters)
-    links = _search(wholes.select("key", "id"), wholes, percent, True)
+    texts = _likely(given, placed).join(placed, F.col("doc_id") == F.col("rep"))
+    texts = texts.withColumn("one", F.xxhash64("text")).dropDuplicates(["rep", "node", "one"])
+    wholes = _sets(texts.select("key", "node", "s", "part", "text"), words, percent, True)
+    wholes = wholes.select("key", "node", "s", "part", id_, "n", "tokens").where("id = node")
+    links = _search(_sent(wholes.withColumnRenamed("node", "label")), percent, True)
     linked = stage(components(links), "components")
     of = linked.join(classes, F.col("node") == F.col("id"))
     least = of.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -472,5 +522,5 @@ def ngram_jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         .select("doc_id", "n_shingles", F.coalesce("component_id", "rep", "doc_id").alias("component_id"))
     )
     found = stage(found, "linked")
-    drop_staged(sets, classes, wholes, linked)
+    drop_staged(sets, classes, placed, linked)
     return found

@@ -84,6 +84,44 @@ def test_join_of_odd_rows(spark):
     assert ngram_jaccard_join(table(spark, []), 3, 90).collect() == []
 
 
+def test_texts_of_one_set_are_compared_once(spark):
+    long = " ".join(f"w{i}" for i in range(300))
+    rows = [(4, long), (4, long), (4, long.upper()), (4, long.replace(" ", "  ")), (2, long + " end"), (2, long + " END"), (3, "else")]
+    found = sorted(tuple(r) for r in ngram_jaccard_join(table(spark, rows), 3, 90).collect())
+    assert found == [(2, 299, 2), (3, 1, 3), (4, 298, 2)]
+
+
+@pytest.mark.parametrize("docs", [4_096, 7])
+def test_blocks_that_overlap_are_one(spark, monkeypatch, docs):
+    import docketry.llm.ngram_join as module
+
+    monkeypatch.setattr(module, "BLOCK_DOCS", docs)
+    rng = random.Random(5)
+    blocks = [[i for i in range(20) if i == 0 or rng.random() < 0.9] for _ in range(30)] + [[30, 31, 32], [31, 32], [40], [50, 51]]
+    keys = spark.createDataFrame([(1000 + k, i) for k, block in enumerate(blocks) for i in block], "key long, id long")
+    sets = spark.createDataFrame([(i, i // 2 * (i >= 50) or i, 9) for i in range(60)], "id long, label long, weight int")
+    sent = module._sent(module._parts(keys, sets)).collect()
+    met = {frozenset((a["id"], b["id"])) for a in sent for b in sent if (a["key"], a["i"], a["j"]) == (b["key"], b["i"], b["j"])}
+    assert all({frozenset((a, b)) for a in block for b in block} <= met for block in blocks[:-2])
+    assert {r["id"] for r in sent} == {*range(20), 30, 31, 32}
+    assert len(sent) == (25 if docs > 20 else 65)  # 20 and 3 and 2 rows, or the 20 three times
+
+
+def test_tokens_are_shuffled_once(spark, monkeypatch):
+    import docketry.llm.ngram_join as module
+
+    plans, stage = {}, module.stage
+
+    def staged(df, name):
+        df.collect()
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(module, "stage", staged)
+    module.ngram_jaccard_join(table(spark, near_copies(1)), 3, 90)
+    assert all("ReusedExchange" in plans[name] for name in ("able", "ranked"))
+
+
 def test_documents_of_two_texts_link_by_both(spark):
     a, b = "one two three four five", "six seven eight nine ten"
     rows = [(5, a), (5, b), (1, a), (9, b), (7, b + " eleven"), (8, ""), (8, a)]
